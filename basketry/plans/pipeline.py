@@ -1,0 +1,93 @@
+"""The whole job, in dependency order."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..operators.keyed_writes import upsert
+from ..operators.quality import ACCEPTED, dq_accepted_values, dq_foreign_keys, dq_reconcile, dq_report, dq_unique_keys
+from ..schemas import KEYS, REFERENCES, SCHEMAS
+from ..sources.csv_files import export_csv
+from ..sources.staging import drop_staged
+from ..sources.tables import read_table, replace_table
+from . import bronze
+from .clusters import cluster_customers, cluster_profile
+from .cohorts import cohort_retention
+from .customer360 import customer_360
+from .reports import report_clusters, report_retention_curve, report_segments
+from .rfm import rfm_base, rfm_segments
+
+
+def write_mart(df: DataFrame, root: str, table: str, mode: str = "snapshot") -> DataFrame:
+    """Store a mart and return it as stored.
+
+    snapshot: the rows of this run. upsert: rows of earlier runs stay unless this run has their key.
+    """
+    if mode not in ("snapshot", "upsert"):
+        raise ValueError(f"mode must be snapshot or upsert, not {mode}")
+    if mode == "upsert":
+        df = upsert(read_table(df.sparkSession, root, table), df, KEYS[table])
+    replace_table(df, root, table)
+    return read_table(df.sparkSession, root, table)
+
+
+def run_quality(spark: SparkSession, root: str, full: bool = True) -> DataFrame:
+    """The three standing checks, and with `full` also keys, references, values and amounts."""
+    tables = {name: read_table(spark, root, name) for name in SCHEMAS if name.startswith(("dim_", "fact_"))}
+    orders, items = tables["fact_orders"], tables["fact_order_items"]
+    report = dq_report(orders, items)
+    if full:
+        raw_dates = read_table(spark, root, "raw_orders").agg(F.count_if(F.col("order_date").isNull()).alias("bad_rows"))
+        undated = raw_dates.select(F.lit("orders_have_a_date").alias("check"), (F.col("bad_rows") == 0).alias("passed"), "bad_rows")
+        for more in (
+            dq_unique_keys(tables, KEYS),
+            dq_foreign_keys(tables, REFERENCES),
+            dq_accepted_values(tables, ACCEPTED),
+            dq_reconcile(orders, items),
+            undated,
+        ):
+            report = report.unionByName(more)
+    return report
+
+
+def run_all(
+    spark: SparkSession,
+    in_dir: str,
+    out_dir: str,
+    as_of: date | str | None = None,
+    mode: str = "snapshot",
+    truncate: bool = True,
+) -> dict[str, str]:
+    """CSV files to tables, marts, exports and reports under `out_dir`; returns the path of every output."""
+    tables, exports = f"{out_dir}/tables", f"{out_dir}/outputs"
+    bronze.load_raw(spark, in_dir, tables, truncate=truncate)
+    bronze.build_dims(spark, tables)
+    bronze.build_facts(spark, tables)
+
+    def stored(name: str) -> DataFrame:
+        return read_table(spark, tables, name)
+
+    orders, items = stored("fact_orders"), stored("fact_order_items")
+    metrics = customer_360(stored("dim_customers"), stored("dim_products"), orders, items, as_of)
+    metrics = write_mart(metrics, tables, "mart_customer_metrics", mode)
+    base = write_mart(rfm_base(orders, as_of), tables, "mart_rfm_base", mode)
+
+    outputs: dict[str, DataFrame] = {"dq_report": run_quality(spark, tables)}
+    outputs["rfm_segments"] = rfm_segments(base)
+    scored = write_mart(outputs["rfm_segments"], tables, "mart_rfm_scored")
+    clusters, _ = cluster_customers(metrics)
+    clusters = write_mart(clusters, tables, "mart_customer_clusters")
+    outputs["customer_clusters"] = clusters
+    outputs["cluster_profiles"] = cluster_profile(clusters)
+    outputs["cohort_retention"] = write_mart(cohort_retention(orders), tables, "mart_cohort_retention")
+    outputs["revenue_by_segment"] = report_segments(scored, base)
+    outputs["retention_curve"] = report_retention_curve(outputs["cohort_retention"])
+    outputs["revenue_by_cluster"] = report_clusters(clusters)
+    for name, df in outputs.items():
+        export_csv(df, f"{exports}/{name}")
+    drop_staged(spark)
+    return {name: f"{exports}/{name}" for name in outputs} | {
+        name: f"{tables}/{name}" for name in SCHEMAS
+    }
