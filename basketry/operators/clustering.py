@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -15,8 +16,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 SEED = 42
 K_MIN, K_MAX = 3, 8
+MAX_ITERATIONS = 300
+TOLERANCE = 1e-4  # of the squared movement of all centres together, in units of the feature variance
 ROWS_PER_PARTITION = 1_000_000
-MIN_PARTITIONS = 8
+BLOCK_ROWS = 16  # rows compared with all points at a time: the block of distances stays in the CPU cache
 PAIRWISE_LIMIT = 20_000  # rows up to which Euclidean silhouettes are computed; about 3 MB are broadcast
 
 
@@ -43,17 +46,34 @@ def nearest_center(columns: list[str], centers: list[list[float]]) -> Column:
 def _fixed_layout(df: DataFrame, id_col: str) -> DataFrame:
     """Same rows in the same partitions and order on every run, whatever the cluster: seeding depends on it."""
     n_rows = df.count()
-    partitions = max(MIN_PARTITIONS, math.ceil(n_rows / ROWS_PER_PARTITION))
+    partitions = max(1, math.ceil(n_rows / ROWS_PER_PARTITION))
     return df.repartition(partitions, id_col).sortWithinPartitions(id_col)
 
 
 def fit_kmeans(df: DataFrame, columns: list[str], k: int, seed: int = SEED) -> list[list[float]]:
-    """Centres of one k-means run over `columns`."""
+    """Centres of one k-means run over standardised `columns`.
+
+    Spark compares the movement of each centre with its tolerance, so the bound for all of them is shared out.
+    """
     points = VectorAssembler(inputCols=columns, outputCol="_point").transform(df).select("_point")
-    model = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4, initMode="k-means||", featuresCol="_point").fit(points)
+    per_center = math.sqrt(TOLERANCE / k)
+    model = KMeans(k=k, seed=seed, maxIter=MAX_ITERATIONS, tol=per_center, featuresCol="_point").fit(points)
     return [center.tolist() for center in model.clusterCenters()]
 
 
+def _scores(totals: np.ndarray, sizes: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Silhouette of each row from its summed distances to every cluster; 0 for a row alone in its cluster."""
+    row = np.arange(len(own))
+    inside = totals[row, own] / np.maximum(sizes[own] - 1, 1)
+    means = np.full(totals.shape, np.inf)
+    np.divide(totals, sizes, out=means, where=sizes > 0)
+    means[row, own] = np.inf
+    outside = means.min(axis=1)
+    larger = np.maximum(inside, outside)
+    scored = (sizes[own] > 1) & (larger > 0)
+    return np.where(scored, (outside - inside) / np.where(scored, larger, 1), 0.0)
+
+
 def _euclidean_silhouettes(df: DataFrame, columns: list[str], labels: list[str]) -> dict[str, float]:
     """Mean silhouette per label column from all pairwise distances, for a size-checked table.
 
@@ -69,25 +89,18 @@ def _euclidean_silhouettes(df: DataFrame, columns: list[str], labels: list[str])
         points, groups = shared.value
         members = {name: np.eye(g.max() + 1)[g] for name, g in groups.items()}
         for batch in batches:
-            for start in range(0, len(batch), 128):
-                block = batch.iloc[start : start + 128]
+            for start in range(0, len(batch), BLOCK_ROWS):
+                block = batch.iloc[start : start + BLOCK_ROWS]
                 x = block[columns].to_numpy(float)
-                squared = sum((x[:, [d]] - points[:, d]) ** 2 for d in range(len(columns)))
-                distance = np.sqrt(squared)
-                for name, member in members.items():
-                    own, sizes = block[name].to_numpy(int), member.sum(axis=0)
-                    totals, row = distance @ member, np.arange(len(x))
-                    inside = totals[row, own] / np.maximum(sizes[own] - 1, 1)
-                    means = totals / np.where(sizes > 0, sizes, np.nan)
-                    means[row, own] = np.nan
-                    outside = np.nanmin(means, axis=1)
-                    largest = np.maximum(inside, outside)
-                    score = np.where((sizes[own] > 1) & (largest > 0), (outside - inside) / np.where(largest > 0, largest, 1), 0.0)
-                    yield pd.DataFrame({"label": [name], "total": [score.sum()], "n": [len(x)]})
-
-    sums = df.select(*columns, *labels).mapInPandas(block_sums, "label string, total double, n long")
-    rows = sums.groupBy("label").agg((F.sum("total") / F.sum("n")).alias("mean")).collect()  # one row per k
-    return {row["label"]: row["mean"] for row in rows}
+                distance = np.sqrt(sum((x[:, [d]] - points[:, d]) ** 2 for d in range(len(columns))))
+                scores = [_scores(distance @ m, m.sum(axis=0), block[name].to_numpy(int)) for name, m in members.items()]
+                yield pd.DataFrame({"label": list(members), "total": [s.sum() for s in scores], "n": len(x)})
+
+    # Few rows but much work per row: spread them over all cores.
+    rows = df.select(*columns, *labels).repartition(df.sparkSession.sparkContext.defaultParallelism)
+    sums = rows.mapInPandas(block_sums, "label string, total double, n long")
+    means = sums.groupBy("label").agg((F.sum("total") / F.sum("n")).alias("mean"))
+    return {row["label"]: row["mean"] for row in means.collect()}  # one row per k
 
 
 def silhouettes(df: DataFrame, columns: list[str], labels: list[str], pairwise_limit: int = PAIRWISE_LIMIT) -> dict[str, float]:
@@ -123,11 +136,17 @@ def choose_k(
     """
     points = _fixed_layout(df.select(id_col, *columns), id_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        centers = {k: fit_kmeans(points, columns, k, seed) for k in range(k_min, k_max + 1)}
+        points.count()  # fill the cache once, not once per fit
+        fit = inheritable_thread_target(df.sparkSession)(lambda k: fit_kmeans(points, columns, k, seed))
+        tried = range(k_min, k_max + 1)
+        with ThreadPoolExecutor(len(tried)) as pool:  # the fits are independent jobs on the same cached rows
+            centers = dict(zip(tried, pool.map(fit, tried)))
         labelled = points.withColumns({f"k{k}": nearest_center(columns, c) for k, c in centers.items()})
         scores = silhouettes(labelled, columns, [f"k{k}" for k in centers], pairwise_limit)
     finally:
         points.unpersist()
     by_k = {k: scores[f"k{k}"] for k in centers}
+    if any(math.isnan(score) for score in by_k.values()):
+        raise ValueError("all rows fell into one cluster: there is nothing to choose from")
     best = max(by_k, key=lambda k: (by_k[k], -k))
     return best, by_k, centers[best]

@@ -72,7 +72,7 @@ def run_all(
     orders, items = stored("fact_orders"), stored("fact_order_items")
     metrics = customer_360(stored("dim_customers"), stored("dim_products"), orders, items, as_of)
     metrics = write_mart(metrics, tables, "mart_customer_metrics", mode)
-    base = write_mart(rfm_base(orders, as_of), tables, "mart_rfm_base", mode)
+    base = write_mart(rfm_base(orders, as_of, unique_orders=True), tables, "mart_rfm_base", mode)
 
     outputs: dict[str, DataFrame] = {"dq_report": run_quality(spark, tables)}
     outputs["rfm_segments"] = rfm_segments(base)

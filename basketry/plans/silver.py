@@ -13,7 +13,7 @@ VIEW_SQL = {
     "v_orders_completed": f"SELECT * FROM {{schema}}fact_orders WHERE status = '{COMPLETED}'",
     "v_orders_non_cancelled": f"SELECT * FROM {{schema}}fact_orders WHERE status IN ('{COMPLETED}', '{RETURNED}')",
     "v_order_items_clean": (
-        "SELECT i.* FROM {schema}fact_order_items i JOIN {schema}v_orders_non_cancelled o USING (order_id) "
+        "SELECT i.* FROM {schema}fact_order_items i JOIN {schema}v_orders_non_cancelled o ON o.order_id = i.order_id "
         "WHERE i.quantity > 0 AND i.unit_price >= 0"
     ),
 }

@@ -1,0 +1,81 @@
+"""The whole job from CSV files, twice."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import SF_DIR
+from pyspark.sql import functions as F
+
+from basketry.plans.pipeline import run_all, write_mart
+from basketry.plans.registry import QUERIES
+from basketry.sources import sales_schema as sales
+from basketry.sources.csv_files import export_csv
+from basketry.sources.tables import publish, read_table
+
+
+@pytest.fixture(scope="module")
+def job(spark, tmp_path_factory):
+    raw, out = str(tmp_path_factory.mktemp("raw")), str(tmp_path_factory.mktemp("out"))
+    export_csv(sales.customers(spark, SF_DIR), f"{raw}/customers.csv")
+    export_csv(sales.products(spark, SF_DIR), f"{raw}/products.csv")
+    export_csv(sales.orders(spark, SF_DIR), f"{raw}/orders.csv")
+    export_csv(sales.items_with_ids(spark, SF_DIR), f"{raw}/order_items.csv")
+    return raw, out, run_all(spark, raw, out, sales.AS_OF)
+
+
+def same(left, right):
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+@pytest.mark.parametrize(
+    "table,query",
+    [
+        ("dim_customers", "dim_customers"),
+        ("dim_date", "dim_date"),
+        ("fact_orders", "fact_orders"),
+        ("fact_order_items", "fact_order_items"),
+        ("mart_customer_metrics", "customer_360"),
+        ("mart_rfm_base", "rfm_base"),
+        ("mart_rfm_scored", "rfm_scored"),
+        ("mart_cohort_retention", "cohort_retention"),
+    ],
+)
+def test_stored_tables_equal_the_queries(spark, job, table, query):
+    assert same(read_table(spark, f"{job[1]}/tables", table), QUERIES[query](spark, SF_DIR))
+
+
+def test_every_output_exists(spark, job):
+    _, out, outputs = job
+    for name, path in outputs.items():
+        if path.startswith(f"{out}/outputs"):
+            assert spark.read.option("header", True).csv(path).count() > 0, name
+    clusters = read_table(spark, f"{out}/tables", "mart_customer_clusters")
+    assert clusters.count() == read_table(spark, f"{out}/tables", "dim_customers").count()
+
+
+def test_second_run_changes_nothing(spark, job, tmp_path):
+    raw, out, _ = job
+    before = read_table(spark, f"{out}/tables", "mart_customer_metrics").toPandas()
+    run_all(spark, raw, out, sales.AS_OF, mode="upsert", truncate=True)
+    after = read_table(spark, f"{out}/tables", "mart_customer_metrics").toPandas()
+    key = "customer_id"
+    assert before.sort_values(key).reset_index(drop=True).equals(after.sort_values(key).reset_index(drop=True))
+
+
+def test_upsert_mode_keeps_rows_that_left_the_window(spark, tmp_path):
+    root = str(tmp_path)
+    base = QUERIES["rfm_base"](spark, SF_DIR)
+    write_mart(base, root, "mart_rfm_base")
+    some = base.filter(F.col("customer_id") < 50).withColumn("recency_days", F.lit(-1))
+    assert write_mart(some, root, "mart_rfm_base", "upsert").count() == base.count()
+    assert write_mart(some, root, "mart_rfm_base").count() == some.count()
+    with pytest.raises(ValueError):
+        write_mart(some, root, "mart_rfm_base", "append")
+
+
+def test_catalog_names(spark, job):
+    publish(spark, f"{job[1]}/tables")
+    done = spark.sql("SELECT count(*) FROM retail.v_orders_completed").first()[0]
+    assert done == spark.sql("SELECT count(*) FROM retail.fact_orders WHERE status = 'completed'").first()[0] > 0
+    assert spark.sql("SELECT * FROM retail.v_order_items_clean").columns == spark.table("retail.fact_order_items").columns
+    assert same(spark.table("retail.v_order_items_clean"), QUERIES["items_clean"](spark, SF_DIR))
