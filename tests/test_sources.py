@@ -91,7 +91,7 @@ def test_failed_replacement_leaves_the_table(spark, tmp_path):
 
 
 def test_export_has_a_header(spark, tmp_path):
-    df = spark.createDataFrame([(1, 'say "hi", now')], "id int, v string")
+    df = spark.createDataFrame([(1, 'say "hi", now')], "id int, v string").coalesce(1)
     export_csv(df, str(tmp_path / "out"))
     text = next((tmp_path / "out").glob("part-*.csv")).read_text()
     assert text == 'id,v\n1,"say ""hi"", now"\n'
