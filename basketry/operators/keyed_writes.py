@@ -35,11 +35,14 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def insert_new(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """`target` with the rows of `batch` whose key it does not hold; the smallest row of a repeated key."""
+    """`target` with the rows of `batch` whose key it does not hold; the smallest row of a repeated key.
+
+    Repeated keys collapse on the map side before the join, however often one occurs.
+    """
     rest = [c for c in target.columns if c not in keys]
-    fresh = batch.join(target.select(*keys), keys, "left_anti")
     if rest:
-        fresh = fresh.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("rest")).select(*keys, "rest.*")
+        single = batch.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_rest")).select(*keys, "_rest.*")
     else:
-        fresh = fresh.select(*keys).distinct()
+        single = batch.select(*keys).distinct()
+    fresh = single.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(fresh.select(*target.columns))

@@ -52,6 +52,30 @@ def run_quality(spark: SparkSession, root: str, full: bool = True) -> DataFrame:
     return report
 
 
+def _build_outputs(spark: SparkSession, tables: str, as_of: date | str | None, mode: str) -> dict[str, DataFrame]:
+    """Fill the marts and return the frames to export, each read from a stored mart."""
+    orders, items = read_table(spark, tables, "fact_orders"), read_table(spark, tables, "fact_order_items")
+    customers, products = read_table(spark, tables, "dim_customers"), read_table(spark, tables, "dim_products")
+
+    metrics = customer_360(customers, products, orders, items, as_of)
+    metrics = write_mart(metrics, tables, "mart_customer_metrics", mode)
+    base = write_mart(rfm_base(orders, as_of, unique_orders=True), tables, "mart_rfm_base", mode)
+    segments = rfm_segments(base)
+    scored = write_mart(segments, tables, "mart_rfm_scored")
+    clusters = write_mart(cluster_customers(metrics)[0], tables, "mart_customer_clusters")
+    retention = write_mart(cohort_retention(orders), tables, "mart_cohort_retention")
+    return {
+        "dq_report": run_quality(spark, tables),
+        "rfm_segments": segments,
+        "customer_clusters": clusters,
+        "cluster_profiles": cluster_profile(clusters),
+        "cohort_retention": retention,
+        "revenue_by_segment": report_segments(scored, base),
+        "retention_curve": report_retention_curve(retention),
+        "revenue_by_cluster": report_clusters(clusters),
+    }
+
+
 def run_all(
     spark: SparkSession,
     in_dir: str,
@@ -62,32 +86,13 @@ def run_all(
 ) -> dict[str, str]:
     """CSV files to tables, marts, exports and reports under `out_dir`; returns the path of every output."""
     tables, exports = f"{out_dir}/tables", f"{out_dir}/outputs"
-    bronze.load_raw(spark, in_dir, tables, truncate=truncate)
-    bronze.build_dims(spark, tables)
-    bronze.build_facts(spark, tables)
-
-    def stored(name: str) -> DataFrame:
-        return read_table(spark, tables, name)
-
-    orders, items = stored("fact_orders"), stored("fact_order_items")
-    metrics = customer_360(stored("dim_customers"), stored("dim_products"), orders, items, as_of)
-    metrics = write_mart(metrics, tables, "mart_customer_metrics", mode)
-    base = write_mart(rfm_base(orders, as_of, unique_orders=True), tables, "mart_rfm_base", mode)
-
-    outputs: dict[str, DataFrame] = {"dq_report": run_quality(spark, tables)}
-    outputs["rfm_segments"] = rfm_segments(base)
-    scored = write_mart(outputs["rfm_segments"], tables, "mart_rfm_scored")
-    clusters, _ = cluster_customers(metrics)
-    clusters = write_mart(clusters, tables, "mart_customer_clusters")
-    outputs["customer_clusters"] = clusters
-    outputs["cluster_profiles"] = cluster_profile(clusters)
-    outputs["cohort_retention"] = write_mart(cohort_retention(orders), tables, "mart_cohort_retention")
-    outputs["revenue_by_segment"] = report_segments(scored, base)
-    outputs["retention_curve"] = report_retention_curve(outputs["cohort_retention"])
-    outputs["revenue_by_cluster"] = report_clusters(clusters)
-    for name, df in outputs.items():
-        export_csv(df, f"{exports}/{name}")
-    drop_staged(spark)
-    return {name: f"{exports}/{name}" for name in outputs} | {
-        name: f"{tables}/{name}" for name in SCHEMAS
-    }
+    try:
+        bronze.load_raw(spark, in_dir, tables, truncate=truncate)
+        bronze.build_dims(spark, tables)
+        bronze.build_facts(spark, tables)
+        outputs = _build_outputs(spark, tables, as_of, mode)
+        for name, df in outputs.items():
+            export_csv(df, f"{exports}/{name}")
+    finally:
+        drop_staged(spark)
+    return {name: f"{exports}/{name}" for name in outputs} | {name: f"{tables}/{name}" for name in SCHEMAS}

@@ -76,6 +76,14 @@ KEYS: dict[str, list[str]] = {
     "mart_customer_clusters": ["customer_id"],
 }
 
+# Sort order of the stored facts. Files then cover narrow ranges: a date filter skips whole files by their
+# statistics, and the items of an order lie together, so they add up before they are shuffled. The key
+# comes second, so a date or order with very many rows still spreads over files.
+CLUSTERED_BY: dict[str, list[str]] = {
+    "fact_orders": ["order_date", "order_id"],
+    "fact_order_items": ["order_id", "order_item_id"],
+}
+
 # Foreign keys: (child table, child column, parent table, parent column).
 REFERENCES: list[tuple[str, str, str, str]] = [
     ("fact_orders", "customer_id", "dim_customers", "customer_id"),

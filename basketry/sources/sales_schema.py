@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.ranking import global_rank
 from ..schemas import conform
@@ -18,6 +18,16 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def _hundredths(amount: str) -> Column:
+    """A double with at most two decimals as a whole number; a decimal cast would go through text."""
+    return F.rint(F.col(amount) * 100).cast("long")
+
+
+def _scaled(whole: Column, digits: int, kind: str) -> Column:
+    """A whole number times 10^-digits. Decimal multiplication is exact and cheaper than division."""
+    return (whole * F.lit(f"1e-{digits}").cast(f"decimal({digits + 1},{digits})")).cast(kind)
+
+
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     nation = _read(spark, folder, "nation").select("n_nationkey", "n_name")
     rows = _read(spark, folder, "customer")
@@ -49,8 +59,8 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the discounts of their lines summed up; plans that do not use the sum skip the lines."""
-    discount = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_discount").cast("decimal(4,2)")
-    discounts = _read(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.sum(discount).alias("discount_total"))
+    discount = (_hundredths("l_extendedprice") * _hundredths("l_discount")).cast("decimal(18,0)")
+    discounts = _read(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.sum(discount).alias("discount"))
     rows = _read(spark, folder, "orders")
     status = F.lit(None).cast("string")
     for letter, name in STATUS.items():
@@ -63,24 +73,24 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
             status.alias("status"),
             F.col("o_orderpriority").alias("payment_type"),
             F.col("o_totalprice").alias("order_total"),
-            F.coalesce("discount_total", F.lit(0)).alias("discount_total"),
+            F.coalesce(_scaled(F.col("discount"), 4, "decimal(12,2)"), F.lit(0)).alias("discount_total"),
             F.lit(0).alias("shipping_total"),
         ),
         "raw_orders",
     )
 
 
-def _item_columns(rows: DataFrame, item_id) -> DataFrame:
-    quantity, total = F.col("l_quantity").cast("int"), F.col("l_extendedprice").cast("decimal(12,2)")
-    cents = F.call_function("div", (total * 100).cast("long"), quantity.cast("long"))
+def _item_columns(rows: DataFrame, item_id: Column) -> DataFrame:
+    quantity, cents = F.col("l_quantity").cast("int"), _hundredths("l_extendedprice")
+    unit_cents = F.call_function("div", cents, quantity.cast("long"))
     return conform(
         rows.select(
             item_id.alias("order_item_id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             quantity.alias("quantity"),
-            (cents.cast("decimal(14,0)") / 100).alias("unit_price"),
-            total.alias("line_total"),
+            _scaled(unit_cents.cast("decimal(14,0)"), 2, "decimal(12,2)").alias("unit_price"),
+            _scaled(cents.cast("decimal(14,0)"), 2, "decimal(12,2)").alias("line_total"),
         ),
         "raw_order_items",
     )

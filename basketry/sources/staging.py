@@ -12,17 +12,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _DIR_KEY = "spark.checkpoint.dir"
+_local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by the session; on a local master without one, a fresh temporary folder."""
-    folder = spark.conf.get(_DIR_KEY, None)
+    """This application's part of the folder the session names.
+
+    A local master without the setting gets a fresh temporary folder; a cluster without it is an error.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get(_DIR_KEY, None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {_DIR_KEY} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="basketry-")
-        spark.conf.set(_DIR_KEY, folder)
-    return f"{folder.rstrip('/')}/basketry-{spark.sparkContext.applicationId}"
+        if context.applicationId not in _local_dirs:
+            _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="basketry-")
+        folder = _local_dirs[context.applicationId]
+    return f"{folder.rstrip('/')}/basketry-{context.applicationId}"
 
 
 def stage(df: DataFrame) -> DataFrame:

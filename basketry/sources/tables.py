@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import SCHEMAS, conform
+from ..schemas import CLUSTERED_BY, SCHEMAS, conform
 
 
 def _path(spark: SparkSession, path: str):
@@ -65,8 +65,11 @@ def replace_table(df: DataFrame, root: str, table: str) -> None:
     spark, path = df.sparkSession, table_path(root, table)
     _settle(spark, path)
     fresh = f"{path}.new-{uuid.uuid4().hex}"
+    rows = conform(df, table)
+    if table in CLUSTERED_BY:
+        rows = rows.repartitionByRange(*CLUSTERED_BY[table]).sortWithinPartitions(*CLUSTERED_BY[table])
     try:
-        conform(df, table).write.parquet(fresh)
+        rows.write.parquet(fresh)
     except Exception:
         _delete(spark, fresh)
         raise
@@ -83,6 +86,11 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     return df
 
 
+def preview(df: DataFrame, rows: int = 2) -> DataFrame:
+    """A few rows to look at."""
+    return df.limit(rows)
+
+
 def publish(spark: SparkSession, root: str, database: str = "retail") -> None:
     """Give the stored tables and the cleaning views names in the catalog, for plain SQL."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")

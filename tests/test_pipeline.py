@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from basketry.plans.pipeline import run_all, write_mart
 from basketry.plans.registry import QUERIES
+from basketry.plans.rfm import rfm_base
 from basketry.sources import sales_schema as sales
 from basketry.sources.csv_files import export_csv
 from basketry.sources.tables import publish, read_table
@@ -79,3 +83,24 @@ def test_catalog_names(spark, job):
     assert done == spark.sql("SELECT count(*) FROM retail.fact_orders WHERE status = 'completed'").first()[0] > 0
     assert spark.sql("SELECT * FROM retail.v_order_items_clean").columns == spark.table("retail.fact_order_items").columns
     assert same(spark.table("retail.v_order_items_clean"), QUERIES["items_clean"](spark, SF_DIR))
+
+
+def test_date_filters_reach_the_stored_orders(spark, job):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    orders = read_table(spark, f"{job[1]}/tables", "fact_orders")
+    plan = rfm_base(orders, sales.AS_OF, unique_orders=True)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(order_date,2000-08-01)" in pushed and "EqualTo(status,completed)" in pushed
+    read = plan[plan.index("ReadSchema") :]
+    assert "payment_type" not in read and "discount_total" not in read
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_stored_orders_are_clustered_by_date(spark, job):
+    path = Path(f"{job[1]}/tables/fact_orders")
+    spans = sorted(
+        (pq.read_table(f, columns=["order_date"])["order_date"].to_numpy() for f in path.glob("*.parquet")),
+        key=lambda days: days[0],
+    )
+    assert all(list(days) == sorted(days) for days in spans)
+    assert all(left[-1] <= right[0] for left, right in zip(spans, spans[1:]))

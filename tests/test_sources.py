@@ -9,7 +9,7 @@ from conftest import frame
 from basketry.plans.bronze import load_raw
 from basketry.sources.csv_files import export_csv, read_raw
 from basketry.sources.staging import drop_staged, shared_dir, stage
-from basketry.sources.tables import has_table, read_table, replace_table, require_rows
+from basketry.sources.tables import has_table, preview, read_table, replace_table, require_rows
 
 FILES = {
     "customers.csv": "customer_id,signup_date,country,channel,email_domain,is_active\n1,2024-01-05,US,web,gmail.com,True\n2,,NA,mobile,\"a,b \"\"c\"\"\",False\n",
@@ -97,6 +97,10 @@ def test_export_has_a_header(spark, tmp_path):
     assert text == 'id,v\n1,"say ""hi"", now"\n'
 
 
+def test_preview(spark):
+    assert preview(spark.range(9)).count() == 2
+
+
 def test_require_rows(spark):
     df = spark.range(1)
     assert require_rows(df, "no rows") is df
