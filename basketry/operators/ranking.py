@@ -26,7 +26,8 @@ def global_rank(df: DataFrame, order_by: list[str], name: str = "rank") -> DataF
 
     One range shuffle. The input position is the last sort key, so a value shared by most rows is still
     spread over many ranges. The sorted rows are staged, because range limits come from a sample and
-    would differ from one job to the next.
+    would differ from one job to the next. Where `order_by` has ties, pass a scan or a stored table: its
+    input order is the same when a lost task runs again.
     """
     placed = (
         df.withColumn("_position", F.monotonically_increasing_id())

@@ -38,4 +38,4 @@ def cohort_retention(orders: DataFrame) -> DataFrame:
     own_month = F.when(F.col("active_month") == F.col("cohort_month"), F.col("active_users"))
     sized = active.withColumn("cohort_size", F.max(own_month).over(Window.partitionBy("cohort_month")))
     rates = sized.withColumn("retention_rate", ratio(F.col("active_users"), F.col("cohort_size"), "decimal(10,4)"))
-    return conform(rates, "mart_cohort_retention").orderBy("cohort_month", "active_month")
+    return conform(rates, "mart_cohort_retention").orderBy("cohort_month", F.asc_nulls_last("active_month"))

@@ -315,7 +315,10 @@ ORACLES: dict[str, str] = {
     "customer_base": _query("SELECT * FROM base", "base"),
     "customer_360": _query("SELECT * FROM metrics", "metrics"),
     "rfm_base": _query("SELECT * FROM rfm", "rfm"),
-    "rfm_ranks": _query("SELECT customer_id, monetary_value, mr AS rank FROM ranked", "ranked"),
+    "rfm_ranks": _query(
+        "SELECT customer_id, monetary_value, mr AS rank, m_score AS quintile FROM ranked JOIN scores USING (customer_id, monetary_value)",
+        "scores",
+    ),
     "rfm_segments": _query("SELECT * FROM segmented", "segmented"),
     "rfm_scored": _query("SELECT customer_id, r_score, f_score, m_score, rfm_score, segment FROM segmented", "segmented"),
     "rfm_segment_counts": _query("SELECT segment, count(*) AS customers FROM segmented GROUP BY segment", "segmented"),

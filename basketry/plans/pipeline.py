@@ -1,13 +1,23 @@
-"""The whole job, in dependency order."""
+"""The whole job, in dependency order. Every step reads stored tables and can run on its own."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.keyed_writes import upsert
-from ..operators.quality import ACCEPTED, dq_accepted_values, dq_foreign_keys, dq_reconcile, dq_report, dq_unique_keys
+from ..operators.quality import (
+    ACCEPTED,
+    check_rows,
+    dq_accepted_values,
+    dq_foreign_keys,
+    dq_reconcile,
+    dq_report,
+    dq_unique_keys,
+)
 from ..schemas import KEYS, REFERENCES, SCHEMAS
 from ..sources.csv_files import export_csv
 from ..sources.staging import drop_staged
@@ -33,47 +43,61 @@ def write_mart(df: DataFrame, root: str, table: str, mode: str = "snapshot") ->
     return read_table(df.sparkSession, root, table)
 
 
-def run_quality(spark: SparkSession, root: str, full: bool = True) -> DataFrame:
-    """The three standing checks, and with `full` also keys, references, values and amounts."""
+def quality(spark: SparkSession, root: str, full: bool = True) -> DataFrame:
+    """The three standing checks, and with `full` also keys, references, dates, values and amounts."""
     tables = {name: read_table(spark, root, name) for name in SCHEMAS if name.startswith(("dim_", "fact_"))}
     orders, items = tables["fact_orders"], tables["fact_order_items"]
     report = dq_report(orders, items)
     if full:
-        raw_dates = read_table(spark, root, "raw_orders").agg(F.count_if(F.col("order_date").isNull()).alias("bad_rows"))
-        undated = raw_dates.select(F.lit("orders_have_a_date").alias("check"), (F.col("bad_rows") == 0).alias("passed"), "bad_rows")
+        undated = F.count_if(F.col("order_date").isNull())
         for more in (
             dq_unique_keys(tables, KEYS),
             dq_foreign_keys(tables, REFERENCES),
+            check_rows(read_table(spark, root, "raw_orders"), {"orders_have_a_date": undated}),
             dq_accepted_values(tables, ACCEPTED),
             dq_reconcile(orders, items),
-            undated,
         ):
             report = report.unionByName(more)
     return report
 
 
-def _build_outputs(spark: SparkSession, tables: str, as_of: date | str | None, mode: str) -> dict[str, DataFrame]:
-    """Fill the marts and return the frames to export, each read from a stored mart."""
-    orders, items = read_table(spark, tables, "fact_orders"), read_table(spark, tables, "fact_order_items")
-    customers, products = read_table(spark, tables, "dim_customers"), read_table(spark, tables, "dim_products")
-
-    metrics = customer_360(customers, products, orders, items, as_of)
-    metrics = write_mart(metrics, tables, "mart_customer_metrics", mode)
-    base = write_mart(rfm_base(orders, as_of, unique_orders=True), tables, "mart_rfm_base", mode)
-    segments = rfm_segments(base)
-    scored = write_mart(segments, tables, "mart_rfm_scored")
-    clusters = write_mart(cluster_customers(metrics)[0], tables, "mart_customer_clusters")
-    retention = write_mart(cohort_retention(orders), tables, "mart_cohort_retention")
-    return {
-        "dq_report": run_quality(spark, tables),
-        "rfm_segments": segments,
-        "customer_clusters": clusters,
-        "cluster_profiles": cluster_profile(clusters),
-        "cohort_retention": retention,
-        "revenue_by_segment": report_segments(scored, base),
-        "retention_curve": report_retention_curve(retention),
-        "revenue_by_cluster": report_clusters(clusters),
-    }
+def build_marts(spark: SparkSession, root: str, as_of: date | str | None = None, mode: str = "snapshot") -> None:
+    """Dimensions, facts, customer metrics and RFM base from the raw tables."""
+    bronze.build_dims(spark, root)
+    bronze.build_facts(spark, root)
+    customers, products = read_table(spark, root, "dim_customers"), read_table(spark, root, "dim_products")
+    orders, items = read_table(spark, root, "fact_orders"), read_table(spark, root, "fact_order_items")
+    write_mart(customer_360(customers, products, orders, items, as_of), root, "mart_customer_metrics", mode)
+    write_mart(rfm_base(orders, as_of, unique_orders=True), root, "mart_rfm_base", mode)
+
+
+def score_customers(spark: SparkSession, root: str, exports: str) -> None:
+    segments = rfm_segments(read_table(spark, root, "mart_rfm_base"))
+    export_csv(segments, f"{exports}/rfm_segments")
+    write_mart(segments, root, "mart_rfm_scored")
+
+
+def group_customers(spark: SparkSession, root: str, exports: str) -> None:
+    clusters, _ = cluster_customers(read_table(spark, root, "mart_customer_metrics"))
+    clusters = write_mart(clusters, root, "mart_customer_clusters")
+    export_csv(clusters, f"{exports}/customer_clusters")
+    export_csv(cluster_profile(clusters), f"{exports}/cluster_profiles")
+
+
+def follow_cohorts(spark: SparkSession, root: str, exports: str) -> None:
+    retention = write_mart(cohort_retention(read_table(spark, root, "fact_orders")), root, "mart_cohort_retention")
+    export_csv(retention, f"{exports}/cohort_retention")
+
+
+def reports(spark: SparkSession, root: str, exports: str) -> None:
+    """The tables behind the charts; a report without input is skipped."""
+    base, scored = read_table(spark, root, "mart_rfm_base"), read_table(spark, root, "mart_rfm_scored")
+    retention, clusters = read_table(spark, root, "mart_cohort_retention"), read_table(spark, root, "mart_customer_clusters")
+    export_csv(report_segments(scored, base), f"{exports}/revenue_by_segment")
+    if not retention.isEmpty():
+        export_csv(report_retention_curve(retention), f"{exports}/retention_curve")
+    if not clusters.isEmpty():
+        export_csv(report_clusters(clusters), f"{exports}/revenue_by_cluster")
 
 
 def run_all(
@@ -83,16 +107,17 @@ def run_all(
     as_of: date | str | None = None,
     mode: str = "snapshot",
     truncate: bool = True,
-) -> dict[str, str]:
-    """CSV files to tables, marts, exports and reports under `out_dir`; returns the path of every output."""
-    tables, exports = f"{out_dir}/tables", f"{out_dir}/outputs"
+) -> tuple[str, str]:
+    """CSV files to tables, marts, exports and reports; returns the folders of tables and of exports."""
+    root, exports = f"{out_dir}/tables", f"{out_dir}/outputs"
     try:
-        bronze.load_raw(spark, in_dir, tables, truncate=truncate)
-        bronze.build_dims(spark, tables)
-        bronze.build_facts(spark, tables)
-        outputs = _build_outputs(spark, tables, as_of, mode)
-        for name, df in outputs.items():
-            export_csv(df, f"{exports}/{name}")
+        bronze.load_raw(spark, in_dir, root, truncate=truncate)
+        build_marts(spark, root, as_of, mode)
+        export_csv(quality(spark, root), f"{exports}/dq_report")
+        with ThreadPoolExecutor(3) as pool:  # independent of each other: their jobs share the cluster
+            run = inheritable_thread_target(spark)(lambda step: step(spark, root, exports))
+            list(pool.map(run, [score_customers, group_customers, follow_cohorts]))
+        reports(spark, root, exports)
     finally:
         drop_staged(spark)
-    return {name: f"{exports}/{name}" for name in outputs} | {name: f"{tables}/{name}" for name in SCHEMAS}
+    return root, exports

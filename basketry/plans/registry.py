@@ -10,7 +10,7 @@ from ..functions.dates import as_of_column
 from ..operators.clustering import choose_k, standardize
 from ..operators.keyed_writes import insert_new, upsert
 from ..operators.quality import dq_accepted_values, dq_foreign_keys, dq_reconcile, dq_report, dq_unique_keys
-from ..operators.ranking import global_rank
+from ..operators.ranking import global_rank, quintile_of_rank
 from ..schemas import KEYS, REFERENCES
 from ..sources import sales_schema as sales
 from ..sources.staging import stage
@@ -37,14 +37,14 @@ def _date_rows(spark: SparkSession, d: str) -> DataFrame:
     return bronze.date_rows(sales.orders(spark, d))
 
 
-def _facts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def _tables(spark: SparkSession, d: str, item_ids: bool = False) -> dict[str, DataFrame]:
     raw_orders = sales.orders(spark, d)
     return {
         "dim_customers": sales.customers(spark, d),
         "dim_products": sales.products(spark, d),
         "dim_date": bronze.date_rows(raw_orders),
         "fact_orders": raw_orders,
-        "fact_order_items": sales.items_with_ids(spark, d),
+        "fact_order_items": (sales.items_with_ids if item_ids else sales.items)(spark, d),
     }
 
 
@@ -83,8 +83,10 @@ def _base(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _rfm_ranks(spark: SparkSession, d: str) -> DataFrame:
-    """Position of every customer by monetary value, ties by id."""
-    return global_rank(_base(spark, d).select("customer_id", "monetary_value"), ["monetary_value", "customer_id"])
+    """Position of every customer by monetary value, ties by id, and the quintile of that position."""
+    base = stage(_base(spark, d).select("customer_id", "monetary_value"))
+    ranked = global_rank(base, ["monetary_value", "customer_id"])
+    return ranked.withColumn("quintile", quintile_of_rank(F.col("rank"), F.lit(base.count())))
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
@@ -150,9 +152,9 @@ QUERIES: dict[str, Query] = {
     "retention_curve": lambda s, d: report_retention_curve(cohort_retention(sales.orders(s, d))),
     "segment_report": _segment_report,
     "dq_report": lambda s, d: dq_report(sales.orders(s, d), sales.items(s, d)),
-    "dq_unique_keys": lambda s, d: dq_unique_keys(_facts(s, d), KEYS),
-    "dq_foreign_keys": lambda s, d: dq_foreign_keys(_facts(s, d), REFERENCES),
-    "dq_accepted_values": lambda s, d: dq_accepted_values(_facts(s, d)),
+    "dq_unique_keys": lambda s, d: dq_unique_keys(_tables(s, d, item_ids=True), KEYS),
+    "dq_foreign_keys": lambda s, d: dq_foreign_keys(_tables(s, d), REFERENCES),
+    "dq_accepted_values": lambda s, d: dq_accepted_values(_tables(s, d)),
     "dq_reconcile": lambda s, d: dq_reconcile(sales.orders(s, d), sales.items(s, d)),
     "cluster_features": _features,
     "standardized_features": _standardized,

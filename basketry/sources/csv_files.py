@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
@@ -39,8 +40,13 @@ def read_raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """
     file = next(f for f, t in RAW_FILES.items() if t == table)
     path = f"{folder.rstrip('/')}/{file}"
-    # Only the header line is read here: with every column text there is nothing to infer.
-    header = spark.read.option("header", True).csv(path).columns
+    try:
+        # Only the header line is read here: with every column text there is nothing to infer.
+        header = spark.read.option("header", True).csv(path).columns
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"missing {path}") from error
+        raise
     wanted = SCHEMAS[table]
     unknown = sorted(set(header) - set(wanted.names))
     if unknown:

@@ -9,9 +9,11 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from basketry.plans.pipeline import run_all, write_mart
+from basketry.__main__ import main
+from basketry.plans.pipeline import quality, reports, run_all, write_mart
 from basketry.plans.registry import QUERIES
 from basketry.plans.rfm import rfm_base
+from basketry.schemas import SCHEMAS
 from basketry.sources import sales_schema as sales
 from basketry.sources.csv_files import export_csv
 from basketry.sources.tables import publish, read_table
@@ -49,21 +51,37 @@ def test_stored_tables_equal_the_queries(spark, job, table, query):
 
 
 def test_every_output_exists(spark, job):
-    _, out, outputs = job
-    for name, path in outputs.items():
-        if path.startswith(f"{out}/outputs"):
-            assert spark.read.option("header", True).csv(path).count() > 0, name
+    _, out, (root, exports) = job
+    names = [
+        "dq_report", "rfm_segments", "customer_clusters", "cluster_profiles", "cohort_retention",
+        "revenue_by_segment", "retention_curve", "revenue_by_cluster",
+    ]
+    assert sorted(p.name for p in Path(exports).iterdir()) == sorted(names)
+    for name in names:
+        assert spark.read.option("header", True).csv(f"{exports}/{name}").count() > 0, name
+    assert sorted(p.name for p in Path(root).iterdir()) == sorted(SCHEMAS)
     clusters = read_table(spark, f"{out}/tables", "mart_customer_clusters")
     assert clusters.count() == read_table(spark, f"{out}/tables", "dim_customers").count()
 
 
-def test_second_run_changes_nothing(spark, job, tmp_path):
+def test_second_run_changes_nothing(spark, job):
     raw, out, _ = job
-    before = read_table(spark, f"{out}/tables", "mart_customer_metrics").toPandas()
-    run_all(spark, raw, out, sales.AS_OF, mode="upsert", truncate=True)
-    after = read_table(spark, f"{out}/tables", "mart_customer_metrics").toPandas()
-    key = "customer_id"
-    assert before.sort_values(key).reset_index(drop=True).equals(after.sort_values(key).reset_index(drop=True))
+    for arguments in (["load", "--truncate"], ["build", "--mode", "upsert"]):
+        main([*arguments, "--data-dir", raw, "--out", out, "--as-of", sales.AS_OF])
+    for table in ("dim_date", "fact_orders", "mart_customer_metrics", "mart_rfm_base"):
+        query = "customer_360" if table == "mart_customer_metrics" else table.replace("mart_", "")
+        assert same(read_table(spark, f"{out}/tables", table), QUERIES[query](spark, SF_DIR)), table
+
+
+def test_full_quality_report(spark, job):
+    report = {r.check: r.bad_rows for r in quality(spark, f"{job[1]}/tables").collect()}
+    assert len(report) == 3 + 5 + 4 + 1 + 7 + 4
+    assert all(bad == 0 for check, bad in report.items() if check.startswith(("unique_key", "foreign_key", "no_", "orders_have")))
+
+
+def test_reports_without_input_are_skipped(spark, tmp_path):
+    reports(spark, str(tmp_path / "tables"), str(tmp_path / "outputs"))
+    assert [p.name for p in (tmp_path / "outputs").iterdir()] == ["revenue_by_segment"]
 
 
 def test_upsert_mode_keeps_rows_that_left_the_window(spark, tmp_path):

@@ -50,8 +50,9 @@ def test_bad_text_stops_the_job(spark, raw_dir):
 
 def test_missing_file(spark, raw_dir):
     (raw_dir / "orders.csv").unlink()
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(FileNotFoundError, match="orders.csv"):
         load_raw(spark, str(raw_dir), str(raw_dir / "tables"))
+    assert not has_table(spark, str(raw_dir / "tables"), "raw_customers")
 
 
 def test_load_appends_or_truncates(spark, raw_dir):
