@@ -36,11 +36,11 @@ def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def nearest_center(columns: list[str], centers: list[list[float]]) -> Column:
     """Index of the closest centre by Euclidean distance, the first one on ties."""
-    distances = []
-    for i, center in enumerate(centers):
-        squares = [(F.col(c) - F.lit(float(x))) * (F.col(c) - F.lit(float(x))) for c, x in zip(columns, center)]
-        distances.append(F.struct(sum(squares[1:], squares[0]).alias("d"), F.lit(i).alias("i")))
-    return F.array_min(F.array(*distances))["i"]
+    candidates = []
+    for index, center in enumerate(centers):
+        gaps = [f"(`{c}` - ({float(x)!r}D))" for c, x in zip(columns, center)]
+        candidates.append(f"struct({' + '.join(f'{gap} * {gap}' for gap in gaps)} AS distance, {index} AS index)")
+    return F.expr(f"array_min(array({', '.join(candidates)})).index")
 
 
 def _fixed_layout(df: DataFrame, id_col: str) -> DataFrame:
@@ -87,14 +87,20 @@ def _euclidean_silhouettes(df: DataFrame, columns: list[str], labels: list[str])
 
     def block_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         points, groups = shared.value
-        members = {name: np.eye(g.max() + 1)[g] for name, g in groups.items()}
+        members = [np.eye(groups[name].max() + 1)[groups[name]] for name in labels]
+        sizes = [member.sum(axis=0) for member in members]
+        all_members, ends = np.hstack(members), np.cumsum([member.shape[1] for member in members])[:-1]
+        sums = np.zeros(len(labels))
+        n = 0
         for batch in batches:
+            xs, owns = batch[columns].to_numpy(float), batch[labels].to_numpy(int)
             for start in range(0, len(batch), BLOCK_ROWS):
-                block = batch.iloc[start : start + BLOCK_ROWS]
-                x = block[columns].to_numpy(float)
+                x, own = xs[start : start + BLOCK_ROWS], owns[start : start + BLOCK_ROWS]
                 distance = np.sqrt(sum((x[:, [d]] - points[:, d]) ** 2 for d in range(len(columns))))
-                scores = [_scores(distance @ m, m.sum(axis=0), block[name].to_numpy(int)) for name, m in members.items()]
-                yield pd.DataFrame({"label": list(members), "total": [s.sum() for s in scores], "n": len(x)})
+                totals = np.split(distance @ all_members, ends, axis=1)
+                sums += [_scores(t, sizes[i], own[:, i]).sum() for i, t in enumerate(totals)]
+            n += len(batch)
+        yield pd.DataFrame({"label": labels, "total": sums, "n": n})
 
     # Few rows but much work per row: spread them over all cores.
     rows = df.select(*columns, *labels).repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -42,16 +42,32 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows without a parent, as (key, n_rows); a NULL key has no parent."""
-    counted = child.groupBy(F.col(column).alias("key")).agg(F.count("*").alias("n_rows"))
-    return counted.join(parent.select(F.col(parent_column).alias("key")), "key", "left_anti")
+def rows_per_key(child: DataFrame, column: str) -> DataFrame:
+    return child.groupBy(column).agg(F.count("*").alias("n_rows"))
 
 
-def dq_report(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """The three standing checks."""
+def orphan_rows(counted: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Keys of `counted`, one row per key with its `n_rows`, that have no parent; a NULL key has none."""
+    keys = counted.select(F.col(column).alias("key"), "n_rows")
+    return keys.join(parent.select(F.col(parent_column).alias("key")), "key", "left_anti")
+
+
+def order_rollup(items: DataFrame) -> DataFrame:
+    """What the checks need to know about the items of an order, one row per order."""
+    line = F.col("line_total")
+    return items.groupBy("order_id").agg(
+        F.count("*").alias("n_rows"),
+        F.sum(line).alias("lines_total"),
+        F.count_if(line != F.round(F.col("unit_price") * F.col("quantity"), 2)).alias("lines_off"),
+        F.count_if(line != 0).alias("lines_not_zero"),
+    )
+
+
+def dq_report(orders: DataFrame, items: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
+    """The three standing checks. A stored `order_rollup` saves counting the items again."""
     negative = (F.col("status") == "completed") & (F.col("order_total") < 0)
-    orphans = orphan_rows(items, "order_id", orders, "order_id")
+    counted = rows_per_key(items, "order_id") if rollup is None else rollup
+    orphans = orphan_rows(counted, "order_id", orders, "order_id")
     return _stack(
         [
             check_rows(orders, {"no_negative_revenue_completed": F.count_if(negative)}),
@@ -71,17 +87,23 @@ def dq_unique_keys(tables: dict[str, DataFrame], keys: dict[str, list[str]]) ->
     )
 
 
-def dq_foreign_keys(tables: dict[str, DataFrame], references: list[tuple[str, str, str, str]]) -> DataFrame:
-    """Per reference, child rows whose key is set but has no parent row."""
-    return _stack(
-        [
-            check_rows(
-                orphan_rows(tables[child].filter(F.col(column).isNotNull()), column, tables[parent], parent_column),
-                {f"foreign_key:{child}.{column}": F.sum("n_rows")},
-            )
-            for child, column, parent, parent_column in references
-        ]
-    )
+def dq_foreign_keys(
+    tables: dict[str, DataFrame],
+    references: list[tuple[str, str, str, str]],
+    counted: dict[tuple[str, str], DataFrame] | None = None,
+) -> DataFrame:
+    """Per reference, child rows whose key is set but has no parent row.
+
+    `counted` may hold rows per key already stored, by (child table, column).
+    """
+    checks = []
+    for child, column, parent, parent_column in references:
+        keys = (counted or {}).get((child, column))
+        if keys is None:
+            keys = rows_per_key(tables[child], column)
+        orphans = orphan_rows(keys.filter(F.col(column).isNotNull()), column, tables[parent], parent_column)
+        checks.append(check_rows(orphans, {f"foreign_key:{child}.{column}": F.sum("n_rows")}))
+    return _stack(checks)
 
 
 def dq_accepted_values(tables: dict[str, DataFrame], accepted: dict[str, dict[str, list[str]]] = ACCEPTED) -> DataFrame:
@@ -97,15 +119,9 @@ def dq_accepted_values(tables: dict[str, DataFrame], accepted: dict[str, dict[st
     )
 
 
-def dq_reconcile(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Line and order amounts against each other: items shrink to one row per order before the join."""
-    line = F.col("line_total")
-    per_order = items.groupBy("order_id").agg(
-        F.sum(line).alias("lines_total"),
-        F.count_if(line != F.round(F.col("unit_price") * F.col("quantity"), 2)).alias("lines_off"),
-        F.count_if(line != 0).alias("lines_not_zero"),
-    )
-    joined = orders.join(per_order, "order_id", "left")
+def dq_reconcile(orders: DataFrame, rollup: DataFrame) -> DataFrame:
+    """Line and order amounts against each other, from the orders and the `order_rollup` of their items."""
+    joined = orders.join(rollup, "order_id", "left")
     cancelled = F.col("status") == "cancelled"
     expected = F.coalesce("lines_total", F.lit(0)) - F.col("discount_total") + F.col("shipping_total")
     any_amount = (F.col("order_total") != 0) | (F.col("discount_total") != 0) | (F.col("shipping_total") != 0)

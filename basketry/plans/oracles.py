@@ -10,7 +10,7 @@ from ..operators.quality import ACCEPTED
 from ..schemas import SCHEMAS
 from ..sources.sales_schema import AS_OF, FIRST_SIGNUP
 from .clusters import COLUMNS, FEATURES
-from .registry import CENTERS, LOADED_UNTIL, RELOAD_FROM, RELOAD_SHIPPING
+from .registry import CENTERS, EARLIER_AS_OF, LOADED_UNTIL, RELOAD_FROM, RELOAD_SHIPPING
 
 
 def _rounded(numerator: str, denominator: str, digits: int, type_: str) -> str:
@@ -27,6 +27,13 @@ def _money_mean(amount_sum: str, count: str) -> str:
     return f"(({cents})::decimal(20,0) * 0.01)::decimal(14,2)"
 
 
+def _base_as_of(day: str) -> str:
+    return f"""
+        SELECT customer_id, (DATE '{day}' - max(order_date))::int AS recency_days,
+               count(DISTINCT order_id)::int AS frequency_orders, sum(order_total)::decimal(14,2) AS monetary_value
+        FROM done WHERE order_date >= DATE '{day}' - 365 GROUP BY customer_id"""
+
+
 _MART = "mart_customer_metrics"
 
 _CTES = {
@@ -114,10 +121,8 @@ _CTES = {
                coalesce(returns_rate, 0)::decimal(10,4) AS returns_rate, dominant_category
         FROM base b LEFT JOIN basket USING (customer_id) LEFT JOIN freq USING (customer_id)
         LEFT JOIN returned USING (customer_id) LEFT JOIN dominant USING (customer_id)""",
-    "rfm": f"""
-        SELECT customer_id, (DATE '{AS_OF}' - max(order_date))::int AS recency_days,
-               count(DISTINCT order_id)::int AS frequency_orders, sum(order_total)::decimal(14,2) AS monetary_value
-        FROM done WHERE order_date >= DATE '{AS_OF}' - 365 GROUP BY customer_id""",
+    "rfm": _base_as_of(AS_OF),
+    "rfm_earlier": _base_as_of(EARLIER_AS_OF),
     "ranked": """
         SELECT *, count(*) OVER () AS n,
                row_number() OVER (ORDER BY recency_days, customer_id) AS rr,
@@ -183,6 +188,7 @@ _NEEDS: dict[str, list[str]] = {
     "base": ["r_customers", "kept"],
     "metrics": ["base", "basket", "freq", "returned", "dominant"],
     "rfm": ["done"],
+    "rfm_earlier": ["done"],
     "ranked": ["rfm"],
     "scores": ["ranked"],
     "segmented": ["scores"],
@@ -289,6 +295,15 @@ _STANDING = {
 _ITEM_COLUMNS = "order_item_id, order_id, product_id, quantity, unit_price, line_total"
 
 ORACLES: dict[str, str] = {
+    "csv_customers": _query("SELECT * FROM r_customers", "r_customers"),
+    "csv_orders": _query("SELECT * FROM r_orders", "r_orders"),
+    "stored_orders": _query("SELECT * FROM r_orders", "r_orders"),
+    "rfm_base_upsert": _query(
+        """SELECT * FROM rfm UNION ALL
+           SELECT * FROM rfm_earlier WHERE customer_id NOT IN (SELECT customer_id FROM rfm)""",
+        "rfm",
+        "rfm_earlier",
+    ),
     "dim_customers": _query("SELECT DISTINCT * FROM r_customers", "r_customers"),
     "dim_products": _query("SELECT DISTINCT * FROM r_products", "r_products"),
     "dim_date": _query("SELECT * FROM dates", "dates"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,10 +18,11 @@ from ..operators.quality import (
     dq_reconcile,
     dq_report,
     dq_unique_keys,
+    order_rollup,
 )
 from ..schemas import KEYS, REFERENCES, SCHEMAS
 from ..sources.csv_files import export_csv
-from ..sources.staging import drop_staged
+from ..sources.staging import drop_staged, stage
 from ..sources.tables import read_table, replace_table
 from . import bronze
 from .clusters import cluster_customers, cluster_profile
@@ -44,21 +46,24 @@ def write_mart(df: DataFrame, root: str, table: str, mode: str = "snapshot") ->
 
 
 def quality(spark: SparkSession, root: str, full: bool = True) -> DataFrame:
-    """The three standing checks, and with `full` also keys, references, dates, values and amounts."""
+    """The three standing checks, and with `full` also keys, references, dates, values and amounts.
+
+    The full report shuffles the items by order once: orphans, references and amounts share the result.
+    """
     tables = {name: read_table(spark, root, name) for name in SCHEMAS if name.startswith(("dim_", "fact_"))}
     orders, items = tables["fact_orders"], tables["fact_order_items"]
-    report = dq_report(orders, items)
-    if full:
-        undated = F.count_if(F.col("order_date").isNull())
-        for more in (
-            dq_unique_keys(tables, KEYS),
-            dq_foreign_keys(tables, REFERENCES),
-            check_rows(read_table(spark, root, "raw_orders"), {"orders_have_a_date": undated}),
-            dq_accepted_values(tables, ACCEPTED),
-            dq_reconcile(orders, items),
-        ):
-            report = report.unionByName(more)
-    return report
+    if not full:
+        return dq_report(orders, items)
+    rollup = stage(order_rollup(items))
+    parts = [
+        dq_report(orders, items, rollup),
+        dq_unique_keys(tables, KEYS),
+        dq_foreign_keys(tables, REFERENCES, {("fact_order_items", "order_id"): rollup}),
+        check_rows(read_table(spark, root, "raw_orders"), {"orders_have_a_date": F.count_if(F.col("order_date").isNull())}),
+        dq_accepted_values(tables, ACCEPTED),
+        dq_reconcile(orders, rollup),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def build_marts(spark: SparkSession, root: str, as_of: date | str | None = None, mode: str = "snapshot") -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,11 +10,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.dates import as_of_column
 from ..operators.clustering import choose_k, standardize
 from ..operators.keyed_writes import insert_new, upsert
-from ..operators.quality import dq_accepted_values, dq_foreign_keys, dq_reconcile, dq_report, dq_unique_keys
+from ..operators.quality import (
+    dq_accepted_values,
+    dq_foreign_keys,
+    dq_reconcile,
+    dq_report,
+    dq_unique_keys,
+    order_rollup,
+)
 from ..operators.ranking import global_rank, quintile_of_rank
 from ..schemas import KEYS, REFERENCES
 from ..sources import sales_schema as sales
-from ..sources.staging import stage
+from ..sources.csv_files import RAW_FILES, export_csv, read_raw
+from ..sources.staging import shared_dir, stage
+from ..sources.tables import append_table, read_table, replace_table
 from . import bronze, customer360 as c360, rfm, silver
 from .clusters import COLUMNS, assign_clusters, cluster_customers, cluster_features, cluster_profile
 from .cohorts import cohort_retention, first_purchase
@@ -23,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RELOAD_FROM, LOADED_UNTIL = "1999-01-01", "2000-01-01"
 RELOAD_SHIPPING = "5.00"
+EARLIER_AS_OF = "2001-02-01"
 
 # Centres in standardised units, in the order of COLUMNS, for the queries that do not fit.
 CENTERS = [
@@ -48,6 +59,26 @@ def _tables(spark: SparkSession, d: str, item_ids: bool = False) -> dict[str, Da
     }
 
 
+def _through_csv(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
+    """Rows written as the CSV input of `table` and read back."""
+    folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    file = next(f for f, t in RAW_FILES.items() if t == table)
+    export_csv(rows, f"{folder}/{file}")
+    return read_raw(spark, folder, table)
+
+
+def _stored_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Raw orders appended in two loads, turned into stored facts, and the facts replaced by an upsert of themselves."""
+    root = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    rows, day = sales.orders(spark, d), F.col("order_date")
+    append_table(rows.filter(day < as_of_column(LOADED_UNTIL)), root, "raw_orders")
+    replace_table(read_table(spark, root, "raw_orders"), root, "fact_orders")
+    append_table(rows.filter(day >= as_of_column(LOADED_UNTIL)), root, "raw_orders")
+    facts = upsert(read_table(spark, root, "fact_orders"), read_table(spark, root, "raw_orders"), KEYS["fact_orders"])
+    replace_table(facts, root, "fact_orders")
+    return read_table(spark, root, "fact_orders")
+
+
 def _upsert_orders(spark: SparkSession, d: str) -> DataFrame:
     """Orders loaded up to one day, then a batch that corrects the last year of them and adds the rest."""
     rows = sales.orders(spark, d)
@@ -82,6 +113,12 @@ def _base(spark: SparkSession, d: str) -> DataFrame:
     return rfm.rfm_base(sales.orders(spark, d), sales.AS_OF)
 
 
+def _base_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """A mart kept up by upserts: customers without recent orders keep their earlier row."""
+    orders = sales.orders(spark, d)
+    return upsert(rfm.rfm_base(orders, EARLIER_AS_OF), rfm.rfm_base(orders, sales.AS_OF), KEYS["mart_rfm_base"])
+
+
 def _rfm_ranks(spark: SparkSession, d: str) -> DataFrame:
     """Position of every customer by monetary value, ties by id, and the quintile of that position."""
     base = stage(_base(spark, d).select("customer_id", "monetary_value"))
@@ -124,6 +161,9 @@ def _choose_k(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "csv_customers": lambda s, d: _through_csv(s, "raw_customers", sales.customers(s, d)),
+    "csv_orders": lambda s, d: _through_csv(s, "raw_orders", sales.orders(s, d)),
+    "stored_orders": _stored_orders,
     "dim_customers": lambda s, d: bronze.dimension_rows(sales.customers(s, d), "dim_customers"),
     "dim_products": lambda s, d: bronze.dimension_rows(sales.products(s, d), "dim_products"),
     "dim_date": _date_rows,
@@ -143,6 +183,7 @@ QUERIES: dict[str, Query] = {
     "customer_base": lambda s, d: c360.customer_base(sales.customers(s, d), sales.orders(s, d)),
     "customer_360": _metrics,
     "rfm_base": _base,
+    "rfm_base_upsert": _base_upsert,
     "rfm_ranks": _rfm_ranks,
     "rfm_segments": lambda s, d: rfm.rfm_segments(stage(_base(s, d))),
     "rfm_scored": _scored,
@@ -155,7 +196,7 @@ QUERIES: dict[str, Query] = {
     "dq_unique_keys": lambda s, d: dq_unique_keys(_tables(s, d, item_ids=True), KEYS),
     "dq_foreign_keys": lambda s, d: dq_foreign_keys(_tables(s, d), REFERENCES),
     "dq_accepted_values": lambda s, d: dq_accepted_values(_tables(s, d)),
-    "dq_reconcile": lambda s, d: dq_reconcile(sales.orders(s, d), sales.items(s, d)),
+    "dq_reconcile": lambda s, d: dq_reconcile(sales.orders(s, d), order_rollup(sales.items(s, d))),
     "cluster_features": _features,
     "standardized_features": _standardized,
     "cluster_assign_fixed": _assigned,

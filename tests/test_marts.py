@@ -8,7 +8,7 @@ from decimal import Decimal as D
 import pytest
 from conftest import AS_OF, frame
 
-from basketry.operators.quality import dq_accepted_values, dq_reconcile, dq_report, dq_unique_keys
+from basketry.operators.quality import dq_accepted_values, dq_reconcile, dq_report, dq_unique_keys, order_rollup
 from basketry.plans import bronze, customer360 as c360, rfm, silver
 from basketry.plans.cohorts import cohort_retention, first_purchase
 from basketry.plans.reports import report_clusters, report_retention_curve, report_segments
@@ -154,7 +154,7 @@ def test_quality_counts_rows_not_keys(spark, edge):
 def test_quality_of_values_and_amounts(spark, edge):
     tables = {"dim_customers": edge["customers"], "dim_products": edge["products"], "fact_orders": edge["orders"]}
     assert {r.bad_rows for r in dq_accepted_values(tables).collect()} == {0}
-    found = {r.check: r.bad_rows for r in dq_reconcile(edge["orders"], edge["items"]).collect()}
+    found = {r.check: r.bad_rows for r in dq_reconcile(edge["orders"], order_rollup(edge["items"])).collect()}
     assert found["line_total_is_price_times_quantity"] == 1
     assert found["order_total_is_lines_less_discount_plus_shipping"] == 0
     assert found["cancelled_orders_are_zero"] == found["cancelled_lines_are_zero"] == 0
