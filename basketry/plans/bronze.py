@@ -8,6 +8,7 @@ from ..functions.dates import day_name, month_name
 from ..operators.keyed_writes import insert_new, require_unique_keys, upsert
 from ..schemas import KEYS, conform
 from ..sources.csv_files import RAW_FILES, read_raw
+from ..sources.staging import stage
 from ..sources.tables import append_table, read_table, replace_table
 
 
@@ -51,9 +52,9 @@ def fact_rows(raw: DataFrame, table: str) -> DataFrame:
 
 def build_dims(spark: SparkSession, root: str) -> None:
     for table in ("dim_customers", "dim_products"):
-        batch = conform(read_table(spark, root, table.replace("dim_", "raw_")), table).distinct()
+        batch = stage(conform(read_table(spark, root, table.replace("dim_", "raw_")), table).distinct())
         replace_table(upsert(read_table(spark, root, table), batch, KEYS[table]), root, table)
-    dates = date_rows(read_table(spark, root, "raw_orders"))
+    dates = date_rows(read_table(spark, root, "raw_orders"))  # one scan of one column
     replace_table(insert_new(read_table(spark, root, "dim_date"), dates, KEYS["dim_date"]), root, "dim_date")
 
 

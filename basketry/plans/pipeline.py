@@ -40,7 +40,8 @@ def write_mart(df: DataFrame, root: str, table: str, mode: str = "snapshot") ->
     if mode not in ("snapshot", "upsert"):
         raise ValueError(f"mode must be snapshot or upsert, not {mode}")
     if mode == "upsert":
-        df = upsert(read_table(df.sparkSession, root, table), df, KEYS[table])
+        # The batch is read three times (key check, anti-join, union): compute it once.
+        df = upsert(read_table(df.sparkSession, root, table), stage(df), KEYS[table])
     replace_table(df, root, table)
     return read_table(df.sparkSession, root, table)
 

@@ -14,24 +14,31 @@ def _path(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, fs = _path(spark, path)
+    return fs.exists(hadoop_path)
+
+
 def _rename(spark: SparkSession, source: str, target: str) -> None:
+    if _exists(spark, target):  # renaming onto a folder would move into it
+        raise OSError(f"{target} is in the way of {source}")
     from_path, fs = _path(spark, source)
     if not fs.rename(from_path, _path(spark, target)[0]):
         raise OSError(f"could not rename {source} to {target}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path, fs = _path(spark, path)
-    return fs.exists(hadoop_path)
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _path(spark, path)
     fs.delete(hadoop_path, True)
 
 
+def _current(spark: SparkSession, path: str) -> str | None:
+    """Where the table is: in the moment of a replacement, or after one cut short, still in its old copy."""
+    return next((p for p in (path, f"{path}.old") if _exists(spark, p)), None)
+
+
 def _settle(spark: SparkSession, path: str) -> None:
-    """Finish a replacement that was cut short: the old copy is the table until a new one is in place."""
+    """Before writing, finish a replacement that was cut short."""
     old = f"{path}.old"
     if _exists(spark, old):
         if _exists(spark, path):
@@ -45,23 +52,24 @@ def table_path(root: str, table: str) -> str:
 
 
 def has_table(spark: SparkSession, root: str, table: str) -> bool:
-    _settle(spark, table_path(root, table))
-    return _exists(spark, table_path(root, table))
+    return _current(spark, table_path(root, table)) is not None
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A stored table with its declared schema; an empty one if it was never written."""
-    if not has_table(spark, root, table):
+    path = _current(spark, table_path(root, table))
+    if path is None:
         return spark.createDataFrame([], SCHEMAS[table])
-    return spark.read.schema(SCHEMAS[table]).parquet(table_path(root, table))
+    return spark.read.schema(SCHEMAS[table]).parquet(path)
 
 
 def append_table(df: DataFrame, root: str, table: str) -> None:
+    _settle(df.sparkSession, table_path(root, table))
     conform(df, table).write.mode("append").parquet(table_path(root, table))
 
 
 def replace_table(df: DataFrame, root: str, table: str) -> None:
-    """Write a new copy, then swap it in, so `df` may read the table it replaces."""
+    """Write a new copy, then swap it in, so `df` may read the table it replaces. One writer at a time."""
     spark, path = df.sparkSession, table_path(root, table)
     _settle(spark, path)
     fresh = f"{path}.new-{uuid.uuid4().hex}"

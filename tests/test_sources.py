@@ -78,8 +78,11 @@ def test_interrupted_replacement_is_settled(spark, tmp_path):
     root = str(tmp_path)
     replace_table(frame(spark, "dim_products", [(1, "Home", "Nova", "1.00")]), root, "dim_products")
     (tmp_path / "dim_products").rename(tmp_path / "dim_products.old")
-    assert read_table(spark, root, "dim_products").first().product_id == 1
-    assert not (tmp_path / "dim_products.old").exists()
+    old = read_table(spark, root, "dim_products")
+    assert old.first().product_id == 1
+    replace_table(old.limit(0), root, "dim_products")
+    assert read_table(spark, root, "dim_products").count() == 0
+    assert [p.name for p in tmp_path.iterdir()] == ["dim_products"]
 
 
 def test_failed_replacement_leaves_the_table(spark, tmp_path):
