@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import argparse
 
-from .plans import bronze, pipeline
+from .plans import bronze, daily_job
 from .session import build_session
 from .sources.staging import drop_staged
 from .sources.tables import publish
@@ -27,14 +27,14 @@ def main(arguments: list[str] | None = None) -> None:
     spark = build_session(args.master)
     root, exports = f"{args.out}/tables", f"{args.out}/outputs"
     steps = {
-        "all": lambda: pipeline.run_all(spark, args.data_dir, args.out, args.as_of, args.mode, args.truncate),
+        "all": lambda: daily_job.run_all(spark, args.data_dir, args.out, args.as_of, args.mode, args.truncate),
         "load": lambda: bronze.load_raw(spark, args.data_dir, root, args.truncate),
-        "build": lambda: pipeline.build_marts(spark, root, args.as_of, args.mode),
-        "dq": lambda: pipeline.quality(spark, root).show(100, truncate=False),
-        "rfm": lambda: pipeline.score_customers(spark, root, exports),
-        "clusters": lambda: pipeline.group_customers(spark, root, exports),
-        "cohorts": lambda: pipeline.follow_cohorts(spark, root, exports),
-        "reports": lambda: pipeline.reports(spark, root, exports),
+        "build": lambda: daily_job.build_marts(spark, root, args.as_of, args.mode),
+        "dq": lambda: daily_job.quality(spark, root).show(100, truncate=False),
+        "rfm": lambda: daily_job.score_customers(spark, root, exports),
+        "clusters": lambda: daily_job.group_customers(spark, root, exports),
+        "cohorts": lambda: daily_job.follow_cohorts(spark, root, exports),
+        "reports": lambda: daily_job.reports(spark, root, exports),
         "publish": lambda: publish(spark, root, args.database),
     }
     try:

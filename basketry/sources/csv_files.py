@@ -25,12 +25,13 @@ NULL_TEXTS = [
 
 def _typed(name: str, to: DataType) -> Column:
     """Cast a text column; text that is not a null marker and does not parse stops the job."""
-    text = F.when(~F.col(name).isin(NULL_TEXTS), F.col(name))
+    markers = ", ".join(f"'{text}'" for text in NULL_TEXTS)
+    text = f"CASE WHEN `{name}` NOT IN ({markers}) THEN `{name}` END"
     if isinstance(to, StringType):
-        return text.alias(name)
-    parsed = text.try_cast(to)
-    message = F.concat(F.lit(f"column {name}: not a {to.simpleString()}: "), text)
-    return F.when(text.isNull() | parsed.isNotNull(), parsed).otherwise(F.raise_error(message)).alias(name)
+        return F.expr(text).alias(name)
+    kind = to.simpleString()
+    failure = f"raise_error(concat('column {name}: not a {kind}: ', `{name}`))"
+    return F.expr(f"CASE WHEN ({text}) IS NOT NULL THEN coalesce(try_cast(`{name}` AS {kind}), {failure}) END").alias(name)
 
 
 def read_raw(spark: SparkSession, folder: str, table: str) -> DataFrame:

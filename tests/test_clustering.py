@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.operators.clustering import choose_k, nearest_center, silhouettes, standardize
+from basketry.operators.clustering import choose_k, fit_kmeans, nearest_center, silhouettes, standardize
 from basketry.plans.clusters import COLUMNS, cluster_customers, cluster_profile
 
 
@@ -100,3 +100,12 @@ def test_profile_rounds_half_to_even(spark):
         [(i, 0, 1, total, "1", "1", "1", 1, "0") for i, total in enumerate(["0.12", "0.13", "0.12", "0.13"])],
     )
     assert cluster_profile(clusters).first().total_revenue == 0.12
+
+
+def test_fitted_centers_are_the_means_of_their_points(blobs):
+    df, _ = blobs
+    scaled = standardize(df, ["x", "y"])
+    for k in (3, 4):
+        centers = fit_kmeans(scaled, ["x", "y"], k)
+        means = scaled.groupBy(nearest_center(["x", "y"], centers).alias("c")).agg(F.avg("x"), F.avg("y")).orderBy("c")
+        assert np.allclose([list(r)[1:] for r in means.collect()], centers, atol=0.05)

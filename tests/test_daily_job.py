@@ -10,7 +10,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from basketry.__main__ import main
-from basketry.plans.pipeline import quality, reports, run_all, write_mart
+from basketry.plans.daily_job import quality, reports, run_all, write_mart
 from basketry.plans.registry import QUERIES
 from basketry.plans.rfm import rfm_base
 from basketry.schemas import SCHEMAS
