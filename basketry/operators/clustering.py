@@ -36,11 +36,12 @@ def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def nearest_center(columns: list[str], centers: list[list[float]]) -> Column:
     """Index of the closest centre by Euclidean distance, the first one on ties."""
-    candidates = []
-    for index, center in enumerate(centers):
+    distances = []
+    for center in centers:
         gaps = [f"(`{c}` - ({float(x)!r}D))" for c, x in zip(columns, center)]
-        candidates.append(f"struct({' + '.join(f'{gap} * {gap}' for gap in gaps)} AS distance, {index} AS index)")
-    return F.expr(f"array_min(array({', '.join(candidates)})).index")
+        distances.append(" + ".join(f"{gap} * {gap}" for gap in gaps))
+    each = f"array({', '.join(distances)})"
+    return F.expr(f"cast(array_position({each}, array_min({each})) - 1 AS int)")
 
 
 def _fixed_layout(df: DataFrame, id_col: str) -> DataFrame:
@@ -61,30 +62,30 @@ def fit_kmeans(df: DataFrame, columns: list[str], k: int, seed: int = SEED) -> l
     return [center.tolist() for center in model.clusterCenters()]
 
 
-def _scores(totals: np.ndarray, sizes: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Silhouette of each row from its summed distances to every cluster; 0 for a row alone in its cluster."""
-    row = np.arange(len(own))
-    inside = totals[row, own] / np.maximum(sizes[own] - 1, 1)
-    means = np.full(totals.shape, np.inf)
-    np.divide(totals, sizes, out=means, where=sizes > 0)
-    means[row, own] = np.inf
-    outside = means.min(axis=1)
-    larger = np.maximum(inside, outside)
-    scored = (sizes[own] > 1) & (larger > 0)
-    return np.where(scored, (outside - inside) / np.where(scored, larger, 1), 0.0)
-
-
 def _euclidean_silhouettes(df: DataFrame, columns: list[str], labels: list[str]) -> dict[str, float]:
     """Mean silhouette per label column from all pairwise distances, for a size-checked table.
 
     Distances do not depend on the labels, so all label columns share one pass. Each task compares its
-    rows, in blocks, with the broadcast points.
+    rows, in blocks, with the broadcast points. The functions sent to the tasks are local ones, so executors
+    need not have this package installed.
     """
     local = df.select(*columns, *labels).toPandas()
     shared = df.sparkSession.sparkContext.broadcast(
         (local[columns].to_numpy(float), {name: local[name].to_numpy(int) for name in labels})
     )
 
+    def scores(totals: np.ndarray, sizes: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Silhouette of each row from its summed distances to every cluster; 0 for a row alone in its cluster."""
+        row = np.arange(len(own))
+        inside = totals[row, own] / np.maximum(sizes[own] - 1, 1)
+        means = np.full(totals.shape, np.inf)
+        np.divide(totals, sizes, out=means, where=sizes > 0)
+        means[row, own] = np.inf
+        outside = means.min(axis=1)
+        larger = np.maximum(inside, outside)
+        scored = (sizes[own] > 1) & (larger > 0)
+        return np.where(scored, (outside - inside) / np.where(scored, larger, 1), 0.0)
+
     def block_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         points, groups = shared.value
         members = [np.eye(groups[name].max() + 1)[groups[name]] for name in labels]
@@ -98,7 +99,7 @@ def _euclidean_silhouettes(df: DataFrame, columns: list[str], labels: list[str])
                 x, own = xs[start : start + BLOCK_ROWS], owns[start : start + BLOCK_ROWS]
                 distance = np.sqrt(sum((x[:, [d]] - points[:, d]) ** 2 for d in range(len(columns))))
                 totals = np.split(distance @ all_members, ends, axis=1)
-                sums += [_scores(t, sizes[i], own[:, i]).sum() for i, t in enumerate(totals)]
+                sums += [scores(t, sizes[i], own[:, i]).sum() for i, t in enumerate(totals)]
             n += len(batch)
         yield pd.DataFrame({"label": labels, "total": sums, "n": n})
 
@@ -147,8 +148,10 @@ def choose_k(
         tried = range(k_min, k_max + 1)
         with ThreadPoolExecutor(len(tried)) as pool:  # the fits are independent jobs on the same cached rows
             centers = dict(zip(tried, pool.map(fit, tried)))
-        labelled = points.withColumns({f"k{k}": nearest_center(columns, c) for k, c in centers.items()})
+        labelled = points.select(*columns, *[nearest_center(columns, c).alias(f"k{k}") for k, c in centers.items()])
+        labelled.persist(StorageLevel.MEMORY_AND_DISK)
         scores = silhouettes(labelled, columns, [f"k{k}" for k in centers], pairwise_limit)
+        labelled.unpersist()
     finally:
         points.unpersist()
     by_k = {k: scores[f"k{k}"] for k in centers}
