@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .byte_pairs import op5_byte_pairs
+from .decontamination import op2_decontamination
+from .line_dedup import OP9_SQL, op9_line_dedup
 from .quality_rules import op8_quality_rules
+from .simhash import op10_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
+    "op5_byte_pairs": op5_byte_pairs,
     "op8_quality_rules": op8_quality_rules,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_line_dedup": OP9_SQL,
+}
