@@ -35,7 +35,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 CHUNK_CHARS = 1 << 15
 OVERLAP_CHARS = 1 << 11
 LOOKAHEAD = 4  # characters behind a pre-token that its end may depend on
-CACHED = 1 << 17  # pre-tokens remembered by a task
+CACHED = 1 << 19  # pre-tokens remembered by a task, some 150 MB
+SHORT = 32  # bytes up to which looking through all pairs beats a heap
 
 
 class Encoder:
@@ -50,9 +51,26 @@ class Encoder:
         self.seen: dict[str, tuple[str, tuple[int, ...]]] = {}
 
     def merge(self, piece: bytes) -> tuple[int, ...]:
-        """Ids of one pre-token. Neighbours are a linked list, candidate pairs a heap: n log n for any length."""
+        """Ids of one pre-token: its neighbours with the lowest rank merge, the first ones on ties, until none can."""
         if piece in self.ranks:
             return (self.ranks[piece],)
+        if len(piece) > SHORT:
+            return self._merge_long(piece)
+        rank_of, none = self.ranks.get, len(self.ranks)
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        pairs = [rank_of(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs and (low := min(pairs)) < none:
+            at = pairs.index(low)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at < len(pairs):
+                pairs[at] = rank_of(parts[at] + parts[at + 1], none)
+            if at:
+                pairs[at - 1] = rank_of(parts[at - 1] + parts[at], none)
+        return tuple(self.ranks[part] for part in parts)
+
+    def _merge_long(self, piece: bytes) -> tuple[int, ...]:
+        """Neighbours are a linked list, candidate pairs a heap: n log n for any length."""
         rank_of, n = self.ranks.get, len(piece)
         end, last = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts here
         heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank_of(piece[i : i + 2])) is not None]
