@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .byte_pairs import op5_byte_pairs
 from .decontamination import op2_decontamination
 from .line_dedup import OP9_SQL, op9_line_dedup
+from .personal_data import op6_personal_data
 from .quality_rules import op8_quality_rules
 from .sharding import op3_sharding
 from .simhash import op10_simhash
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
     "op5_byte_pairs": op5_byte_pairs,
+    "op6_personal_data": op6_personal_data,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
