@@ -1,0 +1,106 @@
+"""Token frequencies of documents in blocks, for joins with a table of tokens that may be of any size.
+
+A document by token table as plain rows would be many times the text. Here documents are taken in blocks of
+bounded size, and each distinct token of a block is one row with packed (document, frequency) pairs.
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
+from pyspark.sql import DataFrame
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
+
+BLOCK_BYTES = 16 << 20  # of text in a block of documents
+BLOCK_ROWS = 1 << 15  # documents in a block; their places are 16-bit numbers
+_MOST = (1 << 16) - 1  # largest frequency in one posting; more is split
+
+
+class _Places(dict):
+    """Numbers keys in the order in which they are asked for."""
+
+    def __missing__(self, key):
+        self[key] = place = len(self)
+        return place
+
+
+def _packed(places: _Places, docs: list, which: list, often: list, token_type: pa.DataType) -> tuple[pa.Array, pa.Array]:
+    """The tokens, and for each its postings as bytes."""
+    doc, place, n = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (docs, which, often))
+    while len(over := np.flatnonzero(n > _MOST)):
+        doc, place, n = np.append(doc, doc[over]), np.append(place, place[over]), np.append(n, n[over] - _MOST)
+        n[over] = _MOST
+    order = np.argsort(place, kind="stable")
+    pairs = np.stack([doc[order], n[order]], axis=1).astype("<u2").tobytes()
+    ends = np.append(0, np.cumsum(np.bincount(place, minlength=len(places)) * 4)).astype(np.int32)
+    return pa.array(places, token_type), pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(ends), pa.py_buffer(pairs)])
+
+
+def frequencies(
+    rows: DataFrame,
+    of_texts: Callable[[], Callable[[str], tuple[list, list[float]]]],
+    token_type: str,
+    block_bytes: int = BLOCK_BYTES,
+    block_rows: int = BLOCK_ROWS,
+    of_block: Callable[[list[str]], np.ndarray] | None = None,
+) -> DataFrame:
+    """Blocks of `rows` (doc_id, text; no NULL text).
+
+    `of_texts` is called once per task and gives a function from a text to its tokens and some numbers.
+    `of_block`, if given, makes one more number per text from all texts of a block.
+
+    Rows of tokens: block, salt 0, token, postings. One row with the documents per block: block, a salt of
+    its own, no token, doc_ids, numbers. A join on (token, salt) so leaves the latter unmatched and spread out.
+    """
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    arrow_type = {"string": pa.string(), "binary": pa.binary()}[token_type]
+    block_rows = min(block_rows, _MOST)
+    names = ["block", "salt", "token", "postings", "doc_ids", "numbers"]
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_text, number, partition = of_texts(), 0, TaskContext.get().partitionId()
+        lists = pa.list_(pa.list_(pa.float64()))
+        for batch in batches:
+            at = 0
+            while at < len(batch):
+                places, docs, which, often, numbers, texts, held = _Places(), [], [], [], [], [], 0
+                while at < len(batch) and held < block_bytes and len(texts) < block_rows:
+                    texts.append(batch.column(1)[at].as_py())
+                    tokens, own = of_text(texts[-1])
+                    found, n = np.unique(np.fromiter(map(places.__getitem__, tokens), np.int64, len(tokens)), return_counts=True)
+                    docs.append(np.full(len(found), len(texts) - 1))
+                    which.append(found)
+                    often.append(n)
+                    numbers.append(own)
+                    held, at = held + len(texts[-1]), at + 1
+                if of_block:
+                    numbers = [[*own, float(x)] for own, x in zip(numbers, of_block(texts))]
+                ids = batch.column(0).slice(at - len(texts), len(texts))
+                key, many = (partition << 24) + number, len(places)
+                tokens, postings = _packed(places, docs, which, often, arrow_type)
+                empty = [pa.nulls(many, pa.list_(ids.type)), pa.nulls(many, lists)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(many, key)), pa.array(np.zeros(many, np.int64)), tokens, postings, *empty], names)
+                head = [pa.ListArray.from_arrays([0, len(ids)], ids), pa.array([numbers], lists)]
+                yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([key + 1]), pa.nulls(1, arrow_type), pa.nulls(1, pa.binary()), *head], names)
+                number += 1
+
+    return rows.mapInArrow(
+        of_batches, f"block long, salt long, token {token_type}, postings binary, doc_ids array<{kind}>, numbers array<array<double>>"
+    )
+
+
+def open_block(rows: pd.DataFrame) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One block's document ids and numbers, and its postings: place of the document, frequency, row of `rows`."""
+    is_head = rows["doc_ids"].notna().to_numpy()
+    head = rows[is_head].iloc[0]
+    kept = np.flatnonzero(~is_head)
+    postings = rows["postings"].to_numpy()[kept]
+    pairs = np.frombuffer(b"".join(postings), "<u2").reshape(-1, 2).astype(np.int64)
+    which = np.repeat(kept, np.fromiter(map(len, postings), np.int64, len(postings)) // 4)
+    return list(head["doc_ids"]), np.array([list(x) for x in head["numbers"]], np.float64), pairs[:, 0], pairs[:, 1], which

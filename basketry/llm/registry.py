@@ -10,12 +10,14 @@ from .byte_pairs import op5_byte_pairs
 from .decontamination import op2_decontamination
 from .line_dedup import OP9_SQL, op9_line_dedup
 from .personal_data import op6_personal_data
+from .quality_classifier import op1_quality_classifier
 from .quality_rules import op8_quality_rules
 from .sharding import op3_sharding
 from .simhash import op10_simhash
 from .token_counts import op7_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
     "op5_byte_pairs": op5_byte_pairs,

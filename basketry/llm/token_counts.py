@@ -18,35 +18,26 @@ from __future__ import annotations
 import json
 import os
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 import regex
-from pyspark import TaskContext, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
+from .postings import BLOCK_BYTES, BLOCK_ROWS, frequencies, open_block
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
-BLOCK_BYTES = 16 << 20  # of text in a block of documents
-BLOCK_ROWS = 1 << 15  # documents in a block; places are 16-bit numbers
-_MOST = (1 << 16) - 1  # largest frequency in one posting; more is split
 _COUNTED_AT_ONCE = 10_000
 
 
-class _Places(dict):
-    """Numbers keys in the order in which they are asked for."""
-
-    def __missing__(self, key: str) -> int:
-        self[key] = place = len(self)
-        return place
-
-
 class _Splitter:
     """Pre-tokens of a text, and the special tokens cut out of it."""
 
@@ -96,53 +87,6 @@ def count_pieces(pretokens: DataFrame, vocabulary: str) -> DataFrame:
     return pretokens.mapInArrow(of_batches, "pretoken string, pieces int")
 
 
-def _frequencies(rows: DataFrame, vocabulary: str, pattern: str, block_bytes: int, block_rows: int) -> DataFrame:
-    """Blocks of documents: one row per distinct pre-token with its postings, and one row with the documents."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, number = _Splitter(vocabulary, pattern), 0
-        partition = TaskContext.get().partitionId()
-
-        def block(ids: pa.Array, sizes: list[int], starts: list[int], places: _Places, docs: list, which: list, often: list) -> Iterator[pa.RecordBatch]:
-            doc, place, n = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (docs, which, often))
-            while len(over := np.flatnonzero(n > _MOST)):
-                doc, place, n = np.append(doc, doc[over]), np.append(place, place[over]), np.append(n, n[over] - _MOST)
-                n[over] = _MOST
-            order = np.argsort(place, kind="stable")
-            pairs = np.stack([doc[order], n[order]], axis=1).astype("<u2").tobytes()
-            ends = np.append(0, np.cumsum(np.bincount(place, minlength=len(places)) * 4)).astype(np.int32)
-            postings = pa.Array.from_buffers(pa.binary(), len(places), [None, pa.py_buffer(ends), pa.py_buffer(pairs)])
-            key, many = (partition << 24) + number, len(places)
-            none = pa.nulls(many, pa.list_(ids.type))
-            names = ["block", "salt", "pretoken", "postings", "doc_ids", "sizes", "starts"]
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(many, key)), pa.array(np.zeros(many, np.int64)), pa.array(places, pa.string()), postings, none, pa.nulls(many, longs), pa.nulls(many, longs)], names
-            )
-            lists = [pa.ListArray.from_arrays([0, len(ids)], ids), pa.array([sizes], longs), pa.array([starts], longs)]
-            yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([key]), pa.nulls(1, pa.string()), pa.nulls(1, pa.binary()), *lists], names)
-
-        for batch in batches:
-            at = 0
-            while at < len(batch):
-                places, docs, which, often, sizes, starts, first, held = _Places(), [], [], [], [], [], at, 0
-                while at < len(batch) and held < block_bytes and at - first < block_rows:
-                    text = batch.column(1)[at].as_py()
-                    pieces, specials = split(text)
-                    found, n = np.unique(np.fromiter(map(places.__getitem__, pieces), np.int64, len(pieces)), return_counts=True)
-                    docs.append(np.full(len(found), at - first))
-                    which.append(found)
-                    often.append(n)
-                    sizes.append(len(text.encode("utf-8", "surrogatepass")))
-                    starts.append(len(pieces) + specials)
-                    held, at = held + sizes[-1], at + 1
-                yield from block(batch.column(0).slice(first, at - first), sizes, starts, places, docs, which, often)
-                number += 1
-
-    return rows.mapInArrow(of_batches, f"block long, salt long, pretoken string, postings binary, doc_ids array<{kind}>, sizes array<long>, starts array<long>")
-
-
 def count_tokens(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -157,20 +101,27 @@ def count_tokens(
     vocabulary, pattern = vocabulary or public_tokenizers.path(VOCABULARY), pattern or public_tokenizers.PATTERN
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     pieces = count_pieces(distinct_pretokens(rows.select("text"), vocabulary, pattern), vocabulary)
-    blocks = _frequencies(rows, vocabulary, pattern, block_bytes, min(block_rows, _MOST))
-    # The row with the documents has no pre-token; the salt keeps these rows from meeting in one task.
-    counted = blocks.join(pieces.withColumn("salt", F.lit(0).cast("long")), ["pretoken", "salt"], "left")
-    counted = counted.filter("pretoken IS NULL OR pieces > 1").select("block", "postings", "pieces", "doc_ids", "sizes", "starts")
+
+    def of_texts() -> Callable[[str], tuple[list[str], list[float]]]:
+        split = _Splitter(vocabulary, pattern)
+
+        def of_text(text: str) -> tuple[list[str], list[float]]:
+            found, specials = split(text)
+            return found, [len(text.encode("utf-8", "surrogatepass")), len(found) + specials]
+
+        return of_text
+
+    blocks = frequencies(rows, of_texts, "string", block_bytes, block_rows)
+    # The rows with the documents have a salt, see frequencies().
+    counted = blocks.join(pieces.select(F.col("pretoken").alias("token"), "pieces", F.lit(0).cast("long").alias("salt")), ["token", "salt"], "left")
+    counted = counted.filter("token IS NULL OR pieces > 1").select("block", "postings", "pieces", "doc_ids", "numbers")
 
     def total(rows: pd.DataFrame) -> pd.DataFrame:
         """One block: what its documents have beyond one piece per pre-token."""
-        head = rows[rows["postings"].isna()].iloc[0]
-        rest = rows[rows["postings"].notna()]
-        pairs = np.frombuffer(b"".join(rest["postings"]), "<u2").reshape(-1, 2).astype(np.int64)
-        more = np.repeat(rest["pieces"].to_numpy(np.int64) - 1, rest["postings"].map(len).to_numpy(np.int64) // 4)
-        n_tokens = np.array(head["starts"], np.int64)
-        np.add.at(n_tokens, pairs[:, 0], pairs[:, 1] * more)
-        return pd.DataFrame({"doc_id": list(head["doc_ids"]), "n_bytes": head["sizes"], "n_tokens": n_tokens})
+        ids, numbers, doc, n, which = open_block(rows)
+        n_tokens = numbers[:, 1].astype(np.int64)
+        np.add.at(n_tokens, doc, n * (rows["pieces"].to_numpy()[which].astype(np.int64) - 1))
+        return pd.DataFrame({"doc_id": ids, "n_bytes": numbers[:, 0].astype(np.int64), "n_tokens": n_tokens})
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     result = counted.groupBy("block").applyInPandas(total, f"doc_id {kind}, n_bytes long, n_tokens long")
