@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .byte_pairs import op5_byte_pairs
 from .decontamination import op2_decontamination
+from .language_model import op4_language_model
 from .line_dedup import OP9_SQL, op9_line_dedup
 from .personal_data import op6_personal_data
 from .quality_classifier import op1_quality_classifier
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_decontamination": op2_decontamination,
     "op3_sharding": op3_sharding,
+    "op4_language_model": op4_language_model,
     "op5_byte_pairs": op5_byte_pairs,
     "op6_personal_data": op6_personal_data,
     "op7_token_counts": op7_token_counts,
