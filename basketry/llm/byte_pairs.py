@@ -188,9 +188,13 @@ def _long(rows: DataFrame, vocabulary: str, pattern: str, chunk: int, overlap: i
     piece = F.max("seam").over(in_text.rowsBetween(Window.unboundedPreceding, 0))
     found = found.withColumn("piece", piece).withColumn("stop", F.lead("seam").over(in_text)).drop("head", "tail")
 
+    encoders: list[Encoder] = []  # filled once per task
+
     def encode(chunks: pd.DataFrame) -> pd.DataFrame:
         """One piece: a chunk from its seam to the next, or all chunks behind a missing seam."""
-        encoder = Encoder(vocabulary, pattern)
+        if not encoders:
+            encoders.append(Encoder(vocabulary, pattern))
+        encoder = encoders[0]
         chunks = chunks.sort_values("at")
         start, stop = int(chunks["piece"].iloc[0]), chunks["stop"].iloc[-1]
         text = "".join(t if last else t[:chunk] for t, last in zip(chunks["text"][:-1], chunks["last"][:-1])) + chunks["text"].iloc[-1]
