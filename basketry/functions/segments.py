@@ -4,24 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Segment names and score thresholds, first match wins.
-CHAMPIONS = "Champions"  # r >= 4, f >= 4, m >= 4
-LOYAL = "Loyal"  # r >= 4, f >= 3, m >= 3
-BIG_SPENDERS = "Big Spenders"  # r >= 3, m >= 4
-NEW = "New"  # r >= 4, f <= 2
-AT_RISK = "At Risk"  # r <= 2 and (f >= 3 or m >= 3)
-HIBERNATING = "Hibernating"  # r <= 2, f <= 2, m <= 2
-NEEDS_ATTENTION = "Needs Attention"  # everything else
+# Segment names.
+CHAMPIONS = "Champions"
+LOYAL = "Loyal"
+BIG_SPENDERS = "Big Spenders"
+NEW = "New"
+AT_RISK = "At Risk"
+HIBERNATING = "Hibernating"
+NEEDS_ATTENTION = "Needs Attention"
 
 
 def segment_of(r: Column, f: Column, m: Column) -> Column:
+    """The first rule that holds; the thresholds are fixed values. A missing score meets no threshold."""
     return (
-        F.when((r >= 4) & (F.least(f, m) >= 4), CHAMPIONS)
-        .when((r >= 4) & (F.least(f, m) >= 3), LOYAL)
+        F.when((r >= 4) & (f >= 4) & (m >= 4), CHAMPIONS)
+        .when((r >= 4) & (f >= 3) & (m >= 3), LOYAL)
         .when((r >= 3) & (m >= 4), BIG_SPENDERS)
         .when((r >= 4) & (f <= 2), NEW)
-        .when((r <= 2) & (F.greatest(f, m) >= 3), AT_RISK)
-        .when((r <= 2) & (F.greatest(f, m) <= 2), HIBERNATING)
+        .when((r <= 2) & ((f >= 3) | (m >= 3)), AT_RISK)
+        .when((r <= 2) & (f <= 2) & (m <= 2), HIBERNATING)
         .otherwise(NEEDS_ATTENTION)
     )
 

@@ -1,37 +1,49 @@
-"""Standardising, k-means, silhouettes and the choice of k."""
+"""Standardising, k-means, silhouettes and the choice of k; the same at every size and in every layout."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
-
-import numpy as np
-import pandas as pd
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
+from fractions import Fraction
+from functools import reduce
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 SEED = 42
 K_MIN, K_MAX = 3, 8
 MAX_ITERATIONS = 300
 TOLERANCE = 1e-4  # of the squared movement of all centres together, in units of the feature variance
-ROWS_PER_PARTITION = 1_000_000
-BLOCK_ROWS = 16  # rows compared with all points at a time: the block of distances stays in the CPU cache
-PAIRWISE_LIMIT = 20_000  # rows up to which Euclidean silhouettes are computed; about 3 MB are broadcast
+GRID = 1 << 20  # standardised values are multiples of 1 / GRID, so that their sums are exact in any order
+
+Centers = list[list[float]]
+
+
+def _exact(column: str) -> Column:
+    """The sum of a column as a decimal: the same whatever the order of the rows."""
+    return F.sum(F.col(column).cast("decimal(18,6)"))
 
 
 def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns as doubles with mean 0 and population standard deviation 1; a constant column becomes 0."""
+    """Columns as doubles with mean 0 and population standard deviation 1, on the grid; a constant column becomes 0."""
+    squares = {c: F.sum((F.col(c).cast("decimal(18,6)") * F.col(c).cast("decimal(18,6)")).cast("decimal(38,12)")) for c in columns}
     stats = df.agg(
-        *[F.avg(F.col(c).cast("double")).alias(f"mean_{c}") for c in columns],
-        *[F.stddev_pop(F.col(c).cast("double")).alias(f"std_{c}") for c in columns],
+        *[F.count(c).alias(f"n_{c}") for c in columns],
+        *[_exact(c).alias(f"sum_{c}") for c in columns],
+        *[squares[c].alias(f"square_{c}") for c in columns],
     ).first()
-    return df.withColumns(
-        {c: (F.col(c).cast("double") - F.lit(stats[f"mean_{c}"])) / F.lit(stats[f"std_{c}"] or 1.0) for c in columns}
-    )
+    scaled = {}
+    for c in columns:
+        n = stats[f"n_{c}"] or 1
+        total, square = Fraction(stats[f"sum_{c}"] or 0), Fraction(stats[f"square_{c}"] or 0)
+        deviation = math.sqrt(square / n - (total / n) ** 2) or 1.0
+        scaled[c] = F.rint((F.col(c).cast("double") - F.lit(float(total / n))) / F.lit(deviation) * GRID) / GRID
+    return df.withColumns(scaled)
+
+
+def _squared(columns: list[str], center: list[float]) -> Column:
+    """Squared distance from a point."""
+    gaps = [f"(`{c}` - ({float(x)!r}D))" for c, x in zip(columns, center)]
+    return F.expr(" + ".join(f"{gap} * {gap}" for gap in gaps))
 
 
 def nearest_center(columns: list[str], centers: list[list[float]]) -> Column:
@@ -44,118 +56,141 @@ def nearest_center(columns: list[str], centers: list[list[float]]) -> Column:
     return F.expr(f"cast(array_position({each}, array_min({each})) - 1 AS int)")
 
 
-def _fixed_layout(df: DataFrame, id_col: str) -> DataFrame:
-    """Same rows in the same partitions and order on every run, whatever the cluster: seeding depends on it."""
-    n_rows = df.count()
-    partitions = max(1, math.ceil(n_rows / ROWS_PER_PARTITION))
-    return df.repartition(partitions, id_col).sortWithinPartitions(id_col)
+def _sums(points: DataFrame, columns: list[str], labels: dict[str, Column]) -> dict[str, dict[int, tuple]]:
+    """Per label column and label: rows, sums of the columns, and sum of squares, in units of the grid.
 
+    One job for all label columns; at most one row per label leaves a task.
+    """
+    whole = [(F.col(c) * GRID).cast("long") for c in columns]
+    square = reduce(Column.__add__, [x.cast("decimal(38,0)") * x.cast("decimal(19,0)") for x in whole])
+    each = F.array(*[F.struct(F.lit(name).alias("name"), label.alias("label")) for name, label in labels.items()])
+    rows = points.select(F.explode(each).alias("of"), *[x.alias(f"_{i}") for i, x in enumerate(whole)], square.cast("decimal(38,0)").alias("_sq"))
+    found = rows.groupBy("of.name", "of.label").agg(
+        F.count("*").alias("n"), *[F.sum(F.col(f"_{i}").cast("decimal(20,0)")).alias(f"s{i}") for i in range(len(columns))], F.sum("_sq").alias("sq")
+    )
+    sums: dict[str, dict[int, tuple]] = {name: {} for name in labels}
+    for r in found.collect():
+        sums[r["name"]][r["label"]] = (r["n"], [int(r[f"s{i}"]) for i in range(len(columns))], int(r["sq"]))
+    return sums
 
-def fit_kmeans(df: DataFrame, columns: list[str], k: int, seed: int = SEED) -> list[list[float]]:
-    """Centres of one k-means run over standardised `columns`.
 
-    Spark compares the movement of each centre with its tolerance, so the bound for all of them is shared out.
-    """
-    points = VectorAssembler(inputCols=columns, outputCol="_point").transform(df).select("_point")
-    per_center = math.sqrt(TOLERANCE / k)
-    model = KMeans(k=k, seed=seed, maxIter=MAX_ITERATIONS, tol=per_center, featuresCol="_point").fit(points)
-    return [center.tolist() for center in model.clusterCenters()]
+def lloyd_step(points: DataFrame, columns: list[str], centers: dict[str, Centers]) -> dict[str, Centers]:
+    """Every set of centres moved to the means of its points, all sets in one job; a centre without points stays."""
+    sums = _sums(points, columns, {name: nearest_center(columns, c) for name, c in centers.items()})
+    moved = {}
+    for name, old in centers.items():
+        moved[name] = [
+            [s / sums[name][i][0] / GRID for s in sums[name][i][1]] if i in sums[name] else center for i, center in enumerate(old)
+        ]
+    return moved
 
 
-def _euclidean_silhouettes(df: DataFrame, columns: list[str], labels: list[str]) -> dict[str, float]:
-    """Mean silhouette per label column from all pairwise distances, for a size-checked table.
+def seeds(points: DataFrame, id_col: str, columns: list[str], k: int, seed: int = SEED) -> Centers:
+    """The first centres: each a point drawn with probability in proportion to its squared distance from those before.
 
-    Distances do not depend on the labels, so all label columns share one pass. Each task compares its
-    rows, in blocks, with the broadcast points. The functions sent to the tasks are local ones, so executors
-    need not have this package installed.
+    The draw is the smallest of -log(u) / distance over the points, with u a hash of id, seed and round: one
+    aggregate a round, the same point whatever the layout. Fewer distinct points than k give fewer seeds.
     """
-    local = df.select(*columns, *labels).toPandas()
-    shared = df.sparkSession.sparkContext.broadcast(
-        (local[columns].to_numpy(float), {name: local[name].to_numpy(int) for name in labels})
-    )
-
-    def scores(totals: np.ndarray, sizes: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """Silhouette of each row from its summed distances to every cluster; 0 for a row alone in its cluster."""
-        row = np.arange(len(own))
-        inside = totals[row, own] / np.maximum(sizes[own] - 1, 1)
-        means = np.full(totals.shape, np.inf)
-        np.divide(totals, sizes, out=means, where=sizes > 0)
-        means[row, own] = np.inf
-        outside = means.min(axis=1)
-        larger = np.maximum(inside, outside)
-        scored = (sizes[own] > 1) & (larger > 0)
-        return np.where(scored, (outside - inside) / np.where(scored, larger, 1), 0.0)
-
-    def block_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        points, groups = shared.value
-        members = [np.eye(groups[name].max() + 1)[groups[name]] for name in labels]
-        sizes = [member.sum(axis=0) for member in members]
-        all_members, ends = np.hstack(members), np.cumsum([member.shape[1] for member in members])[:-1]
-        sums = np.zeros(len(labels))
-        n = 0
-        for batch in batches:
-            xs, owns = batch[columns].to_numpy(float), batch[labels].to_numpy(int)
-            for start in range(0, len(batch), BLOCK_ROWS):
-                x, own = xs[start : start + BLOCK_ROWS], owns[start : start + BLOCK_ROWS]
-                distance = np.sqrt(sum((x[:, [d]] - points[:, d]) ** 2 for d in range(len(columns))))
-                totals = np.split(distance @ all_members, ends, axis=1)
-                sums += [scores(t, sizes[i], own[:, i]).sum() for i, t in enumerate(totals)]
-            n += len(batch)
-        yield pd.DataFrame({"label": labels, "total": sums, "n": n})
-
-    # Few rows but much work per row: spread them over all cores.
-    rows = df.select(*columns, *labels).repartition(df.sparkSession.sparkContext.defaultParallelism)
-    sums = rows.mapInPandas(block_sums, "label string, total double, n long")
-    means = sums.groupBy("label").agg((F.sum("total") / F.sum("n")).alias("mean"))
-    return {row["label"]: row["mean"] for row in means.collect()}  # one row per k
-
-
-def silhouettes(df: DataFrame, columns: list[str], labels: list[str], pairwise_limit: int = PAIRWISE_LIMIT) -> dict[str, float]:
-    """Mean silhouette per label column; every label column needs at least two clusters.
-
-    All pairs grow with the square of the rows. Tables over `pairwise_limit` rows use squared Euclidean
-    distance, whose silhouette follows from per-cluster sums: exact over all rows and linear.
+    chosen: Centers = []
+    for number in range(k):
+        u = (F.conv(F.substring(F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(f"{seed}:{number}"))), 1, 12), 16, 10).cast("double") + 1) / (2.0**48 + 1)
+        distance = F.lit(1.0)
+        if chosen:
+            distance = F.least(*[_squared(columns, c) for c in chosen]) if len(chosen) > 1 else _squared(columns, chosen[0])
+        key = F.struct((-F.log(u) / distance).alias("key"), F.col(id_col))
+        drawn = points.filter(distance > 0).agg(F.min_by(F.array(*columns), key).alias("point")).first()
+        if drawn["point"] is None:
+            break
+        chosen.append(list(drawn["point"]))
+    return chosen
+
+
+def fit_kmeans(points: DataFrame, id_col: str, columns: list[str], ks: list[int], seed: int = SEED) -> dict[int, Centers]:
+    """Centres for every k in `ks` over standardised `columns`.
+
+    The fits share their seeds (k takes the first k) and their jobs: one pass over the points moves the centres
+    of all fits that still move. Sums are exact, so the result does not depend on partitions.
     """
-    if df.limit(pairwise_limit + 1).count() <= pairwise_limit:
-        return _euclidean_silhouettes(df, columns, labels)
-    assembled = VectorAssembler(inputCols=columns, outputCol="_point").transform(df)
-    return {
-        name: ClusteringEvaluator(featuresCol="_point", predictionCol=name).evaluate(
-            assembled.select("_point", F.col(name).cast("double").alias(name))
-        )
-        for name in labels
-    }
+    first = seeds(points, id_col, columns, max(ks), seed)
+    centers = {k: first[:k] for k in ks}
+    moving = list(ks)
+    for _ in range(MAX_ITERATIONS):
+        if not moving or not first:
+            break
+        moved = lloyd_step(points, columns, {str(k): centers[k] for k in moving})
+        still = []
+        for k in moving:
+            shift = sum((a - b) ** 2 for old, new in zip(centers[k], moved[str(k)]) for a, b in zip(old, new))
+            centers[k] = moved[str(k)]
+            if shift > TOLERANCE:
+                still.append(k)
+        moving = still
+    return centers
+
+
+def silhouettes(points: DataFrame, columns: list[str], labels: list[str]) -> dict[str, float]:
+    """Mean silhouette by squared Euclidean distance per label column; NaN where there is a single cluster.
+
+    The mean squared distance of a point from a cluster follows from the cluster's size, sum and sum of
+    squares, so this is exact over all rows and linear: one job for the sums, one for the scores.
+    """
+    sums = _sums(points, columns, {name: F.col(name) for name in labels})
+    means, scores = {}, []
+    for number, name in enumerate(labels):
+        clusters = sorted(sums[name].items())
+        if len(clusters) < 2:
+            scores.append(F.lit(None).cast("double").alias(name))
+            continue
+        own_size, mean = F.lit(0), {}
+        for label, (n, total, square) in clusters:
+            spread = square / n - sum((t / n) ** 2 for t in total)  # of the cluster about its mean, in units of the grid
+            mean[label] = f"_mean_{number}_{label}"  # a column: it is used several times
+            means[mean[label]] = _squared(columns, [t / n / GRID for t in total]) + F.lit(max(0.0, spread) / GRID**2)
+            own_size = F.when(F.col(name) == label, n).otherwise(own_size)
+        inside = F.coalesce(*[F.when(F.col(name) == label, F.col(m)) for label, m in mean.items()])
+        inside = inside * own_size / F.greatest(own_size - 1, F.lit(1))
+        outside = F.least(*[F.when(F.col(name) != label, F.col(m)) for label, m in mean.items()])
+        sides = F.struct(inside.alias("inside"), outside.alias("outside"), (own_size > 1).alias("joined"))
+        means[f"_sides_{number}"] = sides
+        own = F.col(f"_sides_{number}")
+        larger = F.greatest(own["inside"], own["outside"])
+        score = F.when(own["joined"] & (larger > 0), (own["outside"] - own["inside"]) / larger).otherwise(0.0)
+        scores.append((F.sum(score.cast("decimal(20,15)")).cast("double") / F.count("*")).alias(name))
+    for some in ("_mean", "_sides"):
+        points = points.withColumns({c: e for c, e in means.items() if c.startswith(some)})
+    found = points.agg(*scores).first()
+    return {name: math.nan if found[name] is None else found[name] for name in labels}
+
+
+def best_k(scores: dict[int, float]) -> int:
+    """The k with the highest silhouette, the smallest on ties."""
+    usable = {k: s for k, s in scores.items() if not math.isnan(s)}
+    if not usable:
+        raise ValueError("all rows fell into one cluster: there is nothing to choose from")
+    return max(usable, key=lambda k: (round(usable[k], 12), -k))
+
+
+def score_centers(points: DataFrame, columns: list[str], centers: dict[int, Centers]) -> dict[int, float]:
+    """The silhouette of every set of centres."""
+    labelled = points.select(*columns, *[nearest_center(columns, c).alias(f"k{k}") for k, c in centers.items()])
+    found = silhouettes(labelled, columns, [f"k{k}" for k in centers])
+    return {k: found[f"k{k}"] for k in centers}
 
 
 def choose_k(
-    df: DataFrame,
-    id_col: str,
-    columns: list[str],
-    k_min: int = K_MIN,
-    k_max: int = K_MAX,
-    seed: int = SEED,
-    pairwise_limit: int = PAIRWISE_LIMIT,
-) -> tuple[int, dict[int, float], list[list[float]]]:
-    """Fit every k, keep the one with the highest silhouette (the smallest on ties).
-
-    Returns k, the silhouette of each k, and the centres of the chosen one. The points are cached: each
-    fit reads them many times. Lost cache blocks are rebuilt from `df`, so pass a stored table.
+    df: DataFrame, id_col: str, columns: list[str], k_min: int = K_MIN, k_max: int = K_MAX, seed: int = SEED
+) -> tuple[int, dict[int, float], Centers]:
+    """Fit every k and keep the one with the best silhouette.
+
+    Returns k, the silhouette of each k, and the centres of the chosen one. The points are cached: the fits
+    read them many times. Lost cache blocks are rebuilt from `df`, so pass a stored table.
     """
-    points = _fixed_layout(df.select(id_col, *columns), id_col).persist(StorageLevel.MEMORY_AND_DISK)
+    points = df.select(id_col, *columns).repartition(df.sparkSession.sparkContext.defaultParallelism)
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        points.count()  # fill the cache once, not once per fit
-        fit = inheritable_thread_target(df.sparkSession)(lambda k: fit_kmeans(points, columns, k, seed))
-        tried = range(k_min, k_max + 1)
-        with ThreadPoolExecutor(len(tried)) as pool:  # the fits are independent jobs on the same cached rows
-            centers = dict(zip(tried, pool.map(fit, tried)))
-        labelled = points.select(*columns, *[nearest_center(columns, c).alias(f"k{k}") for k, c in centers.items()])
-        labelled.persist(StorageLevel.MEMORY_AND_DISK)
-        scores = silhouettes(labelled, columns, [f"k{k}" for k in centers], pairwise_limit)
-        labelled.unpersist()
+        centers = fit_kmeans(points, id_col, columns, list(range(k_min, k_max + 1)), seed)
+        by_k = score_centers(points, columns, centers)
     finally:
         points.unpersist()
-    by_k = {k: scores[f"k{k}"] for k in centers}
-    if any(math.isnan(score) for score in by_k.values()):
-        raise ValueError("all rows fell into one cluster: there is nothing to choose from")
-    best = max(by_k, key=lambda k: (by_k[k], -k))
+    best = best_k(by_k)
     return best, by_k, centers[best]

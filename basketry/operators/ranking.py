@@ -138,10 +138,13 @@ def _narrow(keys: DataFrame, searches: list[_Search], ids: tuple[int, int], slic
 
 
 def _fetch(keys: DataFrame, searches: list[_Search]) -> list[tuple[int, int]]:
-    """The wanted (value, id) pairs, from ranges already known to hold few rows."""
+    """The wanted (value, id) pairs, from ranges already known to hold few rows; one row per pair comes."""
     ranges = list(dict.fromkeys(s.where for s in searches))
     rows: dict[_Range, list[tuple[int, int]]] = {r: [] for r in ranges}
-    for row in _tag(keys, ranges, lambda r: [F.col(r.metric).alias("value"), F.col("_id")]).collect():
+    tagged = _tag(keys, ranges, lambda r: [F.col(r.metric).alias("value"), F.col("_id")])
+    for row in tagged.groupBy("range", "value", "_id").count().collect():
+        if row["count"] > 1:
+            raise ValueError(f"cannot rank: id {row['_id']} occurs {row['count']} times")
         rows[ranges[row["range"]]].append((row["value"], row["_id"]))
     return [sorted(rows[s.where])[s.nth] for s in searches]
 
@@ -192,7 +195,7 @@ def score_quintiles(
 
     Same bins as ranking all rows by (metric, id) and applying `quintile_of_rank`, but without sorting or
     shuffling the table: the rows are compared with four edges per metric. `df` is read several times, so
-    it should be a stored table. `id_col` must be unique.
+    it should be a stored table. `id_col` must be unique; a repeated id at an edge stops the job.
     """
     metrics = list(dict.fromkeys(metric for metric, _ in scores.values()))
     edges = bin_edges(df, id_col, metrics, slices, fetch_limit)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.dates import day_name, month_name
-from ..operators.keyed_writes import insert_new, require_unique_keys, upsert
+from ..operators.keyed_writes import insert_new, single_rows, upsert
 from ..schemas import KEYS, conform
 from ..sources.csv_files import RAW_FILES, read_raw
 from ..sources.staging import stage
@@ -24,7 +24,7 @@ def load_raw(spark: SparkSession, in_dir: str, root: str, truncate: bool = False
 
 def dimension_rows(raw: DataFrame, table: str) -> DataFrame:
     """Distinct raw rows of dim_customers or dim_products; a key with two different rows is refused."""
-    return require_unique_keys(conform(raw, table).distinct(), KEYS[table])
+    return single_rows(conform(raw, table).distinct(), KEYS[table], table)
 
 
 def date_rows(raw_orders: DataFrame) -> DataFrame:
@@ -47,18 +47,22 @@ def date_rows(raw_orders: DataFrame) -> DataFrame:
 
 def fact_rows(raw: DataFrame, table: str) -> DataFrame:
     """Raw rows of fact_orders or fact_order_items; a repeated key is refused."""
-    return require_unique_keys(conform(raw, table), KEYS[table])
+    return single_rows(conform(raw, table), KEYS[table], table)
+
+
+def upsert_table(batch: DataFrame, root: str, table: str) -> None:
+    """Bring a batch into a stored table by its key."""
+    replace_table(upsert(read_table(batch.sparkSession, root, table), batch, KEYS[table]), root, table)
 
 
 def build_dims(spark: SparkSession, root: str) -> None:
     for table in ("dim_customers", "dim_products"):
         batch = stage(conform(read_table(spark, root, table.replace("dim_", "raw_")), table).distinct())
-        replace_table(upsert(read_table(spark, root, table), batch, KEYS[table]), root, table)
+        upsert_table(batch, root, table)
     dates = date_rows(read_table(spark, root, "raw_orders"))  # one scan of one column
     replace_table(insert_new(read_table(spark, root, "dim_date"), dates, KEYS["dim_date"]), root, "dim_date")
 
 
 def build_facts(spark: SparkSession, root: str) -> None:
     for table in ("fact_orders", "fact_order_items"):
-        batch = read_table(spark, root, table.replace("fact_", "raw_"))
-        replace_table(upsert(read_table(spark, root, table), batch, KEYS[table]), root, table)
+        upsert_table(read_table(spark, root, table.replace("fact_", "raw_")), root, table)

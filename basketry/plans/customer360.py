@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.dates import age_month_field, as_of_column, full_months
 from ..functions.numbers import mean_of, ratio
 from ..schemas import conform
+from ..sources.staging import stage
 from .silver import COMPLETED, RETURNED, clean_items, non_cancelled, valid_items
 
 
@@ -36,13 +37,13 @@ def category_revenue(items: DataFrame, orders: DataFrame, products: DataFrame) -
 
 def dominant_category(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """The category with most revenue per customer, the first by name on ties; unknown revenue ranks highest."""
+    return _dominant(category_revenue(items, orders, products))
+
+
+def _dominant(by_category: DataFrame) -> DataFrame:
     revenue = F.col("cat_revenue")
     order = F.struct(revenue.isNotNull(), -revenue, F.col("category").isNull(), F.col("category"))
-    return (
-        category_revenue(items, orders, products)
-        .groupBy("customer_id")
-        .agg(F.min_by("category", order).alias("dominant_category"))
-    )
+    return by_category.groupBy("customer_id").agg(F.min_by("category", order).alias("dominant_category"))
 
 
 def _frequency(strict_months: bool):
@@ -110,21 +111,27 @@ def customer_360(
 ) -> DataFrame:
     """The customer metrics mart.
 
-    Orders are matched with their unit counts and aggregated per customer once, for dates, value,
-    frequency, returns and baskets together. Only the dominant category needs the items at line level.
-    Every per-customer input arrives already shuffled by customer, so the last joins move only customers.
+    The items are read once: valid lines are added up by order and category, with a mark for known products,
+    before they are shuffled. Baskets (all lines) and dominant category (lines of known products) start from
+    that stored table. Orders are aggregated per customer once, for dates, value, frequency and returns.
     """
-    with_units = non_cancelled(orders).join(items_per_order(items), "order_id", "left")
+    known = products.select("product_id", "category", F.lit(True).alias("known"))
+    lines = valid_items(items).join(known, "product_id", "left").groupBy("order_id", "category", "known")
+    lines = stage(lines.agg(F.sum("quantity").alias("units"), F.sum("line_total").alias("revenue")))
+    per_order = lines.groupBy("order_id").agg(F.sum("units").alias("items_per_order"))
+    with_units = non_cancelled(orders).join(per_order, "order_id", "left")
     units, n = F.sum("items_per_order").cast("decimal(20,0)"), F.count("items_per_order")
     metrics = _order_metrics(strict_months) | {"avg_basket_size": mean_of(units, n, "decimal(14,2)")}
     per_customer = with_units.groupBy("customer_id").agg(*[m.alias(name) for name, m in metrics.items()])
+    sold = lines.filter("known").join(non_cancelled(orders).select("order_id", "customer_id"), "order_id")
+    by_category = sold.groupBy("customer_id", "category").agg(F.sum("revenue").alias("cat_revenue"))
     zero_if_none = [
         "total_orders", "total_revenue", "avg_order_value", "avg_basket_size", "purchase_frequency_per_mo", "returns_rate",
     ]
     joined = (
         customers.select("customer_id")
         .join(per_customer, "customer_id", "left")
-        .join(dominant_category(items, orders, products), "customer_id", "left")
+        .join(_dominant(by_category), "customer_id", "left")
         .withColumns({name: F.coalesce(name, F.lit(0)) for name in zero_if_none})
         .withColumn("days_since_last_purchase", F.date_diff(as_of_column(as_of), "last_purchase_date"))
     )

@@ -40,8 +40,7 @@ def write_mart(df: DataFrame, root: str, table: str, mode: str = "snapshot") ->
     if mode not in ("snapshot", "upsert"):
         raise ValueError(f"mode must be snapshot or upsert, not {mode}")
     if mode == "upsert":
-        # The batch is read three times (key check, anti-join, union): compute it once.
-        df = upsert(read_table(df.sparkSession, root, table), stage(df), KEYS[table])
+        df = upsert(read_table(df.sparkSession, root, table), df, KEYS[table])
     replace_table(df, root, table)
     return read_table(df.sparkSession, root, table)
 
@@ -86,7 +85,7 @@ def score_customers(spark: SparkSession, root: str, exports: str) -> None:
 def group_customers(spark: SparkSession, root: str, exports: str) -> None:
     clusters, _ = cluster_customers(read_table(spark, root, "mart_customer_metrics"))
     clusters = write_mart(clusters, root, "mart_customer_clusters")
-    export_csv(clusters, f"{exports}/customer_clusters")
+    export_csv(clusters.select(*[c for c in clusters.columns if c != "cluster_id"], "cluster_id"), f"{exports}/customer_clusters")
     export_csv(cluster_profile(clusters), f"{exports}/cluster_profiles")
 
 

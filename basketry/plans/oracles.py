@@ -6,11 +6,25 @@ a / b rounded half up is (2a + b) // 2b.
 
 from __future__ import annotations
 
-from ..operators.quality import ACCEPTED
-from ..schemas import SCHEMAS
-from ..sources.sales_schema import AS_OF, FIRST_SIGNUP
-from .clusters import COLUMNS, FEATURES
-from .registry import CENTERS, EARLIER_AS_OF, LOADED_UNTIL, RELOAD_FROM, RELOAD_SHIPPING
+# Values of its own, so that a slip in the code under test does not pass on both sides.
+AS_OF, EARLIER_AS_OF, FIRST_SIGNUP = "2001-08-01", "2001-02-01", "1994-10-03"
+RELOAD_FROM, LOADED_UNTIL, RELOAD_SHIPPING = "1999-01-01", "2000-01-01", "5.00"
+FEATURE_TYPES = {
+    "total_orders": "int",
+    "total_revenue": "decimal(14,2)",
+    "avg_order_value": "decimal(14,2)",
+    "avg_basket_size": "decimal(14,2)",
+    "purchase_frequency_per_mo": "decimal(14,4)",
+    "days_since_last_purchase": "int",
+    "returns_rate": "decimal(10,4)",
+}
+COLUMNS = list(FEATURE_TYPES)
+CENTERS = [
+    [-1.0, -1.0, -0.5, -0.5, -0.5, 1.0, 0.0],
+    [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0],
+    [1.0, 1.0, 0.5, 0.0, 0.5, -0.5, -0.5],
+    [0.0, -0.5, 0.0, 0.5, 0.0, 0.0, 1.0],
+]
 
 
 def _rounded(numerator: str, denominator: str, digits: int, type_: str) -> str:
@@ -34,7 +48,13 @@ def _base_as_of(day: str) -> str:
         FROM done WHERE order_date >= DATE '{day}' - 365 GROUP BY customer_id"""
 
 
-_MART = "mart_customer_metrics"
+def _faulty_lines(source: str) -> str:
+    return f"""
+        SELECT CASE WHEN order_item_id % 101 <> 0 THEN order_item_id END AS order_item_id, order_id, product_id,
+               CASE WHEN product_id % 79 = 0 THEN 0 ELSE quantity END AS quantity, unit_price,
+               CASE WHEN product_id % 5 = 0 THEN 0 ELSE line_total END AS line_total
+        FROM {source}"""
+
 
 _CTES = {
     "r_customers": f"""
@@ -64,6 +84,29 @@ _CTES = {
                    AS unit_price,
                l_extendedprice::decimal(12,2) AS line_total
         FROM lineitem""",
+    "f_customers": """
+        SELECT CASE WHEN customer_id % 61 <> 0 THEN customer_id END AS customer_id, signup_date,
+               CASE WHEN customer_id % 3 = 0 THEN 'US' ELSE country END AS country,
+               CASE WHEN customer_id % 5 = 0 THEN 'web' ELSE channel END AS channel,
+               CASE WHEN customer_id % 7 = 0 THEN 'proton.me' ELSE email_domain END AS email_domain
+        FROM (SELECT * FROM r_customers UNION ALL SELECT * FROM r_customers WHERE customer_id % 50 = 0)""",
+    "f_products": """
+        SELECT product_id, CASE WHEN product_id % 2 = 0 THEN 'Home' ELSE category END AS category,
+               CASE WHEN product_id % 3 = 0 THEN 'Nova' ELSE brand END AS brand
+        FROM (SELECT * FROM r_products UNION ALL SELECT * FROM r_products WHERE product_id % 40 = 0)
+        WHERE product_id % 71 <> 0""",
+    "f_orders": """
+        SELECT CASE WHEN order_id % 97 <> 0 THEN order_id END AS order_id, customer_id, order_date,
+               CASE WHEN order_id % 67 = 0 THEN 'lost' ELSE status END AS status,
+               CASE WHEN order_id % 4 = 0 THEN 'card' ELSE payment_type END AS payment_type,
+               CASE WHEN status = 'cancelled' AND order_id % 2 = 0 THEN 0
+                    WHEN order_id % 83 = 0 THEN -order_total ELSE order_total END AS order_total,
+               CASE WHEN status = 'cancelled' AND order_id % 2 = 0 THEN 0
+                    WHEN order_id % 83 = 0 THEN -discount_total ELSE discount_total END AS discount_total, shipping_total
+        FROM (SELECT * FROM r_orders UNION ALL SELECT * FROM r_orders WHERE order_id % 90 = 0) WHERE order_id % 89 <> 0""",
+    "f_items": _faulty_lines("r_items"),
+    "f_items_twice": _faulty_lines("(SELECT * FROM r_items UNION ALL SELECT * FROM r_items WHERE order_item_id % 100 = 0)"),
+    "f_dates": "SELECT * FROM dates WHERE day <> 13",
     "dates": """
         SELECT DISTINCT order_date AS date_key, year(order_date)::int AS year, month(order_date)::int AS month,
                day(order_date)::int AS day, weekofyear(order_date)::int AS week,
@@ -145,22 +188,24 @@ _CTES = {
                     WHEN r_score <= 2 AND f_score <= 2 AND m_score <= 2 THEN 'Hibernating'
                     ELSE 'Needs Attention' END AS segment
         FROM scores""",
-    "firsts": """
-        SELECT customer_id, date_trunc('month', min(order_date))::date AS cohort_month FROM done GROUP BY customer_id""",
-    "active": "SELECT DISTINCT customer_id, date_trunc('month', order_date)::date AS active_month FROM done",
-    "sizes": "SELECT cohort_month, count(DISTINCT customer_id) AS cohort_size FROM firsts GROUP BY cohort_month",
+    "visits": """
+        SELECT customer_id, month, min(month) OVER (PARTITION BY customer_id) AS joined
+        FROM (SELECT DISTINCT customer_id, datetrunc('month', order_date)::date AS month FROM done)""",
     "retention": f"""
-        SELECT cohort_month, active_month, cohort_size::int AS cohort_size,
-               count(DISTINCT customer_id)::int AS active_users,
-               {_rounded('count(DISTINCT customer_id)', 'cohort_size', 4, 'decimal(10,4)')} AS retention_rate
-        FROM firsts JOIN active USING (customer_id) JOIN sizes USING (cohort_month)
-        GROUP BY cohort_month, active_month, cohort_size""",
+        SELECT joined AS cohort_month, month AS active_month, starters::int AS cohort_size, visitors::int AS active_users,
+               {_rounded('visitors', 'starters', 4, 'decimal(10,4)')} AS retention_rate
+        FROM (SELECT joined, month, count(*) AS visitors,
+                     first_value(count(*)) OVER (PARTITION BY joined ORDER BY month) AS starters
+              FROM visits GROUP BY joined, month)""",
     "features": "SELECT customer_id, "
-    + ", ".join(f"coalesce({c}, {v})::{SCHEMAS[_MART][c].dataType.simpleString()} AS {c}" for c, v in FEATURES.items())
+    + ", ".join(
+        f"coalesce({c}, {9999 if c == 'days_since_last_purchase' else 0})::{kind} AS {c}" for c, kind in FEATURE_TYPES.items()
+    )
     + " FROM metrics",
     "z": "SELECT f.*, "
     + ", ".join(
-        f"(({c}::double) - avg({c}::double) OVER ()) / coalesce(nullif(stddev_pop({c}::double) OVER (), 0), 1) AS z_{c}"
+        f"round_even((({c}::double) - avg({c}::double) OVER ()) / coalesce(nullif(stddev_pop({c}::double) OVER (), 0), 1)"
+        f" * 1048576, 0) / 1048576 AS z_{c}"
         for c in COLUMNS
     )
     + " FROM features f",
@@ -172,7 +217,58 @@ _CTES = {
     + " FROM distances",
 }
 
+
+
+def _gap(a: str, b: str) -> str:
+    return " + ".join(f"({a}.z_{c} - {b}.z_{c}) * ({a}.z_{c} - {b}.z_{c})" for c in COLUMNS)
+
+
+def _labels(sets: dict[int, list[list[float]]]) -> str:
+    """(k, cl, customer_id, z...) for every set of centres."""
+    one = []
+    for k, centers in sets.items():
+        gaps = ", ".join(" + ".join(f"(z_{c} - {x!r}) * (z_{c} - {x!r})" for c, x in zip(COLUMNS, center)) for center in centers)
+        one.append(f"SELECT {k} AS k, list_position([{gaps}], list_min([{gaps}])) AS cl, z.* FROM z")
+    return " UNION ALL ".join(one)
+
+
+def _silhouette(sets: dict[int, list[list[float]]]) -> str:
+    """(k, silhouette) by comparing all pairs."""
+    return f"""
+        l AS ({_labels(sets)}),
+        means AS (SELECT a.k, a.customer_id, a.cl = b.cl AS own, b.cl, sum({_gap("a", "b")}) AS total, count(*) AS n
+                  FROM l a JOIN l b ON a.k = b.k GROUP BY a.k, a.customer_id, a.cl, b.cl),
+        sides AS (SELECT k, customer_id, max(n) FILTER (own) AS n,
+                         max(total / greatest(n - 1, 1)) FILTER (own) AS inside, min(total / n) FILTER (NOT own) AS outside
+                  FROM means GROUP BY k, customer_id),
+        scores AS (SELECT k, avg(CASE WHEN n > 1 AND greatest(inside, outside) > 0
+                                      THEN (outside - inside) / greatest(inside, outside) ELSE 0 END) AS silhouette
+                   FROM sides GROUP BY k)"""
+
+
+def _lloyd(steps: int) -> str:
+    """`steps` rounds, each a table of centres c0, c1, ... and the last one's customers."""
+    start = " UNION ALL ".join(f"SELECT {i} AS cl, " + ", ".join(f"{x!r}::double AS z_{c}" for c, x in zip(COLUMNS, row)) for i, row in enumerate(CENTERS))
+    parts = [f"c0 AS ({start})"]
+    for i in range(steps + 1):
+        parts.append(
+            f"n{i} AS (SELECT z.*, (SELECT arg_min(cl, ({_gap('z', 'c')}, cl)) FROM c{i} c) AS cl FROM z)"
+        )
+        if i < steps:
+            means = ", ".join(f"coalesce(avg(n.z_{c}), any_value(c.z_{c})) AS z_{c}" for c in COLUMNS)
+            parts.append(f"c{i + 1} AS (SELECT c.cl, {means} FROM c{i} c LEFT JOIN n{i} n ON n.cl = c.cl GROUP BY c.cl)")
+    return ",\n".join(parts)
+
+
+SPREAD = {k: [[-1.0 + 2.0 * i / (k - 1)] * len(COLUMNS) for i in range(k)] for k in range(3, 9)}
+
 _NEEDS: dict[str, list[str]] = {
+    "f_customers": ["r_customers"],
+    "f_products": ["r_products"],
+    "f_orders": ["r_orders"],
+    "f_items": ["r_items"],
+    "f_items_twice": ["r_items"],
+    "f_dates": ["dates"],
     "dates": ["r_orders"],
     "reload": ["r_orders"],
     "kept": ["r_orders"],
@@ -192,10 +288,8 @@ _NEEDS: dict[str, list[str]] = {
     "ranked": ["rfm"],
     "scores": ["ranked"],
     "segmented": ["scores"],
-    "firsts": ["done"],
-    "active": ["done"],
-    "sizes": ["firsts"],
-    "retention": ["firsts", "active", "sizes"],
+    "visits": ["done"],
+    "retention": ["visits"],
     "features": ["metrics"],
     "z": ["features"],
     "distances": ["z"],
@@ -226,11 +320,11 @@ def _checks(rows: dict[str, str]) -> str:
 
 
 _TABLES = {
-    "dim_customers": "r_customers",
-    "dim_products": "r_products",
-    "dim_date": "dates",
-    "fact_orders": "r_orders",
-    "fact_order_items": "r_items",
+    "dim_customers": "f_customers",
+    "dim_products": "f_products",
+    "dim_date": "f_dates",
+    "fact_orders": "f_orders",
+    "fact_order_items": "f_items_twice",
 }
 
 
@@ -242,7 +336,7 @@ def _shared_keys(table: str, key: str) -> str:
 
 
 def _parentless(child: str, column: str, parent: str, key: str) -> str:
-    return f"count(*) FROM {child} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent})"
+    return f"count(*) FROM {child} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)"
 
 
 def _outside(table: str, column: str, values: list[str]) -> str:
@@ -260,44 +354,66 @@ _UNIQUE = {
     }.items()
 }
 _FOREIGN = {
-    "foreign_key:fact_orders.customer_id": _parentless("r_orders", "customer_id", "r_customers", "customer_id"),
-    "foreign_key:fact_orders.order_date": _parentless("r_orders", "order_date", "dates", "date_key"),
-    "foreign_key:fact_order_items.order_id": _parentless("r_items", "order_id", "r_orders", "order_id"),
-    "foreign_key:fact_order_items.product_id": _parentless("r_items", "product_id", "r_products", "product_id"),
+    "foreign_key:fact_orders.customer_id": _parentless("f_orders", "customer_id", "f_customers", "customer_id"),
+    "foreign_key:fact_orders.order_date": _parentless("f_orders", "order_date", "f_dates", "date_key"),
+    "foreign_key:fact_order_items.order_id": _parentless("f_items", "order_id", "f_orders", "order_id"),
+    "foreign_key:fact_order_items.product_id": _parentless("f_items", "product_id", "f_products", "product_id"),
+}
+_ACCEPTED = {
+    "dim_customers": {
+        "country": ["US", "CA", "GB", "IN", "AU"],
+        "channel": ["web", "mobile", "marketplace"],
+        "email_domain": ["gmail.com", "outlook.com", "yahoo.com", "proton.me"],
+    },
+    "dim_products": {
+        "category": ["Electronics", "Apparel", "Home", "Beauty", "Sports", "Grocery"],
+        "brand": ["Nova", "Apex", "Zenith", "Orbit", "Pulse", "Vertex"],
+    },
+    "fact_orders": {
+        "status": ["completed", "cancelled", "returned"],
+        "payment_type": ["card", "paypal", "apple_pay", "google_pay"],
+    },
 }
 _VALUES = {
     f"accepted_values:{table}.{column}": _outside(_TABLES[table], column, values)
-    for table, columns in ACCEPTED.items()
+    for table, columns in _ACCEPTED.items()
     for column, values in columns.items()
 }
-_LINES = "r_items i JOIN r_orders o ON i.order_id = o.order_id"
+_LINES = "f_items i JOIN f_orders o ON i.order_id = o.order_id"
 _RECONCILE = {
     "line_total_is_price_times_quantity": (
         f"count(*) FROM {_LINES} WHERE status <> 'cancelled' AND line_total <> unit_price * quantity"
     ),
     "order_total_is_lines_less_discount_plus_shipping": (
-        "count(*) FROM r_orders o LEFT JOIN (SELECT order_id, sum(line_total) AS lines FROM r_items GROUP BY order_id) l "
+        "count(*) FROM f_orders o LEFT JOIN (SELECT order_id, sum(line_total) AS lines FROM f_items GROUP BY order_id) l "
         "ON o.order_id = l.order_id WHERE status <> 'cancelled' "
         "AND order_total <> coalesce(lines, 0) - discount_total + shipping_total"
     ),
     "cancelled_orders_are_zero": (
-        "count(*) FROM r_orders WHERE status = 'cancelled' "
+        "count(*) FROM f_orders WHERE status = 'cancelled' "
         "AND (order_total <> 0 OR discount_total <> 0 OR shipping_total <> 0)"
     ),
     "cancelled_lines_are_zero": f"count(*) FROM {_LINES} WHERE status = 'cancelled' AND line_total <> 0",
 }
 _STANDING = {
-    "no_negative_revenue_completed": "count(*) FROM r_orders WHERE status = 'completed' AND order_total < 0",
-    "positive_quantity_items": "count(*) FROM r_items WHERE quantity <= 0",
-    "no_orphan_order_items": "count(*) FROM r_items WHERE order_id IS NULL OR order_id NOT IN (SELECT order_id FROM r_orders)",
+    "no_negative_revenue_completed": "count(*) FROM f_orders WHERE status = 'completed' AND order_total < 0",
+    "positive_quantity_items": "count(*) FROM f_items WHERE quantity <= 0",
+    "no_orphan_order_items": "count(*) FROM f_items WHERE order_id IS NULL OR order_id NOT IN (SELECT order_id FROM f_orders WHERE order_id IS NOT NULL)",
 }
 
 _ITEM_COLUMNS = "order_item_id, order_id, product_id, quantity, unit_price, line_total"
 
 ORACLES: dict[str, str] = {
     "csv_customers": _query("SELECT * FROM r_customers", "r_customers"),
+    "csv_products": _query("SELECT * FROM r_products", "r_products"),
+    "csv_order_items": _query("SELECT * FROM r_items", "r_items"),
     "csv_orders": _query("SELECT * FROM r_orders", "r_orders"),
-    "stored_orders": _query("SELECT * FROM r_orders", "r_orders"),
+    "stored_orders": _query(
+        f"""SELECT * FROM r_orders
+            WHERE order_date < DATE '{LOADED_UNTIL}' AND order_id NOT IN (SELECT order_id FROM reload)
+            UNION ALL SELECT * FROM reload""",
+        "reload",
+    ),
     "rfm_base_upsert": _query(
         """SELECT * FROM rfm UNION ALL
            SELECT * FROM rfm_earlier WHERE customer_id NOT IN (SELECT customer_id FROM rfm)""",
@@ -320,6 +436,15 @@ ORACLES: dict[str, str] = {
     ),
     "orders_completed": _query("SELECT * FROM done", "done"),
     "orders_non_cancelled": _query("SELECT * FROM kept", "kept"),
+    "published_views": _query(
+        """SELECT 'v_orders_completed' AS view, count(*) AS n_rows, sum(order_total)::decimal(22,2) AS amount FROM done
+           UNION ALL SELECT 'v_orders_non_cancelled', count(*), sum(order_total)::decimal(22,2) FROM kept
+           UNION ALL SELECT 'v_order_items_clean', count(*), sum(line_total)::decimal(22,2)
+           FROM f_items JOIN kept USING (order_id) WHERE quantity > 0 AND unit_price >= 0""",
+        "done",
+        "kept",
+        "f_items",
+    ),
     "items_clean": _query(f"SELECT {_ITEM_COLUMNS} FROM clean", "clean"),
     "basket_size": _query("SELECT * FROM basket", "basket"),
     "category_revenue": _query("SELECT * FROM cat_rev", "cat_rev"),
@@ -337,7 +462,7 @@ ORACLES: dict[str, str] = {
     "rfm_segments": _query("SELECT * FROM segmented", "segmented"),
     "rfm_scored": _query("SELECT customer_id, r_score, f_score, m_score, rfm_score, segment FROM segmented", "segmented"),
     "rfm_segment_counts": _query("SELECT segment, count(*) AS customers FROM segmented GROUP BY segment", "segmented"),
-    "cohort_first_purchase": _query("SELECT * FROM firsts", "firsts"),
+    "cohort_first_purchase": _query("SELECT DISTINCT customer_id, joined AS cohort_month FROM visits", "visits"),
     "cohort_retention": _query("SELECT * FROM retention ORDER BY cohort_month, active_month", "retention"),
     "retention_curve": _query(
         """SELECT ((year(active_month) - year(cohort_month)) * 12 + month(active_month) - month(cohort_month))::int
@@ -350,15 +475,30 @@ ORACLES: dict[str, str] = {
            FROM segmented GROUP BY segment ORDER BY revenue_365d DESC""",
         "segmented",
     ),
-    "dq_report": _query(_checks(_STANDING), "r_orders", "r_items"),
+    "dq_report": _query(_checks(_STANDING), "f_orders", "f_items"),
     "dq_unique_keys": _query(_checks(_UNIQUE), *_TABLES.values()),
-    "dq_foreign_keys": _query(_checks(_FOREIGN), *_TABLES.values()),
-    "dq_accepted_values": _query(_checks(_VALUES), "r_customers", "r_products", "r_orders"),
-    "dq_reconcile": _query(_checks(_RECONCILE), "r_orders", "r_items"),
+    "dq_foreign_keys": _query(_checks(_FOREIGN), *_TABLES.values(), "f_items"),
+    "dq_accepted_values": _query(_checks(_VALUES), "f_customers", "f_products", "f_orders"),
+    "dq_reconcile": _query(_checks(_RECONCILE), "f_orders", "f_items"),
     "cluster_features": _query("SELECT * FROM features", "features"),
     "standardized_features": _query(
         "SELECT customer_id, " + ", ".join(f"round(z_{c}, 6) AS {c}" for c in COLUMNS) + " FROM z", "z"
     ),
+    "silhouette_fixed": _query("SELECT k::int AS k, round(silhouette, 5) AS silhouette FROM scores", "z").replace(
+        "\nSELECT k::int", f",{_silhouette({4: CENTERS})}\nSELECT k::int"
+    ),
+    "choose_k_fixed": _query(
+        """SELECT k::int AS k, round(silhouette, 5) AS silhouette,
+                  k = (SELECT min(k) FROM scores WHERE silhouette = (SELECT max(silhouette) FROM scores)) AS chosen
+           FROM scores""",
+        "z",
+    ).replace("\nSELECT k::int", f",{_silhouette(SPREAD)}\nSELECT k::int"),
+    "lloyd_fixed": _query(
+        "SELECT c.cl::int AS cluster_id, "
+        + ", ".join(f"round(any_value(c.z_{c}), 4) AS {c}" for c in COLUMNS)
+        + ", count(n.cl) AS customers FROM c3 c LEFT JOIN n3 n ON n.cl = c.cl GROUP BY c.cl",
+        "z",
+    ).replace("\nSELECT c.cl::int", f",\n{_lloyd(3)}\nSELECT c.cl::int"),
     "cluster_assign_fixed": _query("SELECT * FROM clusters", "clusters"),
     "cluster_profile_fixed": _query(
         "SELECT cluster_id, "

@@ -2,34 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 # Order status.
 COMPLETED = "completed"
 RETURNED = "returned"
 
-# The same three views for catalog users; {schema} is the database prefix.
+# The rules of the views, stated once for frames and for catalog users.
+_COMPLETED = f"status = '{COMPLETED}'"
+_NON_CANCELLED = f"status IN ('{COMPLETED}', '{RETURNED}')"
+_VALID = "quantity > 0 AND unit_price >= 0"
+
+# Stored tables that each view stands on, and its text; {schema} is the database prefix.
 VIEW_SQL = {
-    "v_orders_completed": f"SELECT * FROM {{schema}}fact_orders WHERE status = '{COMPLETED}'",
-    "v_orders_non_cancelled": f"SELECT * FROM {{schema}}fact_orders WHERE status IN ('{COMPLETED}', '{RETURNED}')",
+    "v_orders_completed": (["fact_orders"], f"SELECT * FROM {{schema}}fact_orders WHERE {_COMPLETED}"),
+    "v_orders_non_cancelled": (["fact_orders"], f"SELECT * FROM {{schema}}fact_orders WHERE {_NON_CANCELLED}"),
     "v_order_items_clean": (
+        ["fact_orders", "fact_order_items"],
         "SELECT i.* FROM {schema}fact_order_items i JOIN {schema}v_orders_non_cancelled o ON o.order_id = i.order_id "
-        "WHERE i.quantity > 0 AND i.unit_price >= 0"
+        f"WHERE {_VALID}",
     ),
 }
 
 
 def completed(orders: DataFrame) -> DataFrame:
-    return orders.filter(F.col("status") == COMPLETED)
+    return orders.filter(_COMPLETED)
 
 
 def non_cancelled(orders: DataFrame) -> DataFrame:
-    return orders.filter(F.col("status").isin(COMPLETED, RETURNED))
+    return orders.filter(_NON_CANCELLED)
 
 
 def valid_items(items: DataFrame) -> DataFrame:
     """Items with something sold at a price; rows with NULL in either go too."""
-    return items.filter((F.col("quantity") > 0) & (F.col("unit_price") >= 0))
+    return items.filter(_VALID)
 
 
 def clean_items(items: DataFrame, orders: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -47,6 +53,5 @@ def register_views(orders: DataFrame, items: DataFrame) -> None:
     """Temp views over the given frames under the usual names."""
     orders.createOrReplaceTempView("fact_orders")
     items.createOrReplaceTempView("fact_order_items")
-    completed(orders).createOrReplaceTempView("v_orders_completed")
-    non_cancelled(orders).createOrReplaceTempView("v_orders_non_cancelled")
-    clean_items(items, orders).createOrReplaceTempView("v_order_items_clean")
+    for view, (_, text) in VIEW_SQL.items():
+        orders.sparkSession.sql(f"CREATE OR REPLACE TEMP VIEW {view} AS {text.format(schema='')}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, IntegralType, StringType, StructField, StructType
 
 from ..schemas import SCHEMAS
 
@@ -30,14 +30,19 @@ def _typed(name: str, to: DataType) -> Column:
     if isinstance(to, StringType):
         return F.expr(text).alias(name)
     kind = to.simpleString()
+    parsed = f"try_cast(`{name}` AS {kind})"
+    if isinstance(to, IntegralType):  # 1.0 is what a whole number becomes in a column with gaps; 1.5 is refused
+        number = f"try_cast(`{name}` AS decimal(38,10))"
+        parsed = f"coalesce({parsed}, CASE WHEN {number} = floor({number}) THEN try_cast({number} AS {kind}) END)"
     failure = f"raise_error(concat('column {name}: not a {kind}: ', `{name}`))"
-    return F.expr(f"CASE WHEN ({text}) IS NOT NULL THEN coalesce(try_cast(`{name}` AS {kind}), {failure}) END").alias(name)
+    return F.expr(f"CASE WHEN ({text}) IS NOT NULL THEN coalesce({parsed}, {failure}) END").alias(name)
 
 
-def read_raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def read_raw(spark: SparkSession, folder: str, table: str, line_breaks: bool = False) -> DataFrame:
     """One headered CSV as a typed raw table. Columns are matched by name, in any order.
 
-    A column the file lacks is NULL; a column the table lacks is an error, as is a missing file.
+    A column the file lacks is NULL; a column the table lacks is an error, as is a missing file. With
+    `line_breaks` a quoted cell may hold line breaks; each file is then read by one task.
     """
     file = next(f for f, t in RAW_FILES.items() if t == table)
     path = f"{folder.rstrip('/')}/{file}"
@@ -53,8 +58,8 @@ def read_raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
     if unknown:
         raise ValueError(f"{path}: columns not in {table}: {', '.join(unknown)}")
     as_text = StructType([StructField(name, StringType()) for name in header])
-    # RFC 4180 quoting: quotes inside a quoted cell are doubled and a cell may hold line breaks.
-    rows = spark.read.schema(as_text).options(header=True, mode="FAILFAST", escape='"').csv(path)
+    # RFC 4180 quoting: quotes inside a quoted cell are doubled.
+    rows = spark.read.schema(as_text).options(header=True, mode="FAILFAST", escape='"', multiLine=line_breaks).csv(path)
     return rows.select(
         *[
             _typed(f.name, f.dataType) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)

@@ -6,28 +6,24 @@ the rows stay the same whichever executors are lost in between, and later jobs s
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _DIR_KEY = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
+_used: set[str] = set()  # applications that have staged something
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """This application's part of the folder the session names.
+    """This application's part of the folder the session names, or else of its warehouse folder.
 
-    A local master without the setting gets a fresh temporary folder; a cluster without it is an error.
+    Both are shared by all executors of a cluster; no folder of a single machine is ever used.
     """
     context = spark.sparkContext
     folder = spark.conf.get(_DIR_KEY, None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {_DIR_KEY} to a folder that all executors share")
-        if context.applicationId not in _local_dirs:
-            _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="basketry-")
-        folder = _local_dirs[context.applicationId]
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    _used.add(context.applicationId)
     return f"{folder.rstrip('/')}/basketry-{context.applicationId}"
 
 
@@ -40,6 +36,9 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def drop_staged(spark: SparkSession) -> None:
-    """Remove everything this application staged."""
+    """Remove everything this application staged; nothing to do if it staged nothing."""
+    if spark.sparkContext.applicationId not in _used:
+        return
     folder = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    _used.discard(spark.sparkContext.applicationId)

@@ -100,17 +100,21 @@ def preview(df: DataFrame, rows: int = 2) -> DataFrame:
 
 
 def publish(spark: SparkSession, root: str, database: str = "retail") -> None:
-    """Give the stored tables and the cleaning views names in the catalog, for plain SQL."""
+    """Give the stored tables, and the cleaning views over them, names in the session's catalog, for plain SQL.
+
+    Names outlive the session if its catalog does (`spark.sql.catalogImplementation`, a setting of the
+    session). A view whose tables are not stored yet is left out.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for table, schema in SCHEMAS.items():
-        if not has_table(spark, root, table):
-            continue
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    stored = {t: path for t in SCHEMAS if (path := _current(spark, table_path(root, t)))}
+    for table, path in stored.items():
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SCHEMAS[table])
+        hadoop_path, fs = _path(spark, path)
+        place = fs.makeQualified(hadoop_path).toString()  # a relative one would be taken from the database's folder
         spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-        spark.sql(
-            f"CREATE TABLE {database}.{table} ({columns}) USING parquet LOCATION '{table_path(root, table)}'"
-        )
+        spark.sql(f"CREATE TABLE {database}.{table} ({columns}) USING parquet LOCATION '{place}'")
     from ..plans.silver import VIEW_SQL
 
-    for view, body in VIEW_SQL.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS {body.format(schema=database + '.')}")
+    for view, (needs, text) in VIEW_SQL.items():
+        if all(table in stored for table in needs):
+            spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS {text.format(schema=database + '.')}")

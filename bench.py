@@ -21,7 +21,7 @@ from basketry.sources.staging import drop_staged  # noqa: E402
 HEADLINE = [
     "fact_order_items", "upsert_orders", "items_clean", "customer_360", "dominant_category", "rfm_base", "rfm_scored",
     "rfm_ranks", "cohort_retention", "segment_report", "dq_report", "dq_foreign_keys", "dq_reconcile",
-    "cluster_assign_fixed", "customer_clusters",
+    "cluster_assign_fixed", "customer_clusters", "stored_orders", "dq_unique_keys", "kmeans_choose_k",
 ]
 
 

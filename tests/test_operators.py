@@ -123,8 +123,8 @@ def test_upsert_takes_null_values_and_any_column_order(letters):
 
 @pytest.mark.parametrize("bad", [[(2, "c"), (2, "d")], [(None, "c")]])
 def test_upsert_refuses_ambiguous_batches(letters, bad):
-    with pytest.raises(ValueError, match="NULL or not unique"):
-        upsert(letters((1, "a")), letters(*bad), ["id"])
+    with pytest.raises(Exception, match="NULL or not unique"):
+        upsert(letters((1, "a")), letters(*bad), ["id"]).collect()
 
 
 def test_insert_new(letters):
@@ -132,3 +132,14 @@ def test_insert_new(letters):
     assert sorted(insert_new(target, letters((2, "c"), (3, "e"), (3, "d")), ["id"]).collect()) == [(1, "a"), (2, "b"), (3, "d")]
     ids = target.select("id")
     assert sorted(insert_new(ids, letters((3, "x"), (3, "y")).select("id"), ["id"]).collect()) == [(1,), (2,), (3,)]
+
+
+def test_repeated_ids_stop_the_score_search(spark):
+    rows = spark.range(60_000).selectExpr("1 AS id", "cast(5 AS int) AS v")
+    with pytest.raises(ValueError, match="id 1 occurs"):
+        score_quintiles(rows, "id", {"score": ("v", True)})
+
+
+def test_segments_of_missing_scores(spark):
+    rows = spark.createDataFrame([(5, None, 5), (None, None, None), (2, 3, None)], "r int, f int, m int")
+    assert [x[0] for x in rows.select(segment_of(F.col("r"), F.col("f"), F.col("m"))).collect()] == ["Big Spenders", "Needs Attention", "At Risk"]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import date
 from decimal import Decimal
 
@@ -9,7 +10,7 @@ from conftest import frame
 from basketry.plans.bronze import load_raw
 from basketry.sources.csv_files import export_csv, read_raw
 from basketry.sources.staging import drop_staged, shared_dir, stage
-from basketry.sources.tables import has_table, preview, read_table, replace_table, require_rows
+from basketry.sources.tables import has_table, preview, publish, read_table, replace_table, require_rows
 
 FILES = {
     "customers.csv": "customer_id,signup_date,country,channel,email_domain,is_active\n1,2024-01-05,US,web,gmail.com,True\n2,,NA,mobile,\"a,b \"\"c\"\"\",False\n",
@@ -119,3 +120,24 @@ def test_stage_uses_the_configured_folder(spark):
     drop_staged(spark)
     with pytest.raises(Exception):
         spark.read.parquet(shared_dir(spark))
+    drop_staged(spark)  # nothing left: harmless
+
+
+def test_publish_takes_a_relative_root_and_what_is_stored(spark, tmp_path):
+    root = os.path.relpath(tmp_path)
+    publish(spark, root, "empty_shop")
+    assert spark.sql("SHOW VIEWS IN empty_shop").count() == 0
+    order = (1, 1, "2024-01-01", "completed", "card", "5.00", "0.00", "0.00")
+    replace_table(frame(spark, "fact_orders", [order]), root, "fact_orders")
+    publish(spark, root, "shop")
+    assert spark.sql("SELECT * FROM shop.v_orders_completed").count() == 1
+    assert {r.viewName for r in spark.sql("SHOW VIEWS IN shop").collect()} == {"v_orders_completed", "v_orders_non_cancelled"}
+
+
+def test_whole_numbers_with_a_point_and_line_breaks(spark, tmp_path):
+    (tmp_path / "products.csv").write_text('product_id,category,brand,unit_cost\n1.0,"a\nb",Nova,2.50\n')
+    row = read_raw(spark, str(tmp_path), "raw_products", line_breaks=True).first()
+    assert (row.product_id, row.category) == (1, "a\nb")
+    (tmp_path / "products.csv").write_text("product_id,category,brand,unit_cost\n1.5,a,Nova,2.50\n")
+    with pytest.raises(Exception, match="column product_id: not a int: 1.5"):
+        read_raw(spark, str(tmp_path), "raw_products").collect()
