@@ -158,7 +158,9 @@ def filter_quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_i
     """The rows of `docs` whose verdict is to keep, with all their columns."""
     ratios = bucket_log_ratios(docs, id_col, text_col, trusted_ids)
     scored = score_rules(docs, id_col, text_col, ratios, carry=[F.struct(*[F.col(c) for c in docs.columns]).alias("_row")])
-    return scored.filter("kept").select("_row.*")
+    # Not a plain filter: that would be pushed down, with every column it stands on written out again and again.
+    kept = scored.select(F.explode_outer(F.when(F.col("kept"), F.array("_row"))).alias("_row"))
+    return kept.filter(F.col("_row").isNotNull()).select("_row.*")
 
 
 def op8_quality_rules(spark: SparkSession, d: str) -> DataFrame:
