@@ -25,7 +25,7 @@ SYMBOLS = "#*$%&|<>"  # fixed values of the base rule
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50  # fixed values of the base rule
 
 BUCKET_BITS = 15
-THRESHOLD = -0.04  # mean log ratio from which a document is kept
+THRESHOLD = -0.09  # mean log ratio from which a document is kept
 SMOOTHING = 1.0
 BROADCAST_IDS = 2_000_000  # trusted ids up to which they are broadcast (16 MB); more are joined by a shuffle
 
