@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from fractions import Fraction
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -75,8 +78,28 @@ def _sums(points: DataFrame, columns: list[str], labels: dict[str, Column]) -> d
 
 
 def lloyd_step(points: DataFrame, columns: list[str], centers: dict[str, Centers]) -> dict[str, Centers]:
-    """Every set of centres moved to the means of its points, all sets in one job; a centre without points stays."""
-    sums = _sums(points, columns, {name: nearest_center(columns, c) for name, c in centers.items()})
+    """Every set of centres moved to the means of its points, all sets in one job; a centre without points stays.
+
+    The centres travel as data, not as text of the plan: a new plan text in every step would be compiled anew.
+    """
+
+    def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows, x = [], batch[columns].to_numpy(float)
+            whole = np.rint(x * GRID).astype(np.int64)
+            for name, places in centers.items():
+                label = np.stack([sum((x[:, j] - c[j]) ** 2 for j in range(len(columns))) for c in places]).argmin(axis=0)
+                for i in np.unique(label):
+                    mine = whole[label == i]
+                    rows.append((name, int(i), len(mine), *map(int, mine.sum(axis=0))))
+            yield pd.DataFrame(rows, columns=["name", "label", "n", *[f"s{j}" for j in range(len(columns))]])
+
+    places = [f"s{j}" for j in range(len(columns))]
+    partial = points.select(*columns).mapInPandas(of_batches, "name string, label int, n long, " + ", ".join(f"{c} long" for c in places))
+    found = partial.groupBy("name", "label").agg(F.sum("n").alias("n"), *[F.sum(F.col(c).cast("decimal(20,0)")).alias(c) for c in places])
+    sums: dict[str, dict[int, tuple]] = {name: {} for name in centers}
+    for r in found.collect():  # one row per centre
+        sums[r["name"]][r["label"]] = (r["n"], [int(r[c]) for c in places])
     moved = {}
     for name, old in centers.items():
         moved[name] = [
