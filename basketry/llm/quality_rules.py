@@ -5,17 +5,23 @@ Two parts, both over whole texts:
 * counts per document (words, symbols, repeated lines, repeated three-word windows) with a base rule on them;
 * an importance score: the mean over a document's hashed word uni- and bigrams of
   log(p_target / p_raw), where p_target and p_raw are smoothed multinomials over hash buckets, counted over
-  all trusted documents and over all documents. A document is kept when its score reaches a fixed threshold.
+  all other trusted documents and over all other documents: a document's own counts are taken out before it is
+  scored, so a trusted one has no advantage over an unlabelled one of the same kind, however small the corpus.
+
+A document is kept when its score reaches the threshold. That is where the scores of all labelled documents
+that pass the base rule part best: the fewest shares of good ones below and of bad ones from there on.
 
 Defined cases: a NULL or empty text has no words and fails the base rule. A NULL id is carried along and is
-never trusted. Without trusted documents, or without documents, every log ratio is 0, so the base rule
-decides alone. Repeated rows are scored one by one and get the same result. Input columns other than id and
-text do not matter, whatever their names.
+never trusted. Without trusted documents, without documents, or for the only trusted document, every log ratio
+is 0, so the base rule decides alone. Without good or bad labels among the documents that pass the base rule
+the threshold is the fixed one. An id labelled both good and bad is good. Repeated rows are scored one by one and get the same
+result. Input columns other than id and text do not matter, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -25,9 +31,10 @@ SYMBOLS = "#*$%&|<>"  # fixed values of the base rule
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50  # fixed values of the base rule
 
 BUCKET_BITS = 15
-THRESHOLD = -0.09  # mean log ratio from which a document is kept
+THRESHOLD = -0.09  # mean log ratio from which a document is kept where labels do not show one
+STEPS, FARTHEST = 1024, 16  # thresholds tried: steps a unit, and units to either side of 0
 SMOOTHING = 1.0
-BROADCAST_IDS = 2_000_000  # trusted ids up to which they are broadcast (16 MB); more are joined by a shuffle
+BROADCAST_IDS = 2_000_000  # labelled ids up to which they are broadcast (16 MB); more are joined by a shuffle
 
 
 def _replaced(text: Column, characters: str, instead: str) -> Column:
@@ -82,21 +89,38 @@ def _with_repeats(df: DataFrame) -> DataFrame:
     )
 
 
-def bucket_log_ratios(
-    docs: DataFrame, id_col: str, text_col: str, trusted_ids: DataFrame, bits: int = BUCKET_BITS, smoothing: float = SMOOTHING
-) -> list[float]:
-    """log(p_target / p_raw) per bucket, from all rows.
+@dataclass
+class BucketCounts:
+    """Occurrences per bucket in all documents and in the trusted ones."""
+
+    raw: list[int]
+    target: list[int]
 
-    Counts combine on the map side, so at most 2^`bits` rows leave a task and reach the driver, whatever
-    the input. The trusted side adds nothing to the shuffle while its ids fit the broadcast bound; beyond it
-    the documents are joined by id.
+
+def _with_labels(docs: DataFrame, id_col: str, trusted_ids: DataFrame, bad_ids: DataFrame | None = None, how: str = "left") -> DataFrame:
+    """`docs` as `_row` and `_trusted`: 1 for trusted ids, 0 for bad ones, NULL for all others.
+
+    The labelled side adds nothing to the shuffle while its ids fit the broadcast bound; beyond it the
+    documents are joined by id.
     """
-    trusted = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_id")).filter(F.col("_id").isNotNull()).distinct()
-    trusted = trusted.withColumn("_trusted", F.lit(1))
-    if trusted.count() <= BROADCAST_IDS:
-        trusted = F.broadcast(trusted)
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(trusted, "_id", "left")
-    words = rows.select(F.coalesce("_trusted", F.lit(0)).alias("_trusted"), words_of(F.col("_text")).alias("_words"))
+    ids = lambda df, good: df.select(F.col(df.columns[0]).alias("_id"), F.lit(good).alias("_trusted"))
+    labels = ids(trusted_ids, 1)
+    if bad_ids is not None:
+        labels = labels.union(ids(bad_ids, 0))
+    labels = labels.filter(F.col("_id").isNotNull()).groupBy("_id").agg(F.max("_trusted").alias("_trusted"))
+    if labels.count() <= BROADCAST_IDS:
+        labels = F.broadcast(labels)
+    rows = docs.select(F.col(id_col).alias("_id"), F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
+    return rows.join(labels, "_id", how).select("_row", "_trusted")
+
+
+def bucket_counts(docs: DataFrame, id_col: str, text_col: str, trusted_ids: DataFrame, bits: int = BUCKET_BITS) -> BucketCounts:
+    """Counts per bucket from all rows.
+
+    They combine on the map side, so at most 2^`bits` rows leave a task and reach the driver, whatever the input.
+    """
+    rows = _with_labels(docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")), "_doc", trusted_ids)
+    words = rows.select(F.coalesce("_trusted", F.lit(0)).alias("_trusted"), words_of(F.col("_row._text")).alias("_words"))
     counted = (
         _with_hashes(words)
         # The outer form: the inner one gets an inferred filter that would split every text once more.
@@ -110,6 +134,15 @@ def bucket_log_ratios(
     raw, target = [0] * buckets, [0] * buckets
     for row in counted:
         raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
+    return BucketCounts(raw, target)
+
+
+def bucket_log_ratios(
+    docs: DataFrame, id_col: str, text_col: str, trusted_ids: DataFrame, bits: int = BUCKET_BITS, smoothing: float = SMOOTHING
+) -> list[float]:
+    """log(p_target / p_raw) per bucket, from all rows."""
+    counts = bucket_counts(docs, id_col, text_col, trusted_ids, bits)
+    raw, target, buckets = counts.raw, counts.target, 1 << bits
     all_raw, all_target = math.log(sum(raw) + smoothing * buckets), math.log(sum(target) + smoothing * buckets)
     if not sum(target):
         return [0.0] * buckets
@@ -123,18 +156,59 @@ def _literal(values: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
-def score_rules(docs: DataFrame, id_col: str, text_col: str, ratios: list[float], threshold: float = THRESHOLD, carry: list[Column] | None = None) -> DataFrame:
-    """Counts, base rule, score and verdict per row of `docs`, with the columns in `carry` added."""
+def _fixed_total(ratios: list[float]) -> Column:
+    """Sum of the log ratios of a document's words and pairs, with the same ratios for every document."""
+    bits = len(ratios).bit_length() - 1
+    ratio = lambda hashed: F.get(_literal(ratios), _bucket(hashed, bits))
+    return F.aggregate(F.zip_with("_single", "_pairs", lambda a, b: ratio(a) + ratio(b)), F.lit(0.0), lambda s, x: s + x)
+
+
+def _total_without_own(counts: BucketCounts, trusted: Column, smoothing: float = SMOOTHING) -> Column:
+    """Sum of the log ratios of a document's words and pairs, from counts less those of the document itself.
+
+    The buckets are sorted inside the row, so equal ones form a run, whose length is the document's own count.
+    """
+    if not sum(counts.target):
+        return F.lit(0.0)
+    buckets = len(counts.raw)
+    bits = buckets.bit_length() - 1
+    raw, target = _literal([float(x) for x in counts.raw]), _literal([float(x) for x in counts.target])
+    found = F.sort_array(F.transform(F.concat("_single", "_pairs"), lambda h: _bucket(h, bits)))
+    size = (F.size("_single") + F.size("_pairs")).cast("double")
+
+    def of_run(run: Column) -> Column:
+        b, n = run["b"], run["n"]
+        ratio = F.ln(F.get(target, b) - n * trusted + smoothing) - F.ln(F.get(raw, b) - n + smoothing)
+        return run["total"] + F.when(n > 0, n * ratio).otherwise(0.0)
+
+    state = lambda b, n, total: F.struct(b.alias("b"), n.alias("n"), total.alias("total"))
+    runs = F.aggregate(
+        found,
+        state(F.lit(-1), F.lit(0.0), F.lit(0.0)),
+        lambda run, b: F.when(run["b"] == b, state(b, run["n"] + 1.0, run["total"])).otherwise(state(b, F.lit(1.0), of_run(run))),
+        of_run,
+    )
+    others, others_target = sum(counts.raw) - size, sum(counts.target) - size * trusted
+    whole = F.ln(others + smoothing * buckets) - F.ln(others_target + smoothing * buckets)
+    return F.when(others_target > 0, runs + size * whole).otherwise(0.0)
+
+
+def score_rules(
+    docs: DataFrame, id_col: str, text_col: str, ratios: list[float] | BucketCounts, threshold: float = THRESHOLD,
+    carry: list[Column] | None = None, trusted: Column | None = None,
+) -> DataFrame:
+    """Counts, base rule, score and verdict per row of `docs`, with the columns in `carry` added.
+
+    With bucket counts for `ratios`, a row's own counts are taken out; `trusted` tells (1 or 0) if the target has them.
+    """
     text = F.coalesce(F.col("_text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD_CHAR))
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *(carry or []))
-    carried = [c for c in rows.columns if c not in ("_id", "_text")]
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.coalesce(F.lit(0) if trusted is None else trusted, F.lit(0)).cast("double").alias("_own"), *(carry or []))
+    carried = [c for c in rows.columns if c not in ("_id", "_text", "_own")]
     rows = rows.withColumn("_words", words_of(F.col("_text"))).withColumn("_lines", lines)
     rows = _with_repeats(_with_hashes(rows))
     n_words, n_repeats = F.size("_words").cast("long"), F.col("_repeats")
-    bits = len(ratios).bit_length() - 1
-    ratio = lambda hashed: F.get(_literal(ratios), _bucket(hashed, bits))
-    total = F.aggregate(F.zip_with("_single", "_pairs", lambda a, b: ratio(a) + ratio(b)), F.lit(0.0), lambda s, x: s + x)
+    total = _total_without_own(ratios, F.col("_own")) if isinstance(ratios, BucketCounts) else _fixed_total(ratios)
     result = rows.select(
         F.col("_id").alias("doc_id"),
         n_words.alias("n_words"),
@@ -154,16 +228,65 @@ def trusted_documents(labels: DataFrame) -> DataFrame:
     return labels.filter(F.col("quality") == 1).select("doc_id")
 
 
-def filter_quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bad_documents(labels: DataFrame) -> DataFrame:
+    """Ids that the labels mark as bad; the threshold parts them from the trusted ones."""
+    return labels.filter(F.col("quality") == 0).select("doc_id")
+
+
+def parting_threshold(good: dict[int, int], bad: dict[int, int]) -> float:
+    """The cut, in steps of 1 / STEPS, with the least sum of the shares of good below and of bad from there on.
+
+    Keys are scores in whole steps. Of equally good cuts it is the middle of the first widest run.
+    """
+    if not good or not bad:
+        return THRESHOLD
+    n_good, n_bad = sum(good.values()), sum(bad.values())
+    low, high = min(*good, *bad), max(*good, *bad) + 1
+    costs, below, above = [], 0, n_bad
+    for cut in range(low, high + 1):  # good and bad of smaller keys lie below
+        costs.append(below * n_bad + above * n_good)
+        below, above = below + good.get(cut, 0), above - bad.get(cut, 0)
+    least, best, start = min(costs), (0, 0), None
+    for i, cost in enumerate([*costs, -1]):
+        if cost == least and start is None:
+            start = i
+        elif cost != least and start is not None:
+            best, start = max(best, (i - start, -start)), None
+    return (low - best[1] + (best[0] - 1) // 2) / STEPS
+
+
+def labelled_threshold(docs: DataFrame, id_col: str, text_col: str, counts: BucketCounts, trusted_ids: DataFrame, bad_ids: DataFrame) -> float:
+    """Where the scores of all labelled rows part; a bounded number of counts reaches the driver."""
+    rows = _with_labels(docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_body")), "_doc", trusted_ids, bad_ids, "inner")
+    rows = rows.select("_row.*", "_trusted")
+    scored = score_rules(rows, "_doc", "_body", counts, carry=[F.col("_trusted")], trusted=F.col("_trusted"))
+    step = F.floor(F.least(F.greatest(F.col("log_ratio"), F.lit(-FARTHEST)), F.lit(FARTHEST)) * STEPS)
+    found: tuple[dict, dict] = ({}, {})
+    # No filter by the base rule, as it would be pushed down (see filter_quality): its failures are one group.
+    for r in scored.groupBy("_trusted", F.when(~F.col("base_failed"), step).alias("step")).count().collect():
+        if r["step"] is not None:
+            found[r["_trusted"]][r["step"]] = r["count"]
+    return parting_threshold(found[1], found[0])
+
+
+def score_quality(docs: DataFrame, trusted_ids: DataFrame, bad_ids: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """Counts, base rule, score and verdict of every row, each without its own counts; with `carry` the row as `_row`."""
+    counts = bucket_counts(docs, id_col, text_col, trusted_ids)
+    some = bad_ids is not None and sum(counts.target)
+    threshold = labelled_threshold(docs, id_col, text_col, counts, trusted_ids, bad_ids) if some else THRESHOLD
+    rows = _with_labels(docs, id_col, trusted_ids)
+    rows = rows.select(F.col("_row")[id_col].alias("_doc"), F.col("_row")[text_col].alias("_body"), "_trusted", *(["_row"] if carry else []))
+    return score_rules(rows, "_doc", "_body", counts, threshold, [F.col("_row")] if carry else None, F.col("_trusted"))
+
+
+def filter_quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", bad_ids: DataFrame | None = None) -> DataFrame:
     """The rows of `docs` whose verdict is to keep, with all their columns."""
-    ratios = bucket_log_ratios(docs, id_col, text_col, trusted_ids)
-    scored = score_rules(docs, id_col, text_col, ratios, carry=[F.struct(*[F.col(c) for c in docs.columns]).alias("_row")])
+    scored = score_quality(docs, trusted_ids, bad_ids, id_col, text_col, carry=True)
     # Not a plain filter: that would be pushed down, with every column it stands on written out again and again.
     kept = scored.select(F.explode_outer(F.when(F.col("kept"), F.array("_row"))).alias("_row"))
     return kept.filter(F.col("_row").isNotNull()).select("_row.*")
 
 
 def op8_quality_rules(spark: SparkSession, d: str) -> DataFrame:
-    docs = spark.read.parquet(f"{d}/documents.parquet")
-    ratios = bucket_log_ratios(docs, "doc_id", "text", trusted_documents(spark.read.parquet(f"{d}/labels.parquet")))
-    return score_rules(docs, "doc_id", "text", ratios)
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    return score_quality(docs, trusted_documents(labels), bad_documents(labels))

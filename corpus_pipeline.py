@@ -13,7 +13,7 @@ from basketry.sources.staging import shared_dir
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality_rules.filter_quality(docs, quality_rules.trusted_documents(labels))
+    return quality_rules.filter_quality(docs, quality_rules.trusted_documents(labels), bad_ids=quality_rules.bad_documents(labels))
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
