@@ -9,8 +9,8 @@ chooses boundaries and types together; base spans are fixed segments in it.
 
 The weights are trained here by conditional likelihood on at most `TRAIN_PLACES` places, those with the
 smallest hash among all where the patterns are unambiguous (every match passed its check); the patterns'
-spans are the labels. A place where a match failed its length check is no training case: that is where the
-field decides. Everything else sees all rows and whole texts.
+spans are the labels. A place where a match failed its length check, or where an address is spelled out, is no
+training case: the patterns say nothing about it, and that is where the field decides. Everything else sees all rows and whole texts.
 
 Defined cases: a NULL or empty text has no spans. Without training places the field adds nothing. Repeated
 rows each get a result, NULL ids are carried along; an empty table gives an empty result. Other columns do
@@ -113,14 +113,18 @@ def places(text: str) -> Iterator[tuple[int, int]]:
                 done = m.end()
     if _DIGIT.search(text):
         yield from (m.span() for m in _RUN.finditer(text) if sum(map(len, _GROUP.findall(m.group()))) >= 4)
-    if " at " in text or "at)" in text or "at]" in text or "at}" in text:
-        for m in _AT.finditer(text):
-            start = m.start()
-            while start > 0 and m.start() - start < LONGEST and text[start - 1] in LOCAL:
-                start -= 1
-            end = _SPELLED.match(text, m.end())
-            if start < m.start() and end and re.search(r"dot", end.group(), re.I):
-                yield start, end.end()
+    yield from spelled_places(text)
+
+
+def spelled_places(text: str) -> Iterator[tuple[int, int]]:
+    """Where an address may be spelled out, in whatever case and with whatever white space."""
+    for m in _AT.finditer(text):
+        start = m.start()
+        while start > 0 and m.start() - start < LONGEST and text[start - 1] in LOCAL:
+            start -= 1
+        end = _SPELLED.match(text, m.end())
+        if start < m.start() and end and re.search(r"dot", end.group(), re.I):
+            yield start, end.end()
 
 
 def segments(text: str, start: int, end: int) -> list[tuple[int, int, str, list[str]]]:
@@ -252,8 +256,9 @@ def training_cases(rows: DataFrame, most: int = TRAIN_PLACES) -> list[tuple[str,
                 if not text or not (_DIGIT.search(text) or "@" in text):
                     continue
                 spans, failed = base_spans(text)
+                unlabelled = set(spelled_places(text))
                 for start, end in places(text):
-                    if any(s < end and start < e for s, e in failed) or end - start > 4 * LONGEST:
+                    if (start, end) in unlabelled or any(s < end and start < e for s, e in failed) or end - start > 4 * LONGEST:
                         continue
                     inside = [(max(s, start) - start, e - start, k) for s, e, k in spans if s >= start and e <= end]
                     if any(s < end and start < e and not (start <= s and e <= end) for s, e, _ in spans):
