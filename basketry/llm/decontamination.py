@@ -222,6 +222,7 @@ def scan_benchmark(docs: DataFrame, text_col: str, carried: Column, benchmark: D
     """Rows of `_text`, `_carried`, `_n_words`, `_n_hit`, `_spans` (packed int64 pairs of words) and `_items`."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+    items = items.distinct()  # equal rows hash to one block, whatever their number
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     rows = docs.select(F.col(text_col).alias("_text"), carried.alias("_carried"))
