@@ -1,19 +1,15 @@
 from __future__ import annotations
 
 import sys
-from datetime import date
-from decimal import Decimal
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path[:0] = [str(Path(__file__).resolve().parent), str(Path(__file__).resolve().parent.parent)]
 
-from basketry.schemas import SCHEMAS  # noqa: E402
-from basketry.session import build_session  # noqa: E402
+from helpers import frame  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-AS_OF = date(2024, 6, 30)
+from basketry.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -33,20 +29,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def frame(spark, table, rows):
-    """Rows of `table` with money given as text and dates as ISO text."""
-    def value(field, v):
-        kind = field.dataType.simpleString()
-        if v is None:
-            return None
-        if kind.startswith("decimal"):
-            return Decimal(v)
-        return date.fromisoformat(v) if kind == "date" and isinstance(v, str) else v
-
-    schema = SCHEMAS[table]
-    return spark.createDataFrame([tuple(value(f, v) for f, v in zip(schema, row)) for row in rows], schema)
-
-
 @pytest.fixture(scope="session")
 def edge(spark):
     """Hand-made tables for branches the sales data never reach; reporting date AS_OF."""

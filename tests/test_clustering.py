@@ -95,7 +95,7 @@ def test_cluster_customers_keeps_everyone(spark):
 
 
 def test_profile_rounds_half_to_even(spark):
-    from conftest import frame
+    from helpers import frame
 
     clusters = frame(
         spark,

@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import SF_DIR
+from helpers import SF_DIR
 from pyspark.sql import functions as F
 
 from basketry.__main__ import main

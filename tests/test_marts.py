@@ -6,7 +6,7 @@ from datetime import date
 from decimal import Decimal as D
 
 import pytest
-from conftest import AS_OF, frame
+from helpers import AS_OF, frame
 
 from basketry.operators.quality import dq_accepted_values, dq_reconcile, dq_report, dq_unique_keys, order_rollup
 from basketry.plans import bronze, customer360 as c360, rfm, silver

@@ -6,7 +6,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from conftest import SF_DIR
+from helpers import SF_DIR
 
 from basketry.plans.oracles import ORACLES
 from basketry.plans.registry import QUERIES

@@ -5,7 +5,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import frame
+from helpers import frame
 
 from basketry.plans.bronze import load_raw
 from basketry.sources.csv_files import export_csv, read_raw
