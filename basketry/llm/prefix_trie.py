@@ -5,7 +5,7 @@ first: a level's nodes are the conversations that end there, grouped with the su
 below after their last turn is stripped. One aggregation per level both finds the nodes and sums up what the
 level below has found out (members, children, leaves, tokens saved); no conversation is expanded into all its
 prefixes. Levels are written to the shared folder one after the other, so a lost executor costs part of one
-level, and no level's plan holds the levels below it.
+level, and no level's plan holds the levels below it. A long branch that meets no other is stripped in one go.
 
 A turn enters as 24 bytes: the MD5 digest of role and text, and the text's number of words. A path is the
 concatenation for the turns from the root, so stripping a turn is taking a shorter prefix and the words of the
@@ -17,7 +17,7 @@ Defined cases: turns go by `turn`, NULL first; ties by digest of role and text,
 is empty. Repeated rows are turns of their own. Rows without conv_id belong to no conversation and are left
 out. A conversation whose rebuilt form has no turn ends at the root. An empty table gives an empty result, without
 a root. Other columns do not matter, whatever their names. Long texts only meet a digest. A conversation is one
-row of 24 bytes a turn; the rounds are as many as the longest conversation has turns.
+row of 24 bytes a turn.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 TURN_BYTES = 24
+LEVELS = 8  # up to this depth levels go one by one
 PIECE_IDS = 1 << 16  # ids in one piece of a node's list
 
 
@@ -65,45 +66,101 @@ def rebuilt(turns: DataFrame) -> DataFrame:
     ).select("conv_id", F.unhex("path").alias("path"), "depth")
 
 
-def _last_words(path: Column) -> Column:
-    """Words of the last turn; none at the root."""
-    return F.when(F.octet_length(path) > 0, F.conv(F.hex(F.substring(path, -8, 8)), 16, 10).cast("long")).otherwise(F.lit(0).cast("long"))
+def _words(path: Column, turn: Column | int) -> Column:
+    """Words of a turn (from 1) of a path."""
+    return F.conv(F.hex(F.substring(path, (turn - 1) * TURN_BYTES + 17, 8)), 16, 10).cast("long")
 
 
-def _level(paths: DataFrame, depth: int) -> DataFrame:
-    """Nodes of one depth from (path, conv_id, n_convs, is_child, n_leaves, saved_tokens)."""
-    found = paths.groupBy("path").agg(
-        F.min("conv_id").alias("conv_id"),
-        F.sum("n_convs").alias("n_convs"),
-        F.sum("is_child").alias("n_children"),
-        F.greatest(F.sum("n_leaves"), F.lit(1)).cast("long").alias("n_leaves"),
-        F.sum("saved_tokens").alias("below"),
+def _prefix(path: str, depth: int) -> Column:
+    return F.substring(F.col(path), F.lit(1), F.lit(depth * TURN_BYTES))
+
+
+def _merged(parts: DataFrame) -> DataFrame:
+    """What is known of each node so far, from parts of the same form; the node itself is not yet in `below`."""
+    return parts.groupBy("path", "depth").agg(
+        F.min("conv_id").alias("conv_id"), *[F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "below")]
+    )
+
+
+def _finished(nodes: DataFrame) -> DataFrame:
+    """Nodes all of whose parts are merged."""
+    depth = F.col("depth")
+    own = F.when((F.col("n_convs") > 1) & (depth > 0), (F.col("n_convs") - 1) * _words(F.col("path"), depth)).otherwise(F.lit(0))
+    return nodes.select(
+        "path", "depth", "conv_id", "n_convs", "n_children", F.greatest("n_leaves", F.lit(1)).alias("n_leaves"), (F.col("below") + own).alias("saved_tokens")
     )
-    saved = F.col("below") + (F.col("n_convs") - 1) * _last_words(F.col("path"))
-    return found.select("path", F.lit(depth).cast("long").alias("depth"), "conv_id", "n_convs", "n_children", "n_leaves", saved.alias("saved_tokens"))
+
+
+def _stripped(nodes: DataFrame, depth: int) -> DataFrame:
+    """Finished nodes as parts of their ancestors at `depth`, which have no other node between."""
+    return nodes.select(
+        _prefix("path", depth).alias("path"), F.lit(depth).alias("depth"), "conv_id", "n_convs", F.lit(1).cast("long").alias("n_children"),
+        "n_leaves", F.col("saved_tokens").alias("below"),
+    )
+
+
+def _branches(lone: DataFrame, bottom: int) -> DataFrame:
+    """All nodes from merged ones up to depth `bottom` + 1, where nothing joins them on the way."""
+    n, depth, whole = F.col("n_convs"), F.col("depth"), F.col("whole")  # inside a lambda, `path` would be the new column
+    turns = F.transform(F.sequence(F.col("at"), depth), lambda i: _words(whole, i))
+    saved = F.when(n > 1, (n - 1) * F.aggregate(turns, F.lit(0).cast("long"), lambda a, w: a + w)).otherwise(F.lit(0))
+    each = lone.withColumnRenamed("path", "whole").select("*", F.explode(F.sequence(F.lit(bottom + 1), depth)).alias("at"))
+    top = F.col("at") == depth
+    return each.select(
+        F.expr(f"substring(whole, 1, at * {TURN_BYTES})").alias("path"), F.col("at").alias("depth"), "conv_id", "n_convs",
+        F.when(top, F.col("n_children")).otherwise(F.lit(1)).cast("long").alias("n_children"),
+        F.greatest("n_leaves", F.lit(1)).alias("n_leaves"), (F.col("below") + saved).alias("saved_tokens"),
+    )
 
 
 def peel(convs: DataFrame) -> DataFrame:
-    """All nodes of (conv_id, path, depth), level by level from the deepest; `convs` is a stored table."""
+    """All nodes of (conv_id, path, depth), from the deepest to the root; `convs` is a stored table.
+
+    Depths go in bands between powers of two. At the lower end of a band, a branch that shares its prefix with no
+    other is stripped down to there at once; the others go level by level. So the rounds are as many as the
+    deepest level that two different conversations share in a band, not as the longest conversation has turns.
+    """
     spark = convs.sparkSession
-    deepest = convs.agg(F.max("depth")).first()[0]  # one number
-    folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    folder, number = f"{shared_dir(spark)}/{uuid.uuid4().hex}", 0
     long = lambda x: F.lit(x).cast("long")
-    schema, below = None, None
-    for depth in range(-1 if deepest is None else deepest, -1, -1):
-        paths = convs.filter(F.col("depth") == depth).select(
-            "path", "conv_id", long(1).alias("n_convs"), long(0).alias("is_child"), long(0).alias("n_leaves"), long(0).alias("saved_tokens")
-        )
-        if below is not None:
-            stripped = F.substring("path", 1, depth * TURN_BYTES)
-            paths = paths.unionByName(below.select(stripped.alias("path"), "conv_id", "n_convs", long(1).alias("is_child"), "n_leaves", "saved_tokens"))
-        nodes = _level(paths, depth)
-        nodes.write.parquet(f"{folder}/{depth}")
-        schema = nodes.schema
-        below = spark.read.schema(schema).parquet(f"{folder}/{depth}")
-    if schema is None:
-        return _level(convs.selectExpr("path", "conv_id", "1L n_convs", "0L is_child", "0L n_leaves", "0L saved_tokens"), 0)
-    return spark.read.schema(schema).parquet(*[f"{folder}/{depth}" for depth in range(deepest + 1)])
+    ended = convs.select("path", "depth", "conv_id", long(1).alias("n_convs"), long(0).alias("n_children"), long(0).alias("n_leaves"), long(0).alias("below"))
+    schema = _finished(_merged(ended)).schema
+
+    def kept(nodes: DataFrame) -> DataFrame:
+        """Nodes of the result, written and read again."""
+        nonlocal number
+        number += 1
+        nodes.write.parquet(f"{folder}/{number}")
+        return spark.read.schema(schema).parquet(f"{folder}/{number}")
+
+    def levels(parts: DataFrame, highest: int, lowest: int) -> DataFrame | None:
+        """Finish all nodes from `highest` to `lowest`; gives those of the last level."""
+        last = None
+        for depth in range(highest, lowest - 1, -1):
+            here = parts.filter(F.col("depth") == depth)
+            last = kept(_finished(_merged(here if last is None else here.unionByName(_stripped(last, depth)))))
+        return last
+
+    deepest = convs.agg(F.max("depth")).first()[0]  # one number
+    if deepest is None:
+        return _finished(_merged(ended))
+    pending, top = None, deepest
+    while top > LEVELS:
+        bottom = max(LEVELS, 1 << (top - 1).bit_length() - 1)
+        parts = ended.filter((F.col("depth") > bottom) & (F.col("depth") <= top))
+        parts = stage(_merged(parts if pending is None else parts.unionByName(pending)))
+        parts_of = parts.withColumn("under", F.md5(_prefix("path", bottom)))
+        alone = parts_of.groupBy("under").agg(F.count("*").alias("n")).filter("n = 1").select("under")
+        lone = kept(_branches(parts_of.join(alone, "under", "left_semi"), bottom))
+        rest = stage(parts_of.join(alone, "under", "left_anti").select(*parts.columns))
+        pending = _stripped(lone.filter(F.col("depth") == bottom + 1), bottom)
+        highest = rest.agg(F.max("depth")).first()[0]  # one number
+        if highest is not None:
+            pending = pending.unionByName(_stripped(levels(rest, highest, bottom + 1), bottom))
+        top = bottom
+    parts = ended.filter(F.col("depth") <= top)
+    levels(parts if pending is None else parts.unionByName(pending), top, 0)
+    return spark.read.schema(schema).parquet(*[f"{folder}/{i + 1}" for i in range(number)])
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +222,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     parent_path = F.expr(f"substring(path, 1, octet_length(path) - {TURN_BYTES})")
     parents = nodes.select(key(F.col("path")).alias("up"), F.col("conv_id").alias("parent_conv_id"))
     rows = nodes.select(
-        "conv_id", "depth", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        "conv_id", F.col("depth").cast("long").alias("depth"), "n_convs", "n_children", "n_leaves", "saved_tokens",
         key(F.col("path")).alias("key"), F.when(F.col("depth") > 0, key(parent_path)).alias("up"),
     )
     return rows.join(ends, "key", "left").join(parents, "up", "left").select(

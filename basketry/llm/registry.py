@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .byte_pairs import op5_byte_pairs
 from .decontamination import op2_decontamination
+from .html_extraction import op13_html_extraction
 from .language_model import op4_language_model
 from .lexical_search import OP12_SQL, op12_lexical_search
 from .line_dedup import OP9_SQL, op9_line_dedup
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_lexical_search": op12_lexical_search,
+    "op13_html_extraction": op13_html_extraction,
 }
 
 ORACLES: dict[str, str] = {
