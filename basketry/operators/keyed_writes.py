@@ -16,42 +16,35 @@ def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter((F.col("n_rows") > 1) | null_key)
 
 
+def _refusals(batch: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """No rows, with the columns of `batch`; the job that reads it stops when a key is NULL or repeated.
+
+    Only keys are grouped, by a hash aggregate that combines on the map side: a key with most rows is one row
+    per map task. The message holds the count, so that the check cannot be moved below it.
+    """
+    found = key_violations(batch, keys)
+    shown = F.concat(F.lit(f"{what} key ({', '.join(keys)}) is NULL or not unique: "), F.to_json(F.struct(*keys, "n_rows")))
+    stopped = found.filter(F.when(F.col("n_rows") > 0, F.raise_error(shown).cast("string")).isNotNull())
+    return stopped.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in batch.schema])
+
+
 def single_rows(batch: DataFrame, keys: list[str], what: str = "batch") -> DataFrame:
     """`batch` itself, stopping the job that reads it when a key is NULL or repeated.
 
-    One aggregate by key that combines on the map side, so a key with most rows is one row per map task. The
-    check is part of the plan: the batch is evaluated once.
+    The rows are passed on as they come; the check beside them reads the keys only.
     """
-    rest = [c for c in batch.columns if c not in keys]
-    kept = F.first(F.struct(*rest) if rest else F.lit(None).cast("struct<a:int>"))
-    counted = batch.groupBy(*keys).agg(kept.alias("_rest"), F.count("*").alias("_rows"))
-    broken = F.col("_rows") > 1
-    for key in keys:
-        broken = broken | F.col(key).isNull()
-    shown = F.concat(F.lit(f"{what} key ({', '.join(keys)}) is NULL or not unique: "), F.to_json(F.struct(*keys)))
-    checked = counted.withColumn("_fine", F.when(broken, F.raise_error(shown).cast("boolean")).otherwise(True)).filter("_fine")
-    made = [F.col(k) if k in keys else F.col("_rest")[k].alias(k) for k in batch.columns]
-    return checked.select(*made)
+    return batch.unionByName(_refusals(batch, keys, what))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """`target` with the rows of `batch` added, or put in place of the rows with the same key.
 
-    One grouping by key over both: a batch row beats the target's. A batch with a NULL key or the same key
-    twice is refused when the result is computed: there is no right row to keep. The target's keys are unique.
+    A batch with a NULL key or the same key twice is refused when the result is computed: there is no right row
+    to keep. The target's keys are unique. The target meets the keys of the batch, not its rows.
     """
-    rest = [c for c in target.columns if c not in keys]
-    side = lambda df, new: df.select(*keys, F.struct(*rest).alias("_rest"), F.lit(new).alias("_new"))
-    both = side(target, 0).unionByName(side(batch, 1))
-    merged = both.groupBy(*keys).agg(
-        F.max_by("_rest", "_new").alias("_rest"), F.sum("_new").alias("_batch"), F.max("_new").alias("_hit")
-    )
-    broken = F.col("_batch") > 1
-    for key in keys:
-        broken = broken | (F.col(key).isNull() & (F.col("_hit") == 1))
-    shown = F.concat(F.lit(f"batch key ({', '.join(keys)}) is NULL or not unique: "), F.to_json(F.struct(*keys)))
-    checked = merged.withColumn("_fine", F.when(broken, F.raise_error(shown).cast("boolean")).otherwise(True)).filter("_fine")
-    return checked.select(*[F.col(c) if c in keys else F.col("_rest")[c].alias(c) for c in target.columns])
+    rows = batch.select(*target.columns)
+    stays = target.join(batch.select(*keys), keys, "left_anti").select(*target.columns)
+    return stays.unionByName(rows).unionByName(_refusals(rows, keys, "batch"))
 
 
 def insert_new(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

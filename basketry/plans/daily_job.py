@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
@@ -23,7 +26,8 @@ from ..operators.quality import (
 from ..schemas import KEYS, REFERENCES, SCHEMAS
 from ..sources.csv_files import export_csv
 from ..sources.staging import drop_staged, stage
-from ..sources.tables import read_table, replace_table
+from ..sources.tables import read_table, replace_table, table_version
+from ..sources.versions import names_in, read_text, write_new
 from . import bronze
 from .clusters import cluster_customers, cluster_profile
 from .cohorts import cohort_retention
@@ -66,14 +70,22 @@ def quality(spark: SparkSession, root: str, full: bool = True) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def build_metrics(spark: SparkSession, root: str, as_of: date | str | None = None, mode: str = "snapshot") -> None:
+    customers, products = read_table(spark, root, "dim_customers"), read_table(spark, root, "dim_products")
+    orders, items = read_table(spark, root, "fact_orders"), read_table(spark, root, "fact_order_items")
+    write_mart(customer_360(customers, products, orders, items, as_of), root, "mart_customer_metrics", mode)
+
+
+def build_rfm_base(spark: SparkSession, root: str, as_of: date | str | None = None, mode: str = "snapshot") -> None:
+    write_mart(rfm_base(read_table(spark, root, "fact_orders"), as_of, unique_orders=True), root, "mart_rfm_base", mode)
+
+
 def build_marts(spark: SparkSession, root: str, as_of: date | str | None = None, mode: str = "snapshot") -> None:
     """Dimensions, facts, customer metrics and RFM base from the raw tables."""
     bronze.build_dims(spark, root)
     bronze.build_facts(spark, root)
-    customers, products = read_table(spark, root, "dim_customers"), read_table(spark, root, "dim_products")
-    orders, items = read_table(spark, root, "fact_orders"), read_table(spark, root, "fact_order_items")
-    write_mart(customer_360(customers, products, orders, items, as_of), root, "mart_customer_metrics", mode)
-    write_mart(rfm_base(orders, as_of, unique_orders=True), root, "mart_rfm_base", mode)
+    build_metrics(spark, root, as_of, mode)
+    build_rfm_base(spark, root, as_of, mode)
 
 
 def score_customers(spark: SparkSession, root: str, exports: str) -> None:
@@ -105,6 +117,61 @@ def reports(spark: SparkSession, root: str, exports: str) -> None:
         export_csv(report_clusters(clusters), f"{exports}/revenue_by_cluster")
 
 
+@dataclass(frozen=True)
+class Step:
+    """A part of the job: the tables it reads and writes, and the exports it leaves."""
+
+    name: str
+    run: Callable[[SparkSession, str, str, dict], object]
+    reads: tuple[str, ...]
+    writes: tuple[str, ...] = ()
+    exports: tuple[str, ...] = ()
+    settings: tuple[str, ...] = ()  # names of run-time settings its result depends on
+
+
+_RAW, _DIMS = ("raw_customers", "raw_products", "raw_orders", "raw_order_items"), ("dim_customers", "dim_products", "dim_date")
+_FACTS = ("fact_orders", "fact_order_items")
+
+# Steps in one line run at the same time: their jobs share the cluster.
+STEPS: list[list[Step]] = [
+    [
+        Step("dims", lambda s, root, _, __: bronze.build_dims(s, root), _RAW[:3], _DIMS),
+        Step("facts", lambda s, root, _, __: bronze.build_facts(s, root), _RAW[2:], _FACTS),
+    ],
+    [
+        Step("metrics", lambda s, root, _, o: build_metrics(s, root, **o), _DIMS[:2] + _FACTS, ("mart_customer_metrics",), (), ("as_of", "mode")),
+        Step("rfm base", lambda s, root, _, o: build_rfm_base(s, root, **o), _FACTS[:1], ("mart_rfm_base",), (), ("as_of", "mode")),
+        Step("quality", lambda s, root, out, _: export_csv(quality(s, root), f"{out}/dq_report"), _DIMS + _FACTS + ("raw_orders",), (), ("dq_report",)),
+    ],
+    [
+        Step("scores", lambda s, root, out, _: score_customers(s, root, out), ("mart_rfm_base",), ("mart_rfm_scored",), ("rfm_segments",)),
+        Step("clusters", lambda s, root, out, _: group_customers(s, root, out), ("mart_customer_metrics",), ("mart_customer_clusters",), ("customer_clusters", "cluster_profiles")),
+        Step("cohorts", lambda s, root, out, _: follow_cohorts(s, root, out), _FACTS[:1], ("mart_cohort_retention",), ("cohort_retention",)),
+    ],
+    [Step("reports", lambda s, root, out, _: reports(s, root, out), ("mart_rfm_base", "mart_rfm_scored", "mart_cohort_retention", "mart_customer_clusters"))],
+]
+
+
+def _numbers(spark: SparkSession, root: str, tables: tuple[str, ...]) -> dict[str, int]:
+    return {t: (v.number if (v := table_version(spark, root, t)) else 0) for t in tables}
+
+
+def _run_step(spark: SparkSession, step: Step, root: str, exports: str, ledger: str, settings: dict[str, str]) -> bool:
+    """Run a step unless the ledger says that it ran on the same versions and settings and its results are still there."""
+    path = f"{ledger}/{step.name.replace(' ', '_')}.json"
+    due = {"reads": _numbers(spark, root, step.reads), "settings": {k: settings[k] for k in step.settings}}
+    try:
+        done = json.loads(read_text(spark, path) or "{}")
+    except ValueError:  # cut short while it was written
+        done = {}
+    there = set(names_in(spark, exports)).issuperset(step.exports)
+    if there and done == {**due, "writes": _numbers(spark, root, step.writes)}:
+        return False
+    step.run(spark, root, exports, due["settings"])
+    write_new(spark, path, json.dumps({**due, "writes": _numbers(spark, root, step.writes)}), overwrite=True)
+    return True
+
+
 def run_all(
     spark: SparkSession,
     in_dir: str,
@@ -112,17 +179,23 @@ def run_all(
     as_of: date | str | None = None,
     mode: str = "snapshot",
     truncate: bool = True,
+    tidy: bool = True,
 ) -> tuple[str, str]:
-    """CSV files to tables, marts, exports and reports; returns the folders of tables and of exports."""
-    root, exports = f"{out_dir}/tables", f"{out_dir}/outputs"
+    """CSV files to tables, marts, exports and reports; returns the folders of tables and of exports.
+
+    A ledger keeps, for every step, the versions of the tables it read and wrote. A run does only what is stale:
+    after a failure it goes on at the first step that is not done, after a change of some files with what depends on
+    them, and without any change it does nothing. The date defaults to today's, so the next day's run is due.
+    """
+    root, exports, ledger = f"{out_dir}/tables", f"{out_dir}/outputs", f"{out_dir}/ledger"
+    settings = {"as_of": str(as_of or spark.sql("SELECT current_date()").first()[0]), "mode": mode}
     try:
         bronze.load_raw(spark, in_dir, root, truncate=truncate)
-        build_marts(spark, root, as_of, mode)
-        export_csv(quality(spark, root), f"{exports}/dq_report")
-        with ThreadPoolExecutor(3) as pool:  # independent of each other: their jobs share the cluster
-            run = inheritable_thread_target(spark)(lambda step: step(spark, root, exports))
-            list(pool.map(run, [score_customers, group_customers, follow_cohorts]))
-        reports(spark, root, exports)
+        for together in STEPS:
+            with ThreadPoolExecutor(len(together)) as pool:
+                run = inheritable_thread_target(spark)(lambda step: _run_step(spark, step, root, exports, ledger, settings))
+                list(pool.map(run, together))
     finally:
-        drop_staged(spark)
+        if tidy:  # what this application staged
+            drop_staged(spark)
     return root, exports

@@ -122,48 +122,37 @@ _CTES = {
     "clean": """
         SELECT i.*, k.customer_id FROM r_items i JOIN kept k ON i.order_id = k.order_id
         WHERE i.quantity > 0 AND i.unit_price >= 0""",
-    "basket": f"""
-        SELECT customer_id, {_rounded('sum(units)', 'count(*)', 2, 'decimal(14,2)')} AS avg_basket_size
-        FROM (SELECT order_id, customer_id, sum(quantity) AS units FROM clean GROUP BY ALL) GROUP BY customer_id""",
-    "cat_rev": """
+    # Everything about a customer's orders in one aggregate; an order without a counted line has no basket.
+    "behaviour": """
+        SELECT customer_id, min(order_date) AS first_day, max(order_date) AS last_day, age(max(order_date), min(order_date)) AS span,
+               count(DISTINCT order_id) AS n_orders, count(*) AS n_kept, count(*) FILTER (status = 'returned') AS n_returned,
+               sum(order_total) FILTER (status = 'completed') AS paid, count(order_total) FILTER (status = 'completed') AS n_paid,
+               sum(units) AS units, count(units) AS n_baskets
+        FROM kept LEFT JOIN (SELECT order_id, sum(quantity) AS units FROM r_items WHERE quantity > 0 AND unit_price >= 0 GROUP BY order_id)
+             USING (order_id)
+        GROUP BY customer_id""",
+    "spent": """
         SELECT customer_id, category, sum(line_total)::decimal(22,2) AS cat_revenue
         FROM clean JOIN r_products USING (product_id) GROUP BY ALL""",
-    "dominant": """
-        SELECT customer_id, category AS dominant_category FROM (
-            SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY cat_revenue DESC NULLS FIRST, category) AS rn
-            FROM cat_rev) WHERE rn = 1""",
-    "returned": f"""
-        SELECT customer_id,
-               {_rounded("count(*) FILTER (status = 'returned')", 'count(*)', 4, 'decimal(10,4)')} AS returns_rate
-        FROM kept GROUP BY customer_id""",
-    "spans": """
-        SELECT customer_id, count(DISTINCT order_id) AS n, age(max(order_date), min(order_date)) AS span
-        FROM kept GROUP BY customer_id""",
-    "freq": f"""
-        SELECT customer_id, {_rounded('n', 'nullif(greatest(extract(month FROM span), 1), 1)', 4, 'decimal(14,4)')}
-                   AS purchase_frequency_per_mo
-        FROM spans""",
-    "freq_strict": f"""
-        SELECT customer_id,
-               {_rounded('n', 'greatest(extract(year FROM span) * 12 + extract(month FROM span), 1)', 4, 'decimal(14,4)')}
-                   AS purchase_frequency_per_mo
-        FROM spans""",
-    "base": f"""
-        SELECT c.customer_id, min(order_date) AS first_purchase_date, max(order_date) AS last_purchase_date,
-               count(DISTINCT order_id)::int AS total_orders,
-               coalesce(sum(order_total) FILTER (status = 'completed'), 0)::decimal(14,2) AS total_revenue,
-               {_money_mean("sum(order_total) FILTER (status = 'completed')",
-                            "count(order_total) FILTER (status = 'completed')")} AS avg_order_value
-        FROM r_customers c LEFT JOIN kept k ON c.customer_id = k.customer_id GROUP BY c.customer_id""",
+    "favourite": """
+        SELECT customer_id, arg_min(category, (cat_revenue IS NOT NULL, -cat_revenue, category)) AS dominant_category
+        FROM spent GROUP BY customer_id""",
+    "measures": f"""
+        SELECT customer_id, first_day, last_day, n_orders::int AS n_orders, paid::decimal(14,2) AS paid, n_baskets,
+               {_money_mean('paid', 'n_paid')} AS mean_paid,
+               {_rounded('units', 'n_baskets', 2, 'decimal(14,2)')} AS mean_basket,
+               {_rounded('n_returned', 'n_kept', 4, 'decimal(10,4)')} AS share_returned,
+               {_rounded('n_orders', 'nullif(greatest(extract(month FROM span), 1), 1)', 4, 'decimal(14,4)')} AS monthly,
+               {_rounded('n_orders', 'greatest(extract(year FROM span) * 12 + extract(month FROM span), 1)', 4, 'decimal(14,4)')}
+                   AS monthly_strict
+        FROM behaviour""",
     "metrics": f"""
-        SELECT b.customer_id, first_purchase_date, last_purchase_date, total_orders, total_revenue,
-               coalesce(avg_order_value, 0)::decimal(14,2) AS avg_order_value,
-               coalesce(avg_basket_size, 0)::decimal(14,2) AS avg_basket_size,
-               coalesce(purchase_frequency_per_mo, 0)::decimal(14,4) AS purchase_frequency_per_mo,
-               (DATE '{AS_OF}' - last_purchase_date)::int AS days_since_last_purchase,
-               coalesce(returns_rate, 0)::decimal(10,4) AS returns_rate, dominant_category
-        FROM base b LEFT JOIN basket USING (customer_id) LEFT JOIN freq USING (customer_id)
-        LEFT JOIN returned USING (customer_id) LEFT JOIN dominant USING (customer_id)""",
+        SELECT customer_id, first_day AS first_purchase_date, last_day AS last_purchase_date, coalesce(n_orders, 0)::int AS total_orders,
+               coalesce(paid, 0)::decimal(14,2) AS total_revenue, coalesce(mean_paid, 0)::decimal(14,2) AS avg_order_value,
+               coalesce(mean_basket, 0)::decimal(14,2) AS avg_basket_size, coalesce(monthly, 0)::decimal(14,4) AS purchase_frequency_per_mo,
+               (DATE '{AS_OF}' - last_day)::int AS days_since_last_purchase, coalesce(share_returned, 0)::decimal(10,4) AS returns_rate,
+               dominant_category
+        FROM (SELECT customer_id FROM r_customers) LEFT JOIN measures USING (customer_id) LEFT JOIN favourite USING (customer_id)""",
     "rfm": _base_as_of(AS_OF),
     "rfm_earlier": _base_as_of(EARLIER_AS_OF),
     "ranked": """
@@ -274,15 +263,11 @@ _NEEDS: dict[str, list[str]] = {
     "kept": ["r_orders"],
     "done": ["r_orders"],
     "clean": ["r_items", "kept"],
-    "basket": ["clean"],
-    "cat_rev": ["clean", "r_products"],
-    "dominant": ["cat_rev"],
-    "returned": ["kept"],
-    "spans": ["kept"],
-    "freq": ["spans"],
-    "freq_strict": ["spans"],
-    "base": ["r_customers", "kept"],
-    "metrics": ["base", "basket", "freq", "returned", "dominant"],
+    "behaviour": ["r_items", "kept"],
+    "spent": ["clean", "r_products"],
+    "favourite": ["spent"],
+    "measures": ["behaviour"],
+    "metrics": ["r_customers", "measures", "favourite"],
     "rfm": ["done"],
     "rfm_earlier": ["done"],
     "ranked": ["rfm"],
@@ -446,14 +431,40 @@ ORACLES: dict[str, str] = {
         "f_items",
     ),
     "items_clean": _query(f"SELECT {_ITEM_COLUMNS} FROM clean", "clean"),
-    "basket_size": _query("SELECT * FROM basket", "basket"),
-    "category_revenue": _query("SELECT * FROM cat_rev", "cat_rev"),
-    "dominant_category": _query("SELECT * FROM dominant", "dominant"),
-    "returns_rate": _query("SELECT * FROM returned", "returned"),
-    "purchase_frequency": _query("SELECT * FROM freq", "freq"),
-    "purchase_frequency_strict": _query("SELECT * FROM freq_strict", "freq_strict"),
-    "customer_base": _query("SELECT * FROM base", "base"),
+    "basket_size": _query("SELECT customer_id, mean_basket AS avg_basket_size FROM measures WHERE n_baskets > 0", "measures"),
+    "category_revenue": _query("SELECT * FROM spent", "spent"),
+    "dominant_category": _query("SELECT * FROM favourite", "favourite"),
+    "returns_rate": _query("SELECT customer_id, share_returned AS returns_rate FROM measures", "measures"),
+    "purchase_frequency": _query("SELECT customer_id, monthly AS purchase_frequency_per_mo FROM measures", "measures"),
+    "purchase_frequency_strict": _query("SELECT customer_id, monthly_strict AS purchase_frequency_per_mo FROM measures", "measures"),
+    "customer_base": _query(
+        """SELECT customer_id, first_day AS first_purchase_date, last_day AS last_purchase_date, coalesce(n_orders, 0)::int AS total_orders,
+                  coalesce(paid, 0)::decimal(14,2) AS total_revenue, mean_paid AS avg_order_value
+           FROM (SELECT customer_id FROM r_customers) LEFT JOIN measures USING (customer_id)""",
+        "r_customers",
+        "measures",
+    ),
     "customer_360": _query("SELECT * FROM metrics", "metrics"),
+    "stored_marts": _query("SELECT * FROM metrics", "metrics"),
+    "daily_job": _query("SELECT * FROM metrics", "metrics"),
+    "customer_360_today": _query(
+        "SELECT * REPLACE ((current_date - last_purchase_date)::int AS days_since_last_purchase) FROM metrics", "metrics"
+    ),
+    "appended_orders": _query("SELECT * FROM r_orders", "r_orders"),
+    "missing_files": _query(
+        """SELECT 'raw_customers' AS "table", count(*)::bigint AS n_rows FROM r_customers
+           UNION ALL SELECT 'raw_products', count(*)::bigint FROM r_products
+           UNION ALL SELECT 'raw_orders', NULL UNION ALL SELECT 'raw_order_items', NULL""",
+        "r_customers",
+        "r_products",
+    ),
+    "empty_marts": _query(
+        f"""SELECT day, (SELECT count(*) FROM done WHERE order_date >= day::date - 365) = 0 AS stopped
+            FROM (VALUES ('{AS_OF}'), ('2003-01-01')) days(day)""",
+        "done",
+    ),
+    "preview_orders": _query("SELECT * FROM r_orders ORDER BY order_id LIMIT 2", "r_orders"),
+    "recreated_clusters": _query("SELECT * FROM clusters", "clusters"),
     "rfm_base": _query("SELECT * FROM rfm", "rfm"),
     "rfm_ranks": _query(
         "SELECT customer_id, monetary_value, mr AS rank, m_score AS quintile FROM ranked JOIN scores USING (customer_id, monetary_value)",

@@ -23,10 +23,11 @@ from ..schemas import KEYS, REFERENCES
 from ..sources import sales_schema as sales
 from ..sources.csv_files import RAW_FILES, export_csv, read_raw
 from ..sources.staging import shared_dir, stage
-from ..sources.tables import append_table, publish, read_table, replace_table
+from ..sources.tables import append_table, drop_table, preview, publish, read_table, replace_table
 from . import bronze, customer360 as c360, rfm, silver
 from .clusters import COLUMNS, assign_clusters, cluster_customers, cluster_features, cluster_profile
 from .cohorts import cohort_retention, first_purchase
+from .daily_job import run_all
 from .reports import report_clusters, report_retention_curve, report_segments
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RELOAD_FROM, LOADED_UNTIL = "1999-01-01", "2000-01-01"
 RELOAD_SHIPPING = "5.00"
 EARLIER_AS_OF = "2001-02-01"
+NO_ORDERS_AS_OF = "2003-01-01"
 
 # Centres in standardised units, in the order of COLUMNS, for the queries that do not fit.
 CENTERS = [
@@ -132,6 +134,78 @@ def _stored_orders(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, root, "fact_orders")
 
 
+def _stored_marts(spark: SparkSession, d: str) -> DataFrame:
+    """The metrics mart as stored, after an earlier day's version and one whose job fails while it is written."""
+    root = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    replace_table(_metrics_as_of(spark, d, EARLIER_AS_OF), root, "mart_customer_metrics")
+    now = stage(_metrics(spark, d))
+    replace_table(now, root, "mart_customer_metrics")
+    broken = now.withColumn("total_orders", F.raise_error(F.lit("a fault on purpose")).cast("int"))
+    try:
+        replace_table(broken, root, "mart_customer_metrics")
+    except Exception as fault:  # noqa: BLE001  the planted one only
+        if "a fault on purpose" not in str(fault):
+            raise
+    return read_table(spark, root, "mart_customer_metrics")
+
+
+def _appended_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Two loads of orders from CSV files into one raw table, each of them done twice: the repetition adds nothing."""
+    folder, rows = f"{shared_dir(spark)}/{uuid.uuid4().hex}", sales.orders(spark, d)
+    early = F.col("order_date") < as_of_column(LOADED_UNTIL)
+    for number, part in enumerate((rows.filter(early), rows.filter(~early))):
+        export_csv(part, f"{folder}/{number}/orders.csv")
+        for _ in range(2):
+            load = bronze.load_id(spark, f"{folder}/{number}", "orders.csv")
+            append_table(read_raw(spark, f"{folder}/{number}", "raw_orders"), f"{folder}/tables", "raw_orders", load)
+    return read_table(spark, f"{folder}/tables", "raw_orders")
+
+
+def _missing_files(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of every raw table from a folder that lacks two of the files; none where the file is missing."""
+    folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    export_csv(sales.customers(spark, d), f"{folder}/customers.csv")
+    export_csv(sales.products(spark, d), f"{folder}/products.csv")
+    found = []
+    for table in RAW_FILES.values():
+        try:
+            found.append((table, read_raw(spark, folder, table).count()))
+        except FileNotFoundError:
+            found.append((table, None))
+    return spark.createDataFrame(found, "table string, n_rows long")
+
+
+def _empty_marts(spark: SparkSession, d: str) -> DataFrame:
+    """Whether scoring stops for want of rows, on a day with orders in the year before and on one without."""
+    found = []
+    for day in (sales.AS_OF, NO_ORDERS_AS_OF):
+        try:
+            rfm.rfm_segments(stage(rfm.rfm_base(sales.orders(spark, d), day)))
+            found.append((day, False))
+        except RuntimeError:
+            found.append((day, True))
+    return spark.createDataFrame(found, "day string, stopped boolean")
+
+
+def _recreated_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """The cluster mart, dropped with all its versions and made anew."""
+    root, rows = f"{shared_dir(spark)}/{uuid.uuid4().hex}", stage(_assigned(spark, d))
+    replace_table(rows.withColumn("cluster_id", F.lit(-1)), root, "mart_customer_clusters")
+    drop_table(spark, root, "mart_customer_clusters")
+    replace_table(rows, root, "mart_customer_clusters")
+    return read_table(spark, root, "mart_customer_clusters")
+
+
+def _daily_job(spark: SparkSession, d: str) -> DataFrame:
+    """The metrics mart that the whole job leaves, from CSV files."""
+    folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    inputs = {"customers": sales.customers, "products": sales.products, "orders": sales.orders, "order_items": sales.items_with_ids}
+    for name, rows in inputs.items():
+        export_csv(rows(spark, d), f"{folder}/raw/{name}.csv")
+    root, _ = run_all(spark, f"{folder}/raw", f"{folder}/out", sales.AS_OF, tidy=False)
+    return read_table(spark, root, "mart_customer_metrics")
+
+
 def _two_loads(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Orders up to one day, and a batch that corrects the last year of them and adds the rest."""
     rows = sales.orders(spark, d)
@@ -175,10 +249,12 @@ def _clean_items(spark: SparkSession, d: str) -> DataFrame:
     return silver.clean_items(sales.items_with_ids(spark, d), sales.orders(spark, d))
 
 
+def _metrics_as_of(spark: SparkSession, d: str, as_of: str | None) -> DataFrame:
+    return c360.customer_360(sales.customers(spark, d), sales.products(spark, d), sales.orders(spark, d), sales.items(spark, d), as_of)
+
+
 def _metrics(spark: SparkSession, d: str) -> DataFrame:
-    return c360.customer_360(
-        sales.customers(spark, d), sales.products(spark, d), sales.orders(spark, d), sales.items(spark, d), sales.AS_OF
-    )
+    return _metrics_as_of(spark, d, sales.AS_OF)
 
 
 def _base(spark: SparkSession, d: str) -> DataFrame:
@@ -285,6 +361,14 @@ QUERIES: dict[str, Query] = {
     "purchase_frequency_strict": lambda s, d: c360.purchase_frequency(sales.orders(s, d), strict_months=True),
     "customer_base": lambda s, d: c360.customer_base(sales.customers(s, d), sales.orders(s, d)),
     "customer_360": _metrics,
+    "customer_360_today": lambda s, d: _metrics_as_of(s, d, None),
+    "stored_marts": _stored_marts,
+    "appended_orders": _appended_orders,
+    "missing_files": _missing_files,
+    "empty_marts": _empty_marts,
+    "preview_orders": lambda s, d: preview(sales.orders(s, d), 2, "order_id"),
+    "recreated_clusters": _recreated_clusters,
+    "daily_job": _daily_job,
     "rfm_base": _base,
     "rfm_base_upsert": _base_upsert,
     "rfm_ranks": _rfm_ranks,

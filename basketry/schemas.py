@@ -84,6 +84,14 @@ CLUSTERED_BY: dict[str, list[str]] = {
     "fact_order_items": ["order_id", "order_item_id"],
 }
 
+# Facts are stored in slices, so that a batch rewrites only those it touches: orders by month, items, which carry
+# no date, by ranges of order ids (new orders have high ones). The names are SQL expressions.
+ORDERS_PER_SLICE = 5_000_000
+SLICED_BY: dict[str, str] = {
+    "fact_orders": "date_format(order_date, 'yyyy-MM')",
+    "fact_order_items": f"order_id div {ORDERS_PER_SLICE}",
+}
+
 # Foreign keys: (child table, child column, parent table, parent column).
 REFERENCES: list[tuple[str, str, str, str]] = [
     ("fact_orders", "customer_id", "dim_customers", "customer_id"),

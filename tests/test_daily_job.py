@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+from dataclasses import replace
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -10,8 +12,10 @@ from helpers import SF_DIR
 from pyspark.sql import functions as F
 
 from basketry.__main__ import main
+from basketry.plans import daily_job
+from basketry.plans.clusters import assign_clusters, cluster_features
 from basketry.plans.daily_job import quality, reports, run_all, write_mart
-from basketry.plans.registry import QUERIES
+from basketry.plans.registry import CENTERS, QUERIES
 from basketry.plans.rfm import rfm_base
 from basketry.schemas import SCHEMAS
 from basketry.sources import sales_schema as sales
@@ -115,10 +119,44 @@ def test_date_filters_reach_the_stored_orders(spark, job):
 
 
 def test_stored_orders_are_clustered_by_date(spark, job):
-    path = Path(f"{job[1]}/tables/fact_orders")
+    files = [f.removeprefix("file://") for f in read_table(spark, f"{job[1]}/tables", "fact_orders").inputFiles()]
     spans = sorted(
-        (pq.read_table(f, columns=["order_date"])["order_date"].to_numpy() for f in path.glob("*.parquet")),
+        (pq.read_table(f, columns=["order_date"], partitioning=None)["order_date"].to_numpy() for f in files),
         key=lambda days: days[0],
     )
     assert all(list(days) == sorted(days) for days in spans)
     assert all(left[-1] <= right[0] for left, right in zip(spans, spans[1:]))
+
+
+def test_a_failed_run_goes_on_where_it_stopped(spark, job, tmp_path, monkeypatch):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    shutil.copytree(job[0], raw)
+    monkeypatch.setattr(daily_job, "cluster_customers", lambda metrics: (assign_clusters(cluster_features(metrics), CENTERS), {}))
+    ran = []
+    for line in daily_job.STEPS:
+        for step in line:
+            def counted(s, root, exports, settings, own=step):
+                ran.append(own.name)
+                if own.name == "cohorts" and len(ran) < 9:
+                    raise RuntimeError("no more memory")
+                own.run(s, root, exports, settings)
+
+            monkeypatch.setattr(daily_job, "STEPS", [[replace(x, run=counted) if x is step else x for x in y] for y in daily_job.STEPS])
+    everything = [step.name for line in daily_job.STEPS for step in line]
+    with pytest.raises(RuntimeError, match="no more memory"):
+        run_all(spark, raw, out, sales.AS_OF)
+    assert sorted(ran) == sorted(set(everything) - {"reports"})
+    ran.clear()
+    ran += ["-"] * 9
+    run_all(spark, raw, out, sales.AS_OF)  # what failed and what follows it
+    assert ran[9:] == ["cohorts", "reports"]
+    run_all(spark, raw, out, sales.AS_OF)  # nothing is stale
+    assert ran[9:] == ["cohorts", "reports"]
+    ran[9:] = []
+    run_all(spark, raw, out, "2001-09-01")  # another day: what depends on it
+    assert sorted(ran[9:]) == ["clusters", "metrics", "reports", "rfm base", "scores"]
+    ran[9:] = []
+    # A new product: its dimension and what reads it.
+    Path(f"{raw}/products.csv/part-more.csv").write_text("product_id,category,brand,unit_cost\n999999,Home,Nova,1.00\n")
+    run_all(spark, raw, out, "2001-09-01")
+    assert {"dims", "metrics", "quality"} <= set(ran[9:]) and not {"facts", "rfm base", "scores", "cohorts"} & set(ran[9:])
