@@ -20,6 +20,7 @@ names; `drop_contaminated` returns them as they were.
 from __future__ import annotations
 
 import math
+import pickle
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -165,7 +166,7 @@ def _count(rows: DataFrame, shared) -> DataFrame:
     """(size, place, n): occurrences of the benchmark shingles in column `_text` of all rows."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = pickle.loads(shared.value)
         totals = {size: np.zeros(len(keys), np.int64) for size, keys in index.shingles.items()}
         for batch in batches:
             for ids, _ in _flat((t.as_py() for t in batch.column(0)), index):
@@ -190,7 +191,7 @@ def _scan(rows: DataFrame, shared) -> DataFrame:
     """Add what one block finds to the state columns of `rows` (columns `_text` and `_carried`, then the state)."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = pickle.loads(shared.value)
         for batch in batches:
             texts, olds, old_items = batch.column(0), batch.column(4), batch.column(5)
             n_words, n_hit, spans, items, row = [], [], [], [], 0
@@ -232,10 +233,10 @@ def scan_benchmark(docs: DataFrame, text_col: str, carried: Column, benchmark: D
         index = build_index(sorted((r["item_id"], r["text"]) for r in part), window)
         counts = {s: np.zeros(len(keys), np.int64) for s, keys in index.shingles.items()}
         if index.windows:
-            for r in _count(rows, spark.sparkContext.broadcast(index)).groupBy("size", "place").agg(F.sum("n").alias("n")).collect():
+            for r in _count(rows, spark.sparkContext.broadcast(cloudpickle.dumps(index))).groupBy("size", "place").agg(F.sum("n").alias("n")).collect():
                 counts[r["size"]][r["place"]] = r["n"]  # at most one row per shingle of the block
         choose_anchors(index, counts)
-        state = _scan(state, spark.sparkContext.broadcast(index))
+        state = _scan(state, spark.sparkContext.broadcast(cloudpickle.dumps(index)))
     return state
 
 

@@ -42,13 +42,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.staging import stage
+from .hot_join import join_spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
 
 LEAST_PAGES = 3  # of a class
 LEAST_SHARE = 0.1  # of a host's pages that a class is on
-HOT_SHARE = 64  # a host with more than 1/64 of all pages is split
-SALTS = 32
 MEMO_KEYS = 1 << 14
 _TAG, _TEXT, _MASS, _PAGE = 0, 1, 2, 3
 
@@ -366,14 +365,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     carried = F.struct(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     rows = pages.select(carried.alias("_carried"), F.col(html_col).alias("html"), F.when(host != "", host).alias("host"))
     found = templates(rows)
-    counts = rows.filter("host IS NOT NULL").groupBy("host").count()
-    total = rows.count()
-    hot = [r["host"] for r in counts.filter(F.col("count") * HOT_SHARE > total).collect()]  # fewer than HOT_SHARE rows
-    split = F.col("host").isin(hot) if hot else F.lit(False)
-    salted = rows.withColumn("salt", F.when(split, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(F.lit(0)))
-    copies = F.when(split, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    found = found.withColumn("salt", F.explode(F.transform(copies, lambda x: x.cast("long"))))
-    joined = salted.join(found, ["host", "salt"], "left").select("_carried", "html", "host", "main", "constants")
+    joined = join_spread(rows, found, "host").select("_carried", "html", "host", "main", "constants")
     kind = rows.schema["_carried"].dataType.simpleString()
     return joined.mapInArrow(_extract, f"_carried {kind}, text string, n_chars long").select("_carried.*", "text", "n_chars")
 

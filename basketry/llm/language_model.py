@@ -14,7 +14,7 @@ The base is an add-one unigram model over words and one end per text.
 
 Tables have a fixed number of slots of one byte, so what is broadcast does not grow; counting sees all
 training rows, and what a task sends on is bounded by the tables, not by the rows. Word counts, which do
-grow, are joined by postings (see postings.py).
+grow, are broadcast for the most frequent words and joined for all others (see token_sums.py).
 
 Defined cases: a NULL text is empty: one end token, scored by both models. A NULL id is not held out. Without
 training rows all counts are zero (base score 0, as its denominator is then 1; an untrained mix otherwise).
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import pickle
 import sys
 from collections import Counter
 from collections.abc import Iterator
@@ -38,7 +39,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.staging import stage
-from .postings import frequencies, open_block
+from .token_sums import token_sums
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
 
@@ -333,7 +334,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     training = rows.filter(~held_out(F.col("doc_id"))).select("text")
     counts = stage(_word_counts(training))
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    shared = spark.sparkContext.broadcast(train(training))
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(train(training)))
 
     def of_texts():
         def of_text(text: str) -> tuple[list[bytes], list[float]]:
@@ -343,31 +344,25 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
         return of_text
 
-    blocks = frequencies(rows, of_texts, "binary", of_block=lambda texts: shared.value.score(texts))
-    known = counts.select("token", "c", F.lit(0).cast("long").alias("salt"))
-    joined = blocks.join(known, ["token", "salt"], "left").filter("token IS NULL OR c IS NOT NULL")
-    joined = joined.select("block", "postings", "c", "doc_ids", "numbers")
-    n, v = totals["n"], totals["v"]
+    scorers: list[Scorer] = []  # one in each task
+
+    def of_block(texts: list[str]) -> np.ndarray:
+        if not scorers:
+            scorers.append(pickle.loads(shared.value))
+        return scorers[0].score(texts)
 
-    def total(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, numbers, doc, often, which = open_block(rows)
-        c = rows["c"].to_numpy(np.float64)[which]
-        n_known = np.bincount(doc, weights=often, minlength=len(ids)).astype(np.int64)
-        logs = np.bincount(doc, weights=often * np.log10(c + 1), minlength=len(ids))
-        return pd.DataFrame(
-            {
-                "doc_id": ids,
-                "n_tokens": numbers[:, 0].astype(np.int64),
-                "n_known": n_known,
-                "base_score": logs - numbers[:, 0] * math.log10(n + v + 1),
-                "score": numbers[:, 2],
-                "bits_per_byte": -numbers[:, 2] * math.log2(10) / np.maximum(numbers[:, 1], 1),
-            }
-        )
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    made = joined.groupBy("block").applyInPandas(
-        total, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double, bits_per_byte double"
+    n, v = totals["n"], totals["v"]
+    known = counts.select("token", F.col("c").alias("value"), F.col("c").alias("n"))
+    sums = [(lambda c: np.ones(len(c)), F.lit(1)), (lambda c: np.log10(c + 1.0), F.log10(F.col("value") + 1.0))]
+    found = token_sums(rows, of_texts, known, sums, of_block)
+    n_tokens, n_bytes, score = (F.col("numbers")[i] for i in range(3))
+    made = found.select(
+        "doc_id",
+        n_tokens.cast("long").alias("n_tokens"),
+        F.col("s0").cast("long").alias("n_known"),
+        (F.col("s1") - n_tokens * math.log10(n + v + 1)).alias("base_score"),
+        score.alias("score"),
+        (-score * math.log2(10) / F.greatest(n_bytes, F.lit(1.0))).alias("bits_per_byte"),
     )
     return made.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),

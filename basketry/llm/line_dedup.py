@@ -6,7 +6,7 @@ ratio are dropped from all pages of that host, the rest of the page stays as it
 Defined cases: lines are the parts between line feeds, compared exactly (by a 64-bit hash within their
 host). Blank lines never count and always stay. A page that holds a line twice counts once; both go. A row
 without host belongs to no site and keeps its text; a NULL text stays NULL with no lines. Every row is a
-page, repeated rows too. Lines on fewer than `min_pages` pages stay, so a host of one page loses nothing. An
+page, repeated rows too. A line on a single page is not repeated and stays, so a host of one page loses nothing. An
 empty table gives an empty result. Other columns pass through under their own names.
 """
 
@@ -14,8 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .hot_join import join_spread
+
 MAX_RATIO = 0.05
-MIN_PAGES = 5
+MIN_PAGES = 2  # the least that is repetition
 _BLANK = "^[\\x20\\x09-\\x0D]*$"
 
 
@@ -54,9 +56,8 @@ def drop_boilerplate(
     With `counts`, the columns n_lines and n_dropped are added (in place of columns so named).
     """
     found = boilerplate(docs, host_col, text_col, max_ratio, min_pages)
-    # The page is the large, streamed side: a host with most pages is split by adaptive execution.
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.col(host_col).alias("_host"))
-    rows = rows.join(found, "_host", "left")
+    rows = join_spread(rows, found, "_host")
     lines = _lines(F.col("_row")[text_col])
     kept = F.filter(lines, lambda x: x.rlike(_BLANK) | ~F.array_contains("_dropped", F.xxhash64(x)))
     text = F.when(F.col("_dropped").isNull(), F.col("_row")[text_col]).otherwise(F.array_join(kept, "\n"))

@@ -5,8 +5,7 @@ chunk; each filter's largest response is kept (max-pooling) and rectified. The c
 by their mean and their maximum, and a logistic layer makes one probability of that.
 
 The network is fitted on a bounded sample: per label the `TRAIN_PER_LABEL` labelled ids with the smallest
-hash, among the ids whose crc32 modulo 3 is not 1, and of each document at most `TRAIN_CHUNKS` evenly spaced
-chunks. Scoring reads all bytes of all documents; label, language, source and id are no inputs.
+hash, among the ids whose crc32 modulo 3 is not 1, of each document all chunks; a long one is pooled in pieces. Scoring reads all bytes of all documents; label, language, source and id are no inputs.
 
 Defined cases: a NULL or empty text is one chunk of padding. Ids labelled more than once take their lowest
 label; NULL ids or labels do not train. Without examples of both labels the score of every document is the
@@ -28,16 +27,16 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 
 CHUNK, STEP = 256, 192
 WIDTH, FILTERS = 5, 24
-TRAIN_PER_LABEL, TRAIN_CHUNKS = 1200, 12
+TRAIN_PER_LABEL = 1200
 EPOCHS, BATCH, RATE, SEED = 10, 32, 0.01, 7
 _AT_ONCE = 256  # chunks
 
 Network = dict[str, np.ndarray]
 
 
-def chunks_of(text: str | None) -> np.ndarray:
+def chunks_of(text: str | bytes | None) -> np.ndarray:
     """Overlapping chunks, padded with zero bytes, as rows; the last one ends with the text."""
-    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    raw = np.frombuffer(text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass"), np.uint8)
     n = max(1, -(-(len(raw) - (CHUNK - STEP)) // STEP))
     padded = np.zeros((n - 1) * STEP + CHUNK, np.uint8)
     padded[: len(raw)] = raw
@@ -88,7 +87,8 @@ def fit(documents: list[np.ndarray], labels: list[int]) -> Network:
             batch = order[lo : lo + BATCH]
             sizes = [len(documents[i]) for i in batch]
             chunks, starts = np.concatenate([documents[i] for i in batch]), np.append(0, np.cumsum(sizes)[:-1])
-            value, at = _responses(net, chunks)
+            pieces = [_responses(net, chunks[lo : lo + _AT_ONCE]) for lo in range(0, len(chunks), _AT_ONCE)]
+            value, at = (np.concatenate(x) for x in zip(*pieces))
             pooled = np.maximum(value + net["shift"], 0.0)
             mean = np.add.reduceat(pooled, starts) / np.array(sizes)[:, None]
             most = np.maximum.reduceat(pooled, starts)
@@ -131,18 +131,15 @@ def train(rows: DataFrame, labels: DataFrame, per_label: int = TRAIN_PER_LABEL)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for text in batch.column(1):
-                chunks = chunks_of(text.as_py())
-                parts.append(chunks[np.linspace(0, len(chunks) - 1, min(len(chunks), TRAIN_CHUNKS)).astype(int)].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, pa.binary())], ["quality", "chunks"])
+            parts = [(text.as_py() or "").encode("utf-8", "surrogatepass") for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, pa.binary())], ["quality", "bytes"])
 
     found = rows.join(F.broadcast(sample), "doc_id").select("quality", "text")  # at most 2 * per_label rows
-    examples = sorted((r["quality"], bytes(r["chunks"])) for r in found.mapInArrow(of_batches, "quality int, chunks binary").collect())
+    examples = sorted((r["quality"], bytes(r["bytes"])) for r in found.mapInArrow(of_batches, "quality int, bytes binary").collect())
     answers = [q for q, _ in examples]
     if len(set(answers)) < 2:
         return (sum(answers) + 1) / (len(answers) + 2)
-    return fit([np.frombuffer(c, np.uint8).reshape(-1, CHUNK) for _, c in examples], answers)
+    return fit([chunks_of(raw) for _, raw in examples], answers)  # views of the bytes
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,15 +5,16 @@ Two parts, both over whole texts:
 * counts per document (words, symbols, repeated lines, repeated three-word windows) with a base rule on them;
 * an importance score: the mean over a document's hashed word uni- and bigrams of
   log(p_target / p_raw), where p_target and p_raw are smoothed multinomials over hash buckets, counted over
-  all other trusted documents and over all other documents: a document's own counts are taken out before it is
-  scored, so a trusted one has no advantage over an unlabelled one of the same kind, however small the corpus.
+  trusted documents and over all documents. Ids are dealt into `FOLDS` folds by their hash, and a document is scored
+  with the counts of the other folds: it is never among what it is held against, so a trusted one has no
+  advantage over an unlabelled one of the same kind, however small the corpus.
 
 A document is kept when its score reaches the threshold. That is where the scores of all labelled documents
 that pass the base rule part best: the fewest shares of good ones below and of bad ones from there on.
 
 Defined cases: a NULL or empty text has no words and fails the base rule. A NULL id is carried along and is
-never trusted. Without trusted documents, without documents, or for the only trusted document, every log ratio
-is 0, so the base rule decides alone. Without good or bad labels among the documents that pass the base rule
+never trusted; such rows are one fold's. Without trusted documents in the other folds every log ratio is 0, so the base
+rule decides alone. Without good or bad labels among the documents that pass the base rule
 the threshold is the fixed one. An id labelled both good and bad is good. Repeated rows are scored one by one and get the same
 result. Input columns other than id and text do not matter, whatever their names.
 """
@@ -34,7 +35,8 @@ BUCKET_BITS = 15
 THRESHOLD = -0.09  # mean log ratio from which a document is kept where labels do not show one
 STEPS, FARTHEST = 1024, 16  # thresholds tried: steps a unit, and units to either side of 0
 SMOOTHING = 1.0
-BROADCAST_IDS = 2_000_000  # labelled ids up to which they are broadcast (16 MB); more are joined by a shuffle
+FOLDS = 4  # a document is scored with the counts of the other folds
+BROADCAST_IDS = 500_000  # labelled ids up to which they are broadcast (about 30 MB, 60 bytes each); more are joined by a shuffle
 
 
 def _replaced(text: Column, characters: str, instead: str) -> Column:
@@ -91,10 +93,10 @@ def _with_repeats(df: DataFrame) -> DataFrame:
 
 @dataclass
 class BucketCounts:
-    """Occurrences per bucket in all documents and in the trusted ones."""
+    """Occurrences per fold and bucket in all documents and in the trusted ones."""
 
-    raw: list[int]
-    target: list[int]
+    raw: list[list[int]]
+    target: list[list[int]]
 
 
 def _with_labels(docs: DataFrame, id_col: str, trusted_ids: DataFrame, bad_ids: DataFrame | None = None, how: str = "left") -> DataFrame:
@@ -108,47 +110,67 @@ def _with_labels(docs: DataFrame, id_col: str, trusted_ids: DataFrame, bad_ids:
     if bad_ids is not None:
         labels = labels.union(ids(bad_ids, 0))
     labels = labels.filter(F.col("_id").isNotNull()).groupBy("_id").agg(F.max("_trusted").alias("_trusted"))
-    if labels.count() <= BROADCAST_IDS:
-        labels = F.broadcast(labels)
     rows = docs.select(F.col(id_col).alias("_id"), F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
-    return rows.join(labels, "_id", how).select("_row", "_trusted")
+    if labels.count() <= BROADCAST_IDS:
+        return rows.join(F.broadcast(labels), "_id", how).select("_row", "_trusted")
+    found = rows.filter(F.col("_id").isNotNull()).join(labels, "_id", how).select("_row", "_trusted")
+    if how == "inner":
+        return found
+    # Rows without id would all meet in one task.
+    return found.union(rows.filter(F.col("_id").isNull()).select("_row", F.lit(None).cast("int")))
+
 
+def fold_of(doc_id: Column, folds: int) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(folds)).cast("int")
 
-def bucket_counts(docs: DataFrame, id_col: str, text_col: str, trusted_ids: DataFrame, bits: int = BUCKET_BITS) -> BucketCounts:
-    """Counts per bucket from all rows.
 
-    They combine on the map side, so at most 2^`bits` rows leave a task and reach the driver, whatever the input.
+def bucket_counts(docs: DataFrame, id_col: str, text_col: str, trusted_ids: DataFrame, bits: int = BUCKET_BITS, folds: int = FOLDS) -> BucketCounts:
+    """Counts per fold and bucket from all rows.
+
+    They combine on the map side, so at most `folds` x 2^`bits` rows leave a task and reach the driver, whatever the input.
     """
     rows = _with_labels(docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")), "_doc", trusted_ids)
-    words = rows.select(F.coalesce("_trusted", F.lit(0)).alias("_trusted"), words_of(F.col("_row._text")).alias("_words"))
+    words = rows.select(
+        fold_of(F.col("_row._doc"), folds).alias("_fold"), F.coalesce("_trusted", F.lit(0)).alias("_trusted"), words_of(F.col("_row._text")).alias("_words")
+    )
     counted = (
         _with_hashes(words)
         # The outer form: the inner one gets an inferred filter that would split every text once more.
-        .select("_trusted", F.explode_outer(F.concat("_single", "_pairs")).alias("_hash"))
-        .groupBy(_bucket(F.col("_hash"), bits).alias("bucket"))
+        .select("_fold", "_trusted", F.explode_outer(F.concat("_single", "_pairs")).alias("_hash"))
+        .groupBy(F.col("_fold").alias("fold"), _bucket(F.col("_hash"), bits).alias("bucket"))
         .agg(F.count("_hash").alias("raw"), F.sum("_trusted").alias("target"))
         .filter(F.col("bucket").isNotNull())
         .collect()
     )
-    buckets = 1 << bits
-    raw, target = [0] * buckets, [0] * buckets
+    raw, target = ([[0] * (1 << bits) for _ in range(folds)] for _ in range(2))
     for row in counted:
-        raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
+        raw[row["fold"]][row["bucket"]], target[row["fold"]][row["bucket"]] = row["raw"], row["target"]
     return BucketCounts(raw, target)
 
 
+def _log_ratios(raw: list[int], target: list[int], smoothing: float) -> list[float]:
+    buckets = len(raw)
+    all_raw, all_target = math.log(sum(raw) + smoothing * buckets), math.log(sum(target) + smoothing * buckets)
+    if not sum(target):
+        return [0.0] * buckets
+    return [round(math.log(t + smoothing) - all_target - math.log(r + smoothing) + all_raw, 6) for r, t in zip(raw, target)]
+
+
 def bucket_log_ratios(
     docs: DataFrame, id_col: str, text_col: str, trusted_ids: DataFrame, bits: int = BUCKET_BITS, smoothing: float = SMOOTHING
 ) -> list[float]:
     """log(p_target / p_raw) per bucket, from all rows."""
-    counts = bucket_counts(docs, id_col, text_col, trusted_ids, bits)
-    raw, target, buckets = counts.raw, counts.target, 1 << bits
-    all_raw, all_target = math.log(sum(raw) + smoothing * buckets), math.log(sum(target) + smoothing * buckets)
-    if not sum(target):
-        return [0.0] * buckets
-    return [
-        round(math.log(t + smoothing) - all_target - math.log(r + smoothing) + all_raw, 6) for r, t in zip(raw, target)
-    ]
+    counts = bucket_counts(docs, id_col, text_col, trusted_ids, bits, 1)
+    return _log_ratios(counts.raw[0], counts.target[0], smoothing)
+
+
+def cross_ratios(counts: BucketCounts, smoothing: float = SMOOTHING) -> list[float]:
+    """log(p_target / p_raw) per fold and bucket, one fold after the other, each from the counts of the other folds."""
+    raw, target = ([sum(column) for column in zip(*of)] for of in (counts.raw, counts.target))
+    ratios = []
+    for own_raw, own_target in zip(counts.raw, counts.target):
+        ratios += _log_ratios([a - b for a, b in zip(raw, own_raw)], [a - b for a, b in zip(target, own_target)], smoothing)
+    return ratios
 
 
 def _literal(values: list[float]) -> Column:
@@ -156,59 +178,29 @@ def _literal(values: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
-def _fixed_total(ratios: list[float]) -> Column:
-    """Sum of the log ratios of a document's words and pairs, with the same ratios for every document."""
-    bits = len(ratios).bit_length() - 1
-    ratio = lambda hashed: F.get(_literal(ratios), _bucket(hashed, bits))
+def _total(ratios: list[float], folds: int) -> Column:
+    """Sum of the log ratios of a document's words and pairs."""
+    buckets = len(ratios) // folds
+    start = F.col("_fold") * buckets
+    ratio = lambda hashed: F.get(_literal(ratios), start + _bucket(hashed, buckets.bit_length() - 1))
     return F.aggregate(F.zip_with("_single", "_pairs", lambda a, b: ratio(a) + ratio(b)), F.lit(0.0), lambda s, x: s + x)
 
 
-def _total_without_own(counts: BucketCounts, trusted: Column, smoothing: float = SMOOTHING) -> Column:
-    """Sum of the log ratios of a document's words and pairs, from counts less those of the document itself.
-
-    The buckets are sorted inside the row, so equal ones form a run, whose length is the document's own count.
-    """
-    if not sum(counts.target):
-        return F.lit(0.0)
-    buckets = len(counts.raw)
-    bits = buckets.bit_length() - 1
-    raw, target = _literal([float(x) for x in counts.raw]), _literal([float(x) for x in counts.target])
-    found = F.sort_array(F.transform(F.concat("_single", "_pairs"), lambda h: _bucket(h, bits)))
-    size = (F.size("_single") + F.size("_pairs")).cast("double")
-
-    def of_run(run: Column) -> Column:
-        b, n = run["b"], run["n"]
-        ratio = F.ln(F.get(target, b) - n * trusted + smoothing) - F.ln(F.get(raw, b) - n + smoothing)
-        return run["total"] + F.when(n > 0, n * ratio).otherwise(0.0)
-
-    state = lambda b, n, total: F.struct(b.alias("b"), n.alias("n"), total.alias("total"))
-    runs = F.aggregate(
-        found,
-        state(F.lit(-1), F.lit(0.0), F.lit(0.0)),
-        lambda run, b: F.when(run["b"] == b, state(b, run["n"] + 1.0, run["total"])).otherwise(state(b, F.lit(1.0), of_run(run))),
-        of_run,
-    )
-    others, others_target = sum(counts.raw) - size, sum(counts.target) - size * trusted
-    whole = F.ln(others + smoothing * buckets) - F.ln(others_target + smoothing * buckets)
-    return F.when(others_target > 0, runs + size * whole).otherwise(0.0)
-
-
 def score_rules(
-    docs: DataFrame, id_col: str, text_col: str, ratios: list[float] | BucketCounts, threshold: float = THRESHOLD,
-    carry: list[Column] | None = None, trusted: Column | None = None,
-) -> DataFrame:
+    docs: DataFrame, id_col: str, text_col: str, ratios: list[float], threshold: float = THRESHOLD, carry: list[Column] | None = None, folds: int = 1
+) -> DataFrame:
     """Counts, base rule, score and verdict per row of `docs`, with the columns in `carry` added.
 
-    With bucket counts for `ratios`, a row's own counts are taken out; `trusted` tells (1 or 0) if the target has them.
+    `ratios` has a log ratio per bucket for each of `folds` folds, one after the other; a row's fold goes by its id.
     """
     text = F.coalesce(F.col("_text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD_CHAR))
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.coalesce(F.lit(0) if trusted is None else trusted, F.lit(0)).cast("double").alias("_own"), *(carry or []))
-    carried = [c for c in rows.columns if c not in ("_id", "_text", "_own")]
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), fold_of(F.col(id_col), folds).alias("_fold"), *(carry or []))
+    carried = [c for c in rows.columns if c not in ("_id", "_text", "_fold")]
     rows = rows.withColumn("_words", words_of(F.col("_text"))).withColumn("_lines", lines)
     rows = _with_repeats(_with_hashes(rows))
     n_words, n_repeats = F.size("_words").cast("long"), F.col("_repeats")
-    total = _total_without_own(ratios, F.col("_own")) if isinstance(ratios, BucketCounts) else _fixed_total(ratios)
+    total = _total(ratios, folds)
     result = rows.select(
         F.col("_id").alias("doc_id"),
         n_words.alias("n_words"),
@@ -255,11 +247,11 @@ def parting_threshold(good: dict[int, int], bad: dict[int, int]) -> float:
     return (low - best[1] + (best[0] - 1) // 2) / STEPS
 
 
-def labelled_threshold(docs: DataFrame, id_col: str, text_col: str, counts: BucketCounts, trusted_ids: DataFrame, bad_ids: DataFrame) -> float:
+def labelled_threshold(docs: DataFrame, id_col: str, text_col: str, ratios: list[float], trusted_ids: DataFrame, bad_ids: DataFrame) -> float:
     """Where the scores of all labelled rows part; a bounded number of counts reaches the driver."""
     rows = _with_labels(docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_body")), "_doc", trusted_ids, bad_ids, "inner")
     rows = rows.select("_row.*", "_trusted")
-    scored = score_rules(rows, "_doc", "_body", counts, carry=[F.col("_trusted")], trusted=F.col("_trusted"))
+    scored = score_rules(rows, "_doc", "_body", ratios, carry=[F.col("_trusted")], folds=FOLDS)
     step = F.floor(F.least(F.greatest(F.col("log_ratio"), F.lit(-FARTHEST)), F.lit(FARTHEST)) * STEPS)
     found: tuple[dict, dict] = ({}, {})
     # No filter by the base rule, as it would be pushed down (see filter_quality): its failures are one group.
@@ -270,13 +262,13 @@ def labelled_threshold(docs: DataFrame, id_col: str, text_col: str, counts: Buck
 
 
 def score_quality(docs: DataFrame, trusted_ids: DataFrame, bad_ids: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """Counts, base rule, score and verdict of every row, each without its own counts; with `carry` the row as `_row`."""
+    """Counts, base rule, score and verdict of every row, each held against other folds; with `carry` the row as `_row`."""
     counts = bucket_counts(docs, id_col, text_col, trusted_ids)
-    some = bad_ids is not None and sum(counts.target)
-    threshold = labelled_threshold(docs, id_col, text_col, counts, trusted_ids, bad_ids) if some else THRESHOLD
-    rows = _with_labels(docs, id_col, trusted_ids)
-    rows = rows.select(F.col("_row")[id_col].alias("_doc"), F.col("_row")[text_col].alias("_body"), "_trusted", *(["_row"] if carry else []))
-    return score_rules(rows, "_doc", "_body", counts, threshold, [F.col("_row")] if carry else None, F.col("_trusted"))
+    ratios = cross_ratios(counts)
+    some = bad_ids is not None and any(map(any, counts.target))
+    threshold = labelled_threshold(docs, id_col, text_col, ratios, trusted_ids, bad_ids) if some else THRESHOLD
+    rows = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_body"), *([F.struct(*[F.col(c) for c in docs.columns]).alias("_row")] if carry else []))
+    return score_rules(rows, "_doc", "_body", ratios, threshold, [F.col("_row")] if carry else None, FOLDS)
 
 
 def filter_quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", bad_ids: DataFrame | None = None) -> DataFrame:

@@ -77,6 +77,19 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGL
     return rows.mapInArrow(of_batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
+def _with_fingerprint(rows: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """(_row, _id, _fp) of rows that are one struct `_row`."""
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array((fingerprint(t.as_py(), size) for t in batch.column(2)), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], ["_row", "_id", "_fp"])
+
+    parts = rows.select("_row", F.col("_row")[id_col].alias("_id"), F.col("_row")[text_col].alias("_text"))
+    kinds = {f.name: f.dataType.simpleString() for f in parts.schema}
+    return parts.mapInArrow(of_batches, f"_row {kinds['_row']}, _id {kinds['_id']}, _fp long")
+
+
 def thermometer(fp: Column) -> Column:
     """Counts of the two-bit segments: 00, 01 or 11."""
     high, low = F.shiftrightunsigned(fp, 1).bitwiseAND(F.lit(_LOW)), fp.bitwiseAND(F.lit(_LOW))
@@ -169,19 +182,24 @@ def near_duplicates(
 def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """The document with the smallest id of every component, with all its columns.
+    """One row of every component, with all its columns: that with the smallest id, and of its rows the smallest fingerprint.
 
-    Rows without an id cannot be told apart and stay. Of rows that repeat an id one stays, any of them.
+    Rows without an id cannot be told apart and stay. An id on several rows stands for each of them: a row goes for
+    the component of its own text. Of rows equal in id and fingerprint one stays, any of them.
     """
     found = stage(near_duplicates(docs, id_col, text_col, size, max_bits))
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
     repeated = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1")
-    repeated = repeated.select(F.col("doc_id").alias(id_col))
+    repeated = stage(repeated.select(F.col("doc_id").alias(id_col)))
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, id_col, "left_anti").unionByName(once).select(*docs.columns)
+        return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    single = docs.join(gone.union(repeated), id_col, "left_anti").select(*docs.columns)
+    # Rows that share an id are told apart by their fingerprint, taken once more for them alone.
+    kept = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("component_id").agg(F.min("fp").alias("_fp"))
+    again = docs.join(repeated, id_col, "left_semi").select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
+    again = _with_fingerprint(again, id_col, text_col, size).dropDuplicates(["_id", "_fp"])
+    chosen = again.join(kept.select(F.col("component_id").alias("_id"), "_fp"), ["_id", "_fp"], "left_semi")
+    return single.unionByName(chosen.select("_row.*"))
 
 
 def op10_simhash(spark: SparkSession, d: str) -> DataFrame:

@@ -2,11 +2,7 @@
 
 A text's token count is the sum of its pre-tokens' piece counts. The pieces of every distinct pre-token of
 the corpus are counted once; the counts are joined to the pre-token frequencies of the documents and summed.
-
-Frequencies travel as postings: documents are taken in blocks, and each distinct pre-token of a block is one
-row with packed (document, frequency) pairs. A very common pre-token is one row per block, and adaptive
-execution may split it. Behind the join only pre-tokens of two or more pieces go on, back to their block,
-which is bounded; each document's number of pre-tokens is known from the start.
+The most frequent pre-tokens are joined where the text is read, all others by a shuffle (see token_sums.py).
 
 Defined cases: a NULL text is empty; an empty text has no bytes and no tokens. The vocabulary's special
 tokens inside a text are cut out first and count as one token each. Repeated rows each get a result, NULL
@@ -18,10 +14,9 @@ from __future__ import annotations
 import json
 import os
 import sys
+from collections import Counter
 from collections.abc import Callable, Iterator
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 import regex
@@ -29,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from .postings import BLOCK_BYTES, BLOCK_ROWS, frequencies, open_block
+from .token_sums import BLOCK_BYTES, BLOCK_ROWS, HEAD, token_sums
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
 
@@ -56,24 +51,27 @@ class _Splitter:
 
 
 def distinct_pretokens(texts: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """(pretoken) of the one column of `texts`, once each."""
+    """(pretoken, n) of the one column of `texts`: every distinct one and how often it occurs."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["pretoken", "n"])
+
         split = _Splitter(vocabulary, pattern)
-        seen: set[str] = set()
+        seen: Counter = Counter()
         for batch in batches:
             for text in batch.column(0):
                 seen.update(split(text.as_py())[0])
                 if len(seen) >= 1 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string())], ["pretoken"])
-                    seen = set()
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string())], ["pretoken"])
+                    yield out()
+                    seen = Counter()
+        yield out()
 
-    return texts.mapInArrow(of_batches, "pretoken string").distinct()
+    return texts.mapInArrow(of_batches, "pretoken string, n long").groupBy("pretoken").agg(F.sum("n").alias("n"))
 
 
 def count_pieces(pretokens: DataFrame, vocabulary: str) -> DataFrame:
-    """(pretoken, pieces) for distinct pre-tokens."""
+    """(token, value, n) of (pretoken, n): a pre-token, its pieces beyond the first, its frequency."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -82,9 +80,10 @@ def count_pieces(pretokens: DataFrame, vocabulary: str) -> DataFrame:
             for at in range(0, len(batch), _COUNTED_AT_ONCE):
                 part = batch.column(0).slice(at, _COUNTED_AT_ONCE)
                 found = model.encode_batch_fast(part.to_pylist(), add_special_tokens=False)
-                yield pa.RecordBatch.from_arrays([part, pa.array([len(x) for x in found], pa.int32())], ["pretoken", "pieces"])
+                more = pa.array([len(x) - 1 for x in found], pa.int64())
+                yield pa.RecordBatch.from_arrays([part, more, batch.column(1).slice(at, _COUNTED_AT_ONCE)], ["token", "value", "n"])
 
-    return pretokens.mapInArrow(of_batches, "pretoken string, pieces int")
+    return pretokens.mapInArrow(of_batches, "token string, value long, n long")
 
 
 def count_tokens(
@@ -94,6 +93,7 @@ def count_tokens(
     vocabulary: str | None = None,
     pattern: str | None = None,
     limit: int = LIMIT,
+    head: int = HEAD,
     block_bytes: int = BLOCK_BYTES,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
@@ -111,20 +111,9 @@ def count_tokens(
 
         return of_text
 
-    blocks = frequencies(rows, of_texts, "string", block_bytes, block_rows)
-    # The rows with the documents have a salt, see frequencies().
-    counted = blocks.join(pieces.select(F.col("pretoken").alias("token"), "pieces", F.lit(0).cast("long").alias("salt")), ["token", "salt"], "left")
-    counted = counted.filter("token IS NULL OR pieces > 1").select("block", "postings", "pieces", "doc_ids", "numbers")
-
-    def total(rows: pd.DataFrame) -> pd.DataFrame:
-        """One block: what its documents have beyond one piece per pre-token."""
-        ids, numbers, doc, n, which = open_block(rows)
-        n_tokens = numbers[:, 1].astype(np.int64)
-        np.add.at(n_tokens, doc, n * (rows["pieces"].to_numpy()[which].astype(np.int64) - 1))
-        return pd.DataFrame({"doc_id": ids, "n_bytes": numbers[:, 0].astype(np.int64), "n_tokens": n_tokens})
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    result = counted.groupBy("block").applyInPandas(total, f"doc_id {kind}, n_bytes long, n_tokens long")
+    found = token_sums(rows, of_texts, pieces, [(lambda more: more, F.col("value"))], None, head, block_bytes, block_rows)
+    n_tokens = (F.col("numbers")[1] + F.col("s0")).cast("long")
+    result = found.select("doc_id", F.col("numbers")[0].cast("long").alias("n_bytes"), n_tokens.alias("n_tokens"))
     return result.withColumn("over_limit", F.col("n_tokens") > limit)
 
 

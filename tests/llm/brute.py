@@ -77,7 +77,7 @@ def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def without_boilerplate(rows, ratio=0.05, least=5):
+def without_boilerplate(rows, ratio=0.05, least=2):
     """rows: (source, text); the texts without lines on many of the source's pages."""
     pages, totals = Counter(), Counter(s for s, _ in rows)
     for source, text in rows:

@@ -193,7 +193,9 @@ def test_token_counts(spark, docs):
     want = [(i, len((t or "").encode()), len(model.encode(t or "", add_special_tokens=False).ids)) for i, t in rows]
     want = sorted(((*w, w[2] > 1024) for w in want), key=repr)
     assert by_row(token_counts.count_tokens(df), "n_bytes", "n_tokens", "over_limit") == want
-    small = token_counts.count_tokens(df, block_bytes=300, block_rows=4)
+    for head in (0, 40):  # all, and most, of the pre-tokens are joined
+        assert by_row(token_counts.count_tokens(df, head=head), "n_bytes", "n_tokens", "over_limit") == want
+    small = token_counts.count_tokens(df, block_bytes=300, block_rows=4, head=40)
     assert by_row(small, "n_bytes", "n_tokens", "over_limit") == want
     assert token_counts.count_tokens(df.limit(0)).count() == 0
 

@@ -1,4 +1,4 @@
-"""A document's own counts say nothing about it, and unlabelled documents fare like labelled ones at every size."""
+"""A document is held against the counts of other folds, and unlabelled documents fare like labelled ones at every size."""
 
 from __future__ import annotations
 
@@ -21,26 +21,34 @@ def buckets(text, bits):
     return Counter(h >> 64 - bits for h in one + two)
 
 
-def test_scores_leave_out_the_documents_own_counts(spark):
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_scores_come_from_the_other_folds(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(quality_rules, "BROADCAST_IDS", broadcast)
     draw = random.Random(2)
     words = ["".join(draw.choice("abcd") for _ in range(3)) for _ in range(40)]
     texts = [None, "", "a", "a a a a", *[" ".join(draw.choice(words) for _ in range(draw.randint(1, 120))) for _ in range(30)]]
+    texts += [" ".join(draw.choice(words) for _ in range(30_000))]  # a very long one
+    ids = [*range(len(texts) - 2), None, None]
     trusted, bits = {3, 5, 8, 13, 21}, 6
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    ids = spark.createDataFrame([(i,) for i in trusted], "id long")
-    counts = quality_rules.bucket_counts(df, "doc_id", "text", ids, bits=bits)
-    got = quality_rules.score_rules(df, "doc_id", "text", counts, trusted=F.col("doc_id").isin(*trusted).cast("int"))
+    df = spark.createDataFrame(list(zip(ids, range(len(texts)), texts)), "doc_id long, n long, text string")
+    trusted_ids = spark.createDataFrame([(i,) for i in [*trusted, None]], "id long")
+    counts = quality_rules.bucket_counts(df, "doc_id", "text", trusted_ids, bits=bits)
+    got = quality_rules.score_rules(df, "doc_id", "text", quality_rules.cross_ratios(counts), carry=[F.col("n")], folds=quality_rules.FOLDS)
+    fold = {r.n: r.f for r in df.select("n", quality_rules.fold_of(F.col("doc_id"), quality_rules.FOLDS).alias("f")).collect()}
+    assert set(fold.values()) == set(range(quality_rules.FOLDS))
     own = [buckets(t, bits) for t in texts]
     for r in got.collect():
-        others = [j for j in range(len(texts)) if j != r.doc_id]
         raw, target = Counter(), Counter()
-        for j in others:
-            raw += own[j]
-            target += own[j] if j in trusted else Counter()
+        for j, c in enumerate(own):
+            if fold[j] != fold[r.n]:
+                raw += c
+                target += c if ids[j] in trusted else Counter()
         total = lambda c: sum(c.values()) + (1 << bits)
         ratio = lambda b: math.log((target[b] + 1) / total(target)) - math.log((raw[b] + 1) / total(raw))  # noqa: E731, B023
-        n = sum(own[r.doc_id].values())
-        assert r.log_ratio == pytest.approx(sum(c * ratio(b) for b, c in own[r.doc_id].items()) / max(n, 1), abs=1e-9)
+        n = sum(own[r.n].values())
+        want = sum(c * ratio(b) for b, c in own[r.n].items()) / max(n, 1) if target else 0.0
+        assert r.log_ratio == pytest.approx(want, abs=2e-6)
+        assert r.n_words == len(brute.WORD.findall(texts[r.n] or ""))
 
 
 def test_threshold_parts_good_from_bad():
