@@ -16,6 +16,7 @@ SEED = 42
 K_MIN, K_MAX = 3, 8
 MAX_ITERATIONS = 300
 TOLERANCE = 1e-4  # of the squared movement of all centres together, in units of the feature variance
+FEW_PARTITIONS = 64  # with at most so many, tasks' rows (a few each) go to the driver without another shuffle
 GRID = 1 << 20  # standardised values are multiples of 1 / GRID, so that their sums are exact in any order
 
 Centers = list[list[float]]
@@ -80,7 +81,8 @@ def _sums(points: DataFrame, columns: list[str], labels: dict[str, Column]) -> d
 def lloyd_step(points: DataFrame, columns: list[str], centers: dict[str, Centers]) -> dict[str, Centers]:
     """Every set of centres moved to the means of its points, all sets in one job; a centre without points stays.
 
-    The centres travel as data, not as text of the plan: a new plan text in every step would be compiled anew.
+    The centres travel as data, not as text of the plan: a new plan text in every step would be compiled anew. With few
+    partitions the tasks' sums, a row per centre and task, come to the driver as they are; else they are added up first.
     """
 
     def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -96,10 +98,12 @@ def lloyd_step(points: DataFrame, columns: list[str], centers: dict[str, Centers
 
     places = [f"s{j}" for j in range(len(columns))]
     partial = points.select(*columns).mapInPandas(of_batches, "name string, label int, n long, " + ", ".join(f"{c} long" for c in places))
-    found = partial.groupBy("name", "label").agg(F.sum("n").alias("n"), *[F.sum(F.col(c).cast("decimal(20,0)")).alias(c) for c in places])
+    if points.rdd.getNumPartitions() > FEW_PARTITIONS:
+        partial = partial.groupBy("name", "label").agg(F.sum("n").alias("n"), *[F.sum(F.col(c).cast("decimal(20,0)")).alias(c) for c in places])
     sums: dict[str, dict[int, tuple]] = {name: {} for name in centers}
-    for r in found.collect():  # one row per centre
-        sums[r["name"]][r["label"]] = (r["n"], [int(r[c]) for c in places])
+    for r in partial.collect():
+        n, s = sums[r["name"]].get(r["label"], (0, [0] * len(places)))
+        sums[r["name"]][r["label"]] = (n + r["n"], [a + int(r[c]) for a, c in zip(s, places)])
     moved = {}
     for name, old in centers.items():
         moved[name] = [
@@ -115,16 +119,33 @@ def seeds(points: DataFrame, id_col: str, columns: list[str], k: int, seed: int
     aggregate a round, the same point whatever the layout. Fewer distinct points than k give fewer seeds.
     """
     chosen: Centers = []
+    id_type = points.schema[id_col].dataType.simpleString()
+    schema = f"key double, id {id_type}, point array<double>"
     for number in range(k):
         u = (F.conv(F.substring(F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(f"{seed}:{number}"))), 1, 12), 16, 10).cast("double") + 1) / (2.0**48 + 1)
-        distance = F.lit(1.0)
-        if chosen:
-            distance = F.least(*[_squared(columns, c) for c in chosen]) if len(chosen) > 1 else _squared(columns, chosen[0])
-        key = F.struct((-F.log(u) / distance).alias("key"), F.col(id_col))
-        drawn = points.filter(distance > 0).agg(F.min_by(F.array(*columns), key).alias("point")).first()
-        if drawn["point"] is None:
+
+        def of_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            """The least of a task; the seeds before travel as data."""
+            best = None
+            for batch in batches:
+                x, key = batch[columns].to_numpy(float), batch["_draw"].to_numpy(float)
+                if chosen:
+                    gap = np.stack([sum((x[:, j] - c[j]) * (x[:, j] - c[j]) for j in range(len(columns))) for c in chosen]).min(axis=0)
+                    key = np.divide(key, gap, out=np.full(len(key), np.inf), where=gap > 0)
+                if len(key) and np.isfinite(least := key.min()):
+                    tied = batch[id_col][key == least]
+                    at = tied.idxmin() if tied.dtype != object else tied.index[np.argsort(tied.to_numpy(), kind="stable")[0]]
+                    found = (float(least), batch[id_col][at], x[batch.index.get_loc(at)].tolist())
+                    best = found if best is None or found[:2] < best[:2] else best
+            yield pd.DataFrame([best] if best else [], columns=["key", "id", "point"])
+
+        drawn = points.select(id_col, *columns, (-F.log(u)).alias("_draw")).mapInPandas(of_batches, schema)
+        if points.rdd.getNumPartitions() > FEW_PARTITIONS:
+            drawn = drawn.agg(F.min_by(F.struct("key", "id", "point"), F.struct("key", "id")).alias("least")).filter("least IS NOT NULL").select("least.*")
+        rows = drawn.collect()
+        if not rows:
             break
-        chosen.append(list(drawn["point"]))
+        chosen.append(list(min(rows, key=lambda r: (r["key"], r["id"]))["point"]))
     return chosen
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import age_month_field, as_of_column, full_months
 from ..functions.numbers import mean_of, ratio
+from ..operators.hot_keys import join_heavy
 from ..schemas import conform
 from ..sources.staging import stage
 from .silver import COMPLETED, RETURNED, clean_items, non_cancelled, valid_items
@@ -29,7 +30,7 @@ def category_revenue(items: DataFrame, orders: DataFrame, products: DataFrame) -
     """Clean line totals per customer and category. Items of unknown products have no category to count in."""
     lines = clean_items(items.select("order_id", "product_id", "quantity", "unit_price", "line_total"), orders, ["customer_id"])
     return (
-        lines.join(products.select("product_id", "category"), "product_id")
+        join_heavy(lines, products.select("product_id", "category"), "product_id", items)
         .groupBy("customer_id", "category")
         .agg(F.sum("line_total").alias("cat_revenue"))
     )

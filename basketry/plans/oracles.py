@@ -221,10 +221,10 @@ def _labels(sets: dict[int, list[list[float]]]) -> str:
     return " UNION ALL ".join(one)
 
 
-def _silhouette(sets: dict[int, list[list[float]]]) -> str:
-    """(k, silhouette) by comparing all pairs."""
+def _silhouette(labels: str) -> str:
+    """(k, silhouette) of labelled customers, by comparing all pairs."""
     return f"""
-        l AS ({_labels(sets)}),
+        l AS MATERIALIZED ({labels}),
         means AS (SELECT a.k, a.customer_id, a.cl = b.cl AS own, b.cl, sum({_gap("a", "b")}) AS total, count(*) AS n
                   FROM l a JOIN l b ON a.k = b.k GROUP BY a.k, a.customer_id, a.cl, b.cl),
         sides AS (SELECT k, customer_id, max(n) FILTER (own) AS n,
@@ -249,6 +249,51 @@ def _lloyd(steps: int) -> str:
     return ",\n".join(parts)
 
 
+def _distance(a: str, b: str) -> str:
+    """Squared distance of two lists of coordinates."""
+    return " + ".join(f"({a}[{i}] - {b}[{i}]) * ({a}[{i}] - {b}[{i}])" for i in range(1, len(COLUMNS) + 1))
+
+
+def _fits(most: int) -> str:
+    """(k, cs): the centres of every fit from 3 to `most`, from the drawn seeds until they stand still."""
+    parts = [f"points AS MATERIALIZED (SELECT customer_id, [{', '.join(f'z_{c}' for c in COLUMNS)}] AS p FROM z)"]
+    for n in range(most):  # the draw: least -ln(u) / distance from the seeds before, with u the md5 of id, 42 and round
+        near = _distance("p", "c")
+        gap = "1.0::DOUBLE" if n == 0 else near if n == 1 else f"least(d, {near})"
+        source = "points" if n == 0 else f"points CROSS JOIN seed{n - 1}" if n == 1 else f"gap{n - 1} CROSS JOIN seed{n - 1}"
+        parts.append(f"gap{n} AS MATERIALIZED (SELECT customer_id, p, {gap} AS d FROM {source})")
+        u = f"(('0x' || md5(customer_id || ':42:{n}')[1:12])::bigint + 1) / {2**48 + 1}.0"
+        parts.append(f"seed{n} AS MATERIALIZED (SELECT arg_min(p, (-ln({u}) / d, customer_id)) AS c FROM gap{n} WHERE d > 0)")
+    seeds = ", ".join(f"(SELECT c FROM seed{n})" for n in range(most))
+    means = ", ".join(f"sum((p[{i}] * 1048576)::bigint)::double / count(*) / 1048576" for i in range(1, len(COLUMNS) + 1))
+    gaps = f"list_transform(f.cs, lambda c: {_distance('p', 'c')})"
+    parts.append(
+        f"""fit AS (
+            SELECT k, 0 AS step, [{seeds}][1:k] AS cs, true AS moving FROM range(3, {most + 1}) ks(k)
+            UNION ALL
+            SELECT k, step + 1, cs, moved > 1e-4 FROM (
+                SELECT k, any_value(step) AS step, list(c ORDER BY i) AS cs, sum({_distance('c', 'old')}) AS moved FROM (
+                    SELECT o.k, o.step, o.i, o.old, coalesce(n.c, o.old) AS c
+                    FROM (SELECT k, step, unnest(range(1, k + 1)) AS i, unnest(cs) AS old FROM fit WHERE moving AND step < 300) o
+                    LEFT JOIN (SELECT k, i, [{means}] AS c
+                               FROM (SELECT f.k, p, list_position({gaps}, list_min({gaps})) AS i
+                                     FROM fit f CROSS JOIN points WHERE f.moving AND f.step < 300)
+                               GROUP BY k, i) n ON n.k = o.k AND n.i = o.i)
+                GROUP BY k))"""
+    )
+    parts.append("fitted AS MATERIALIZED (SELECT k, arg_max(cs, step) AS cs FROM fit GROUP BY k)")
+    zs = f"[{', '.join(f'z_{c}' for c in COLUMNS)}]"
+    gaps = f"list_transform(cs, lambda c: {_distance(zs, 'c')})"
+    return ",\n".join(parts) + "," + _silhouette(f"SELECT k, list_position({gaps}, list_min({gaps})) AS cl, z.* FROM fitted CROSS JOIN z")
+
+
+_BEST_K = "(SELECT min(k) FROM scores WHERE silhouette = (SELECT max(silhouette) FROM scores))"
+
+
+def _fitted_query(body: str) -> str:
+    return _query("SELECT 1", "z").replace("WITH ", "WITH RECURSIVE ", 1).replace("\nSELECT 1", f",\n{_fits(8)}\n{body}")
+
+
 SPREAD = {k: [[-1.0 + 2.0 * i / (k - 1)] * len(COLUMNS) for i in range(k)] for k in range(3, 9)}
 
 _NEEDS: dict[str, list[str]] = {
@@ -496,14 +541,16 @@ ORACLES: dict[str, str] = {
         "SELECT customer_id, " + ", ".join(f"round(z_{c}, 6) AS {c}" for c in COLUMNS) + " FROM z", "z"
     ),
     "silhouette_fixed": _query("SELECT k::int AS k, round(silhouette, 5) AS silhouette FROM scores", "z").replace(
-        "\nSELECT k::int", f",{_silhouette({4: CENTERS})}\nSELECT k::int"
+        "\nSELECT k::int", f",{_silhouette(_labels({4: CENTERS}))}\nSELECT k::int"
     ),
     "choose_k_fixed": _query(
         """SELECT k::int AS k, round(silhouette, 5) AS silhouette,
                   k = (SELECT min(k) FROM scores WHERE silhouette = (SELECT max(silhouette) FROM scores)) AS chosen
            FROM scores""",
         "z",
-    ).replace("\nSELECT k::int", f",{_silhouette(SPREAD)}\nSELECT k::int"),
+    ).replace("\nSELECT k::int", f",{_silhouette(_labels(SPREAD))}\nSELECT k::int"),
+    "kmeans_choose_k": _fitted_query(f"SELECT k::int AS k, round(silhouette, 5) AS silhouette, k = {_BEST_K} AS chosen FROM scores"),
+    "customer_clusters": _fitted_query(f"SELECT customer_id, (cl - 1)::int AS cluster_id, {', '.join(COLUMNS)} FROM l WHERE k = {_BEST_K}"),
     "lloyd_fixed": _query(
         "SELECT c.cl::int AS cluster_id, "
         + ", ".join(f"round(any_value(c.z_{c}), 4) AS {c}" for c in COLUMNS)

@@ -246,7 +246,7 @@ def _insert_new_dates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _clean_items(spark: SparkSession, d: str) -> DataFrame:
-    return silver.clean_items(sales.items_with_ids(spark, d), sales.orders(spark, d))
+    return silver.clean_items(sales.items_with_ids(spark, d), sales.orders(spark, d), measured=sales.items(spark, d))
 
 
 def _metrics_as_of(spark: SparkSession, d: str, as_of: str | None) -> DataFrame:
@@ -332,7 +332,7 @@ def _choose_k(spark: SparkSession, d: str) -> DataFrame:
     features = stage(_features(spark, d))
     best, scores, _ = choose_k(standardize(features, COLUMNS), "customer_id", COLUMNS)
     return spark.createDataFrame(
-        [(k, float(s), k == best) for k, s in scores.items()], "k int, silhouette double, chosen boolean"
+        [(k, round(float(s), 5), k == best) for k, s in scores.items()], "k int, silhouette double, chosen boolean"
     )
 
 

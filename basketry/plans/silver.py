@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..operators.hot_keys import join_heavy
+
 # Order status.
 COMPLETED = "completed"
 RETURNED = "returned"
@@ -38,15 +40,15 @@ def valid_items(items: DataFrame) -> DataFrame:
     return items.filter(_VALID)
 
 
-def clean_items(items: DataFrame, orders: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def clean_items(items: DataFrame, orders: DataFrame, carry: list[str] | None = None, measured: DataFrame | None = None) -> DataFrame:
     """Valid items of non-cancelled orders, with the order columns named in `carry` added.
 
-    Both filters and the needed columns reach the scans. An order holding very many items is a skewed join
-    key that adaptive execution splits: nothing downstream needs the rows kept together by order.
+    Both filters and the needed columns reach the scans. An order holding very many items is spread over tasks (see
+    `join_heavy`; `measured`, if given, has the items' order ids and is cheaper to read).
     """
     carry = carry or []
     parents = non_cancelled(orders).select("order_id", *carry)
-    return valid_items(items).join(parents, "order_id").select(*items.columns, *carry)
+    return join_heavy(valid_items(items), parents, "order_id", measured).select(*items.columns, *carry)
 
 
 def register_views(orders: DataFrame, items: DataFrame) -> None:

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators.quality import dq_report, order_rollup
-from basketry.plans import customer360 as c360
+from basketry.operators.hot_keys import heavy_keys, join_heavy
+from basketry.plans import customer360 as c360, silver
 from basketry.plans.cohorts import cohort_retention
 
 SETTINGS = {
@@ -46,12 +47,41 @@ def final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_order_is_split_in_the_line_join(hot):
-    revenue = c360.category_revenue(hot["items"], hot["orders"], hot["products"])
-    assert "skew=true" in final_plan(revenue)
+@pytest.fixture
+def fixed(spark):
+    """No adaptive execution: what a plan says is what runs."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def sizes(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_hot_order_is_split_in_the_line_join(hot, fixed):
+    clean = silver.clean_items(hot["items"], hot["orders"], ["customer_id"])
+    rows = sizes(clean)
+    assert sum(rows) == N and clean.select("order_item_id").distinct().count() == N
+    assert len(rows) == 16 and rows[-1] <= 2 * rows[8]
+    assert sizes(hot["items"].join(hot["orders"], "order_id"))[-1] > N // 3  # what it would be otherwise
+
+
+def test_hot_product_is_split(hot, fixed):
+    items = hot["items"].withColumn("product_id", F.when(F.col("order_item_id") % 2 == 0, 5).otherwise(F.col("product_id")))
+    assert heavy_keys(items, "product_id", 16)[0][0] == 5
+    assert sizes(join_heavy(items, hot["products"], "product_id"))[-1] < N // 4
+    revenue = c360.category_revenue(items, hot["orders"], hot["products"])
     assert revenue.agg(F.sum("cat_revenue")).first()[0] == N
 
 
+def test_no_key_is_heavy(hot, spark):
+    even = spark.range(0, N, 1, 8).select((F.col("id") % 30_000).alias("order_id"), "id")
+    assert heavy_keys(even, "order_id", 16) == [] == heavy_keys(even.limit(0), "order_id", 16)
+    joined = join_heavy(even.withColumn("order_id", F.when(F.col("id") > 5, F.col("order_id"))), hot["orders"], "order_id")
+    assert joined.count() == N - 6  # NULL keys match nothing
+
+
 def test_hot_order_collapses_before_the_shuffle(hot):
     units = c360.items_per_order(hot["items"])
     plan = units._jdf.queryExecution().executedPlan().toString()
