@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, IntegralType, StringType, StructField, StructType
 
 from ..schemas import SCHEMAS
+from .quoted_lines import quoted_records
 
 # Which file feeds which raw table.
 RAW_FILES = {
@@ -42,7 +43,7 @@ def read_raw(spark: SparkSession, folder: str, table: str, line_breaks: bool = F
     """One headered CSV as a typed raw table. Columns are matched by name, in any order.
 
     A column the file lacks is NULL; a column the table lacks is an error, as is a missing file. With
-    `line_breaks` a quoted cell may hold line breaks; each file is then read by one task.
+    `line_breaks` a quoted cell may hold line breaks; files are split all the same (see quoted_lines.py).
     """
     file = next(f for f, t in RAW_FILES.items() if t == table)
     path = f"{folder.rstrip('/')}/{file}"
@@ -59,7 +60,11 @@ def read_raw(spark: SparkSession, folder: str, table: str, line_breaks: bool = F
         raise ValueError(f"{path}: columns not in {table}: {', '.join(unknown)}")
     as_text = StructType([StructField(name, StringType()) for name in header])
     # RFC 4180 quoting: quotes inside a quoted cell are doubled.
-    rows = spark.read.schema(as_text).options(header=True, mode="FAILFAST", escape='"', multiLine=line_breaks).csv(path)
+    if line_breaks:
+        cells = F.from_csv("value", ", ".join(f"`{name}` string" for name in header), {"mode": "FAILFAST", "escape": '"'})
+        rows = quoted_records(spark, path).select(cells.alias("row")).select("row.*")
+    else:
+        rows = spark.read.schema(as_text).options(header=True, mode="FAILFAST", escape='"').csv(path)
     return rows.select(
         *[
             _typed(f.name, f.dataType) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)

@@ -17,16 +17,23 @@ _used: set[str] = set()  # applications that have staged something
 def shared_dir(spark: SparkSession) -> str:
     """This application's part of the folder the session names, or else of its warehouse folder.
 
-    Both are shared by all executors of a cluster; no folder of a single machine is ever used.
+    On a cluster that has to be a folder all executors share: a path of a single machine is refused there.
     """
     context = spark.sparkContext
     folder = spark.conf.get(_DIR_KEY, None) or context.getCheckpointDir()
     if not folder:
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    if not usable(context.master, folder):
+        raise RuntimeError(f"{folder} is a folder of one machine: set spark.checkpoint.dir to one that all executors share")
     _used.add(context.applicationId)
     return f"{folder.rstrip('/')}/basketry-{context.applicationId}"
 
 
+def usable(master: str, folder: str) -> bool:
+    """Whether executors can share `folder`: any of a file system, and a local path that was named on purpose or with a local master."""
+    return master.startswith("local") or not folder.startswith(("/", "file:")) or not folder.endswith("/_staged")
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder and return it as a table with no lineage."""
     spark = df.sparkSession

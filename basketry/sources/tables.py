@@ -129,8 +129,9 @@ def publish(spark: SparkSession, root: str, database: str = "retail") -> None:
             continue
         names = ", ".join(SCHEMAS[table].names)
         none = "SELECT " + ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in SCHEMAS[table]) + " WHERE false"
-        text = " UNION ALL ".join(f"SELECT {names} FROM parquet.`{place}`" for place in places) or none
-        spark.sql(f"CREATE VIEW {database}.{table} AS {text}")
+        hadoop_path, fs = versions.file_system(spark, table_path(root, table))
+        every = f"{fs.makeQualified(hadoop_path).toString()}/data/{{{','.join(p.folder for p in parts)}}}"  # one relation over all folders
+        spark.sql(f"CREATE VIEW {database}.{table} AS " + (f"SELECT {names} FROM parquet.`{every}`" if parts else none))
     from ..plans.silver import VIEW_SQL
 
     for view, (needs, text) in VIEW_SQL.items():

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import csv
 import os
+import random
 from datetime import date
 from decimal import Decimal
 from pathlib import Path
@@ -11,7 +13,8 @@ from helpers import frame
 from basketry.plans.bronze import build_dims, build_facts, load_raw, upsert_table
 from basketry.sources import versions
 from basketry.sources.csv_files import export_csv, read_raw
-from basketry.sources.staging import drop_staged, shared_dir, stage
+from basketry.sources.quoted_lines import starts
+from basketry.sources.staging import drop_staged, shared_dir, stage, usable
 from basketry.sources.tables import append_table, drop_table, has_table, preview, publish, read_table, replace_table, require_rows, table_version
 
 FILES = {
@@ -242,3 +245,36 @@ def test_whole_numbers_with_a_point_and_line_breaks(spark, tmp_path):
     (tmp_path / "products.csv").write_text("product_id,category,brand,unit_cost\n1.5,a,Nova,2.50\n")
     with pytest.raises(Exception, match="column product_id: not a int: 1.5"):
         read_raw(spark, str(tmp_path), "raw_products").collect()
+
+
+def test_line_breaks_in_a_file_of_many_splits(spark, tmp_path):
+    """Records as Python's csv reads them, from splits that start anywhere, inside a cell or even inside a pair of quotes."""
+    draw = random.Random(11)
+    cell = lambda: "".join(draw.choice(['a', 'é', '"', ",", "\n", "\r\n", " ", "xyz"]) for _ in range(draw.randint(1, 9))) + "."
+    rows = [(i, cell(), cell()) for i in range(400)] + [(400, "long\n" * 3000 + "end", "z")] + [(i, cell(), "q") for i in range(401, 450)]
+    path = tmp_path / "products.csv"
+    with open(path, "w", newline="") as file:
+        writer = csv.writer(file, lineterminator="\n")
+        writer.writerows([("product_id", "category", "brand"), *rows])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (path.stat().st_size // 8, 2500, 1 << 27):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            read = read_raw(spark, str(tmp_path), "raw_products", line_breaks=True)
+            assert sorted((r.product_id, r.category, r.brand) for r in read.collect()) == rows
+            splits = spark.read.text(str(path)).select("_metadata.file_block_start").distinct().count()
+            assert splits >= (6 if size < 1 << 27 else 1)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_splits_inside_a_record_know_where_it_starts():
+    quotes = {("f", 0): 3, ("f", 10): 0, ("f", 20): 2, ("f", 30): 1, ("f", 40): 0, ("g", 0): 0, ("g", 10): 1}
+    assert starts(quotes) == {("f", 10): 0, ("f", 20): 0, ("f", 30): 20}
+
+
+def test_a_folder_of_one_machine_is_refused_on_a_cluster():
+    assert usable("local[4]", "/tmp/warehouse/_staged") and usable("spark://x:7077", "hdfs://x/warehouse/_staged")
+    assert not usable("spark://x:7077", "file:/tmp/warehouse/_staged") and usable("spark://x:7077", "file:///shared/checkpoints")
