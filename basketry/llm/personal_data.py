@@ -4,8 +4,9 @@ The patterns give the base spans, which always stay. They miss what runs togethe
 each other, a phone number followed by a card, an address written with words. The field looks at the places
 where such data can be (runs of digit groups, and addresses spelled out). A segmentation of a place is a
 sequence of segments with a type, or nothing; its score is the sum of whole-segment feature weights (digit
-count, checksum, separators, lengths, neighbours). Dynamic programming over segments of bounded length
-chooses boundaries and types together; base spans are fixed segments in it.
+count, checksum, separators, lengths, neighbours) and of a weight for every two segments that follow each other with
+at most `NEAR` characters between, by their types and what parts them. Dynamic programming over segments of bounded
+length chooses boundaries and types together; base spans are fixed segments in it.
 
 The weights are trained here by conditional likelihood on at most `TRAIN_PLACES` places, those with the
 smallest hash among all where the patterns are unambiguous (every match passed its check); the patterns'
@@ -23,7 +24,8 @@ import hashlib
 import math
 import re
 import sys
-from collections import defaultdict
+from bisect import bisect_left, bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,6 +39,8 @@ TRAIN_PLACES = 2048
 EPOCHS, RATE, DECAY = 12, 0.2, 1e-3
 LONGEST = 48  # characters of a segment
 MOST_GROUPS = 8  # digit groups of a segment
+NEAR = 3  # characters between segments that follow each other closely
+_SURE = 1e6  # score of a fixed span
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -120,8 +124,10 @@ def spelled_places(text: str) -> Iterator[tuple[int, int]]:
     """Where an address may be spelled out, in whatever case and with whatever white space."""
     for m in _AT.finditer(text):
         start = m.start()
-        while start > 0 and m.start() - start < LONGEST and text[start - 1] in LOCAL:
+        while start > 0 and m.start() - start <= LONGEST and text[start - 1] in LOCAL:
             start -= 1
+        if m.start() - start > LONGEST:
+            continue  # no segment holds it, and a part of it is no address
         end = _SPELLED.match(text, m.end())
         if start < m.start() and end and re.search(r"dot", end.group(), re.I):
             yield start, end.end()
@@ -172,32 +178,40 @@ def _score(features: list[str], weights: dict[str, float]) -> float:
     return sum(weights.get(f, 0.0) for f in features)
 
 
-def best_segments(found: list, weights: dict[str, float], fixed: list[Span]) -> list[Span]:
-    """The segmentation with the highest score among those that keep the fixed spans."""
-    usable = []
-    for start, end, kind, features in found:
-        if any(s < end and start < e for s, e, _ in fixed):
-            continue  # the fixed span has this place
-        score = _score(features, weights)
-        if score > 0:
-            usable.append((start, end, kind, score))
-    best: list[tuple[float, int, int]] = [(0.0, -1, -1)]  # after the first i segments: score, segment used, state before it
-    ends = [u[1] for u in usable]
-    for i, (start, _, _, score) in enumerate(usable):
-        before = 0
-        lo, hi = 0, i
-        while lo < hi:  # segments that end at or before this start
-            middle = (lo + hi) // 2
-            lo, hi = (middle + 1, hi) if ends[middle] <= start else (lo, middle)
-        before = lo
-        taken = best[before][0] + score
-        best.append((taken, i, before) if taken > best[i][0] else (best[i][0], -1, i))
-    spans, at = [], len(usable)
-    while at > 0:
-        _, used, before = best[at]
-        if used >= 0:
-            spans.append(usable[used][:3])
-        at = before
+def link(text: str, left: tuple, right: tuple) -> str:
+    """The feature of two segments that follow each other closely."""
+    between = text[left[1] : right[0]]
+    return f"{left[2]}>{right[2]} by {'nothing' if not between else 'space' if between.isspace() else 'mark'}"
+
+
+def _near(found: list) -> list[list[int]]:
+    """For every segment those that end at most NEAR characters before it; `found` is in order of ends."""
+    ends = [f[1] for f in found]
+    return [list(range(bisect_left(ends, f[0] - NEAR), bisect_right(ends, f[0]))) for f in found]
+
+
+def best_segments(text: str, found: list, weights: dict[str, float], fixed: list[Span]) -> list[Span]:
+    """The segments, beside the fixed spans, of the segmentation with the highest score that keeps these; ties: the first found."""
+    kept = sorted(s for s in fixed)
+    usable = [f for f in found if not any(s < f[1] and f[0] < e for s, e, _ in kept)]
+    usable = sorted([*usable, *((s, e, k, None) for s, e, k in kept)], key=lambda f: (f[1], f[0], f[2]))
+    ends, near = [f[1] for f in usable], _near(usable)
+    score, back = [], []  # of the best segmentation that ends with segment i, and the segment before it
+    best = [(0.0, -1)]  # after the first i segments
+    for i, f in enumerate(usable):
+        own = _score(f[3], weights) if f[3] is not None else _SURE
+        value, before = best[bisect_left(ends, f[0] - NEAR)]  # those that end farther away; the near ones follow
+        for j in near[i]:
+            if j < i and (linked := score[j] + weights.get(link(text, usable[j], f), 0.0)) > value:
+                value, before = linked, j
+        score.append(value + own)
+        back.append(before)
+        best.append((score[i], i) if score[i] > best[i][0] else best[i])
+    spans, at = [], best[-1][1]
+    while at >= 0:
+        if usable[at][3] is not None:
+            spans.append(usable[at][:3])
+        at = back[at]
     return spans[::-1]
 
 
@@ -209,40 +223,48 @@ def train(cases: list[tuple[str, list[Span]]], epochs: int = EPOCHS, rate: float
         found = segments(text, 0, len(text))
         gold = {(s, e, k) for s, e, k in spans}
         if found and gold <= {f[:3] for f in found}:
-            prepared.append((found, [f[:3] in gold for f in found]))
+            prepared.append((text, found, [f[:3] in gold for f in found]))
     for _ in range(epochs):
-        for found, gold in prepared:
-            for (_, _, _, features), share, is_gold in zip(found, _marginals(found, weights), gold):
+        for text, found, gold in prepared:
+            shares, links = _marginals(text, found, weights)
+            chosen = [i for i, x in enumerate(gold) if x]
+            true = Counter((i, j) for i, j in zip(chosen, chosen[1:]) if found[j][0] - found[i][1] <= NEAR)
+            for (_, _, _, features), share, is_gold in zip(found, shares, gold):
                 step = rate * (is_gold - share)
                 if step:
                     for f in features:
                         weights[f] += step - rate * decay * weights[f]
+            for (i, j), share in links.items():
+                step, f = rate * (true[i, j] - share), link(text, found[i], found[j])
+                weights[f] += step - rate * decay * weights[f]
     return dict(weights)
 
 
-def _marginals(found: list, weights: dict[str, float]) -> list[float]:
-    """Probability of every segment under the field: forward and backward sums over the places' ends."""
-    points = sorted({p for s, e, *_ in found for p in (s, e)})
-    place = {p: i for i, p in enumerate(points)}
-    scores = [_score(f[3], weights) for f in found]
-    n = len(points)
-    ahead = [0.0] * n  # log sums over segmentations up to a point
-    ending, starting = defaultdict(list), defaultdict(list)
+def _sum(logs: list[float]) -> float:
+    most = max(logs)
+    return most + math.log(sum(math.exp(x - most) for x in logs))
+
+
+def _marginals(text: str, found: list, weights: dict[str, float]) -> tuple[list[float], dict[tuple[int, int], float]]:
+    """Probability under the field of every segment, and of every two that follow each other closely.
+
+    Forward sums go over segments in order of their ends, backward sums the other way; places in training are short.
+    """
+    own, ends, near = [_score(f[3], weights) for f in found], [f[1] for f in found], _near(found)
+    ahead: list[float] = []  # of segmentations that end with a segment
+    upto = [0.0]  # of those that use the first i segments at most
+    bonus = {(j, i): weights.get(link(text, found[j], found[i]), 0.0) for i, before in enumerate(near) for j in before if j < i}
     for i, f in enumerate(found):
-        ending[place[f[1]]].append(i)
-        starting[place[f[0]]].append(i)
-    add = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b)))
-    for p in range(1, n):
-        ahead[p] = ahead[p - 1]
-        for i in ending[p]:
-            ahead[p] = add(ahead[p], ahead[place[found[i][0]]] + scores[i])
-    behind = [0.0] * n
-    for p in range(n - 2, -1, -1):
-        behind[p] = behind[p + 1]
-        for i in starting[p]:
-            behind[p] = add(behind[p], behind[place[found[i][1]]] + scores[i])
-    whole = ahead[n - 1]
-    return [math.exp(min(0.0, ahead[place[f[0]]] + scores[i] + behind[place[f[1]]] - whole)) for i, f in enumerate(found)]
+        far = upto[bisect_left(ends, f[0] - NEAR)]
+        ahead.append(own[i] + _sum([far, *(ahead[j] + bonus[j, i] for j in near[i] if j < i)]))
+        upto.append(_sum([upto[i], ahead[i]]))
+    behind = [0.0] * len(found)  # of what may follow a segment
+    for i in sorted(range(len(found)), key=lambda i: -found[i][1]):
+        after = [k for k, f in enumerate(found) if f[0] >= found[i][1] and k != i]
+        behind[i] = _sum([0.0, *(bonus.get((i, k), 0.0) + own[k] + behind[k] for k in after)])
+    shares = [math.exp(min(0.0, a + b - upto[-1])) for a, b in zip(ahead, behind)]
+    links = {(j, i): math.exp(min(0.0, ahead[j] + w + own[i] + behind[i] - upto[-1])) for (j, i), w in bonus.items()}
+    return shares, links
 
 
 def training_cases(rows: DataFrame, most: int = TRAIN_PLACES) -> list[tuple[str, list[Span]]]:
@@ -283,7 +305,7 @@ def tag(text: str, weights: dict[str, float]) -> tuple[list[Span], list[Span]]:
     added = []
     for start, end in places(text):
         fixed = [s for s in base if s[0] < end and start < s[1]]
-        added += best_segments(segments(text, start, end), weights, fixed)
+        added += best_segments(text, segments(text, start, end), weights, fixed)
     return base, [s for s in added if not any(b[0] < s[1] and s[0] < b[1] for b in base)]
 
 

@@ -8,7 +8,7 @@ per node, so the driver sees a bounded number of rows and no task sees a whole n
 
 Heavy groups would make near equal sizes impossible if a median fell into them. Groups beyond a small share
 of a shard (their number is bounded by that share) are placed first, the largest to the emptiest shard, and
-the tree gives each leaf what is then missing. Only a group larger than a shard is cut, by hash of its ids.
+the tree gives each leaf what is then missing. Only a group larger than a shard is cut, by the rank of its rows.
 
 Defined cases: a NULL text weighs 1 like an empty one and is grouped with it. NULL metadata or ids are a
 value of their own. Repeated rows each get a slot. An empty table gives an empty result. Other input columns
@@ -153,17 +153,24 @@ def shard_documents(
     rows = stage(rows)
 
     def units_of(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("_unit").agg(F.sum("size").alias("_weight"), *[F.min(n).alias(n) for n in names.values()])
+        return rows.groupBy("_unit").agg(F.sum("size").alias("_weight"), F.count("*").alias("_rows"), *[F.min(n).alias(n) for n in names.values()])
 
     total = rows.agg(F.sum("size")).first()[0] or 0
     target = total / shards
     whole = rows.withColumn("_unit", F.col("_text"))
     larger = units_of(whole).filter(F.col("_weight") > target).collect()  # fewer than `shards`
-    part = F.lit(0)
-    for r in larger:
-        pieces = -(-r["_weight"] * 4 // max(1, int(target)))  # quarters of a shard
-        part = F.when(F.col("_text") == r["_unit"], F.pmod(F.xxhash64("doc_id"), F.lit(pieces)).cast("int") + 1).otherwise(part)
-    rows = rows.withColumn("_unit", F.xxhash64("_text", part)) if larger else whole
+    if larger:
+        # Cut by rank, not by a value: whatever the ids, missing or repeated, the pieces are even.
+        inside = F.col("_text").isin([r["_unit"] for r in larger])
+        ranked, before, part = global_rank(rows.filter(inside), ["_text", "doc_id"], "_at"), 0, F.lit(0).cast("long")
+        for r in sorted(larger, key=lambda r: r["_unit"]):
+            pieces = -(-r["_weight"] * 4 // max(1, int(target)))  # quarters of a shard
+            piece = F.call_function("div", (F.col("_at") - 1 - before) * int(pieces), F.lit(r["_rows"]).cast("long")) + 1
+            part, before = F.when(F.col("_text") == r["_unit"], piece).otherwise(part), before + r["_rows"]
+        cut = ranked.withColumn("_unit", F.xxhash64("_text", part)).drop("_at")
+        rows = stage(cut.unionByName(rows.filter(~inside).withColumn("_unit", F.col("_text"))))
+    else:
+        rows = whole
     units = stage(_coordinates(units_of(rows), list(names.values())))
 
     is_heavy = F.col("_weight") > target / HEAVY_SHARE
