@@ -35,7 +35,7 @@ BUCKET_BITS = 15
 THRESHOLD = -0.09  # mean log ratio from which a document is kept where labels do not show one
 STEPS, FARTHEST = 1024, 16  # thresholds tried: steps a unit, and units to either side of 0
 SMOOTHING = 1.0
-FOLDS = 4  # a document is scored with the counts of the other folds
+FOLDS = 2  # a document is scored with the counts of the other folds
 BROADCAST_IDS = 500_000  # labelled ids up to which they are broadcast (about 30 MB, 60 bytes each); more are joined by a shuffle
 
 
