@@ -90,7 +90,8 @@ def test_pipeline_against_plain_python(spark, folder):
 
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, str(path)).collect()}
     assert sorted(got) == [i for i, *_ in rows]
-    assert all(got[i].decoded_sha256 == brute.sha(t) and got[i].n_tokens > 0 for i, _, t in rows)
+    # On a host this small the lines of two copies are boilerplate, so a text may be left empty.
+    assert all(got[i].decoded_sha256 == brute.sha(t) and (got[i].n_tokens > 0) == bool(t) for i, _, t in rows)
 
 
 def test_stages_return_the_columns_of_documents(spark, folder):
