@@ -7,12 +7,14 @@ The most frequent pre-tokens are joined where the text is read, all others by a
 Defined cases: a NULL text is empty; an empty text has no bytes and no tokens. The vocabulary's special
 tokens inside a text are cut out first and count as one token each. Repeated rows each get a result, NULL
 ids are carried along. An empty table gives an empty result. Other columns do not matter, whatever their names.
+Texts within Latin-1 are cut by `re`, twice as fast as `regex` and by the same classes; all others by `regex`.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import sys
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -31,6 +33,38 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 _COUNTED_AT_ONCE = 10_000
+_CLASSES = (r"\p{L}", r"\p{N}", r"\s", r"\S")  # in which `re` and `regex` differ, or that `re` lacks
+
+
+def in_ranges(pattern: str) -> str | None:
+    """`pattern` for texts within Latin-1, its character classes written out, as the standard library's faster `re` takes it.
+
+    The ranges are what `regex` itself finds among these characters. None if anything else in the pattern might mean
+    something different to `re`.
+    """
+    plain = pattern
+    for name in _CLASSES:
+        plain = plain.replace(name, "x")
+    if set(plain) & set("\\{}&~-") or "[[" in pattern or re.search(r"\(\?(?![:=!])|\[\^?\]|[*+?][*+?]|\|\|", plain):
+        return None
+    every = "".join(map(chr, range(256)))
+
+    def ranges(name: str) -> str:
+        found = (m.span() for m in regex.finditer(f"{name}+", every))
+        return "".join(rf"\x{start:02x}-\x{end - 1:02x}" for start, end in found)
+
+    written = {name: ranges(name) for name in _CLASSES if name in pattern}
+    made, inside, at = [], False, 0
+    while at < len(pattern):
+        name = next((n for n in written if pattern.startswith(n, at)), None)
+        if name is None:
+            inside = pattern[at] == "[" or inside and pattern[at] != "]"
+            made.append(pattern[at])
+            at += 1
+            continue
+        made.append(written[name] if inside else f"[{written[name]}]")
+        at += len(name)
+    return "".join(made)
 
 
 class _Splitter:
@@ -40,8 +74,16 @@ class _Splitter:
         with open(vocabulary, encoding="utf-8") as file:
             special = [t["content"] for t in json.load(file)["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.spans = regex.compile(pattern).finditer
-        self.all = regex.compile(pattern).findall
+        self.any = regex.compile(pattern).findall
+        written = in_ranges(pattern)
+        self.latin = self.any if written is None else re.compile(written).findall
+
+    def all(self, text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.any(text)
+        return self.latin(text)
 
     def __call__(self, text: str) -> tuple[list[str], int]:
         if self.special is None or not self.special.search(text):
