@@ -35,7 +35,7 @@ def global_rank(df: DataFrame, order_by: list[str], name: str = "rank") -> DataF
         .sortWithinPartitions(*order_by, "_position")
         .withColumn("_position", F.monotonically_increasing_id())
     )
-    placed = stage(placed)
+    placed = stage(placed, "zstd")
     partition = F.shiftright("_position", _ROW_BITS)
     sizes = placed.groupBy(partition.alias("p")).agg(F.count("*").alias("n")).collect()
     before, offsets = 0, {}

@@ -118,7 +118,7 @@ def customer_360(
     """
     known = products.select("product_id", "category", F.lit(True).alias("known"))
     lines = valid_items(items).join(known, "product_id", "left").groupBy("order_id", "category", "known")
-    lines = stage(lines.agg(F.sum("quantity").alias("units"), F.sum("line_total").alias("revenue")))
+    lines = stage(lines.agg(F.sum("quantity").alias("units"), F.sum("line_total").alias("revenue")), "zstd")
     per_order = lines.groupBy("order_id").agg(F.sum("units").alias("items_per_order"))
     with_units = non_cancelled(orders).join(per_order, "order_id", "left")
     units, n = F.sum("items_per_order").cast("decimal(20,0)"), F.count("items_per_order")

@@ -197,11 +197,11 @@ def _recreated_clusters(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _daily_job(spark: SparkSession, d: str) -> DataFrame:
-    """The metrics mart that the whole job leaves, from CSV files."""
+    """The metrics mart that the whole job leaves, from compressed CSV files."""
     folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     inputs = {"customers": sales.customers, "products": sales.products, "orders": sales.orders, "order_items": sales.items_with_ids}
     for name, rows in inputs.items():
-        export_csv(rows(spark, d), f"{folder}/raw/{name}.csv")
+        export_csv(rows(spark, d), f"{folder}/raw/{name}.csv", "gzip")
     root, _ = run_all(spark, f"{folder}/raw", f"{folder}/out", sales.AS_OF, tidy=False)
     return read_table(spark, root, "mart_customer_metrics")
 

@@ -73,6 +73,6 @@ def read_raw(spark: SparkSession, folder: str, table: str, line_breaks: bool = F
     )
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """Headered CSV, one file per partition, replacing what was there."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def export_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Headered CSV, one file per partition, replacing what was there. `read_raw` takes compressed files as well."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path, compression=compression)

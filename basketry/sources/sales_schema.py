@@ -59,7 +59,7 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the discounts of their lines summed up; plans that do not use the sum skip the lines."""
-    discount = (_hundredths("l_extendedprice") * _hundredths("l_discount")).cast("decimal(18,0)")
+    discount = _hundredths("l_extendedprice") * _hundredths("l_discount")  # whole numbers: a sum of longs is half a decimal's size
     discounts = _read(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.sum(discount).alias("discount"))
     rows = _read(spark, folder, "orders")
     status = F.lit(None).cast("string")
@@ -73,7 +73,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
             status.alias("status"),
             F.col("o_orderpriority").alias("payment_type"),
             F.col("o_totalprice").alias("order_total"),
-            F.coalesce(_scaled(F.col("discount"), 4, "decimal(12,2)"), F.lit(0)).alias("discount_total"),
+            F.coalesce(_scaled(F.col("discount").cast("decimal(19,0)"), 4, "decimal(12,2)"), F.lit(0)).alias("discount_total"),
             F.lit(0).alias("shipping_total"),
         ),
         "raw_orders",

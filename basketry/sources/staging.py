@@ -34,11 +34,11 @@ def usable(master: str, folder: str) -> bool:
     return master.startswith("local") or not folder.startswith(("/", "file:")) or not folder.endswith("/_staged")
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and return it as a table with no lineage."""
+def stage(df: DataFrame, compression: str | None = None) -> DataFrame:
+    """Write `df` to the shared folder and return it as a table with no lineage; whole tables are worth a denser `compression`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

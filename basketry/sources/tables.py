@@ -9,6 +9,8 @@ from ..schemas import CLUSTERED_BY, KEYS, SCHEMAS, SLICED_BY, conform
 from . import versions
 from .versions import Part, Version
 
+COMPRESSION = "zstd"  # of stored tables: they are written once and read often
+
 
 def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
@@ -27,8 +29,8 @@ def table_version(spark: SparkSession, root: str, table: str) -> Version | None:
 
 
 def read_parts(spark: SparkSession, root: str, table: str, parts: list[Part]) -> DataFrame:
-    if not parts:
-        return spark.createDataFrame([], SCHEMAS[table])
+    if not parts:  # known to be empty when a query is planned, so that a first load is not shuffled to meet it
+        return spark.range(1).filter(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS[table]])
     return spark.read.schema(SCHEMAS[table]).parquet(*_paths(root, table, parts))
 
 
@@ -52,11 +54,11 @@ def write_parts(df: DataFrame, root: str, table: str) -> list[Part]:
         rows = rows.repartitionByRange(*order)
     try:
         if table not in SLICED_BY:
-            (rows.sortWithinPartitions(*order) if order else rows).write.parquet(path)
+            (rows.sortWithinPartitions(*order) if order else rows).write.parquet(path, compression=COMPRESSION)
             return [Part(folder)]
         # The slice comes first in the order, or the writer would sort once more, by the slice alone.
         rows = rows.withColumn("_slice", slice_of(table)).sortWithinPartitions("_slice", *order)
-        rows.write.partitionBy("_slice").parquet(path)
+        rows.write.partitionBy("_slice").parquet(path, compression=COMPRESSION)
     except Exception:
         versions.delete(spark, path)
         raise
