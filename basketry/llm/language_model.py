@@ -49,7 +49,7 @@ CONTEXTS = 3
 TABLE_BITS = 22
 SCALE = 16.0  # table bytes per unit of log odds
 PRIOR = 0.4  # added to both outcomes of a slot
-BLOCK, LANES = 256, 192
+BLOCK, LANES = 256, 24  # what a block of all lanes needs stays in a core's cache
 GATES, BUCKETS = 4, 32
 WEIGHT, WEIGHT_RATE = 0.4, 0.6
 MAP_PRIOR = 40.0  # decisions that the map's start value weighs
@@ -106,33 +106,62 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint32(13))
 
 
+_STEP = 0x01000193  # per byte of the word so far
+_UNSTEP = pow(_STEP, -1, 1 << 32)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # the powers of both, of as many places as were needed so far
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """_STEP ** (i + 2) and _UNSTEP ** i for i < n, modulo 2^32."""
+    if 0 not in _POWERS or len(_POWERS[0][0]) < n:
+        up, down = np.full(2 * n, _STEP, np.uint32), np.full(2 * n, _UNSTEP, np.uint32)
+        up[0], down[0] = _STEP * _STEP & 0xFFFFFFFF, 1
+        _POWERS[0] = (np.cumprod(up, dtype=np.uint32), np.cumprod(down, dtype=np.uint32))
+    up, down = _POWERS[0]
+    return up[:n], down[:n]
+
+
+def _word_so_far(raw: np.ndarray) -> np.ndarray:
+    """Of every place from BACK on: the sum of (byte + 1) * _STEP ** (distance + 1) over the word bytes right before it, BACK at most.
+
+    One running sum serves all words: powers of the inverse of _STEP make the summands alike, and what stands before a
+    word is taken off.
+    """
+    up, down = _powers(len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint32)
+    np.cumsum((raw + np.uint32(1)) * down, dtype=np.uint32, out=sums[1:])
+    places = np.arange(len(raw))
+    begin = np.maximum.accumulate(np.where((raw > 32) & (raw != END), 0, places + 1))[BACK - 1 : -1]
+    np.maximum(begin, places[: len(begin)], out=begin)
+    return (sums[BACK:-1] - sums[begin]) * up[BACK - 1 : -1]
+
+
 def contexts(raw: np.ndarray) -> list[np.ndarray]:
     """Hash of every context before each place of `raw` from BACK on."""
     n = len(raw) - BACK
-    back = [raw[BACK - j : BACK - j + n].astype(np.uint32) for j in range(1, BACK + 1)]
+    back = [raw[BACK - j : BACK - j + n].astype(np.uint32) for j in range(1, 6)]
     three = back[0] | back[1] << np.uint32(8) | back[2] << np.uint32(16)
     five = (three | back[3] << np.uint32(24)) * np.uint32(0x2545F491) ^ back[4]
-    word, alive = np.zeros(n, np.uint32), np.ones(n, bool)
-    for j, b in enumerate(back):
-        alive &= (b > 32) & (b != END)
-        word += (b + np.uint32(1)) * np.uint32((0x01000193 ** (j + 2)) & 0xFFFFFFFF) * alive
-    return [_mixed(three, 1), _mixed(five, 2), _mixed(word, 3)]
+    return [_mixed(three, 1), _mixed(five, 2), _mixed(_word_so_far(raw), 3)]
 
 
-def _decisions(raw: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For the symbols of `raw`: their numbers of decisions, and node hash and turn of every decision."""
+def _decisions(raw: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For the symbols of `raw`: their numbers of decisions, and of every decision its symbol's place, node hash and turn."""
     lengths = code.length[raw]
-    ends = np.cumsum(lengths)
-    flat = np.repeat(code.first[raw] - (ends - lengths), lengths)
+    of = np.repeat(np.arange(len(raw)), lengths)
+    flat = (code.first[raw] - (np.cumsum(lengths) - lengths))[of]
     flat += np.arange(len(flat))
-    return lengths, code.nodes[flat], code.turns[flat]
+    return lengths, of, code.nodes[flat], code.turns[flat]
 
 
 _SHIFT = np.uint32(32 - TABLE_BITS)
 
 
-def _slots(hashes: np.ndarray, lengths: np.ndarray, node_hash: np.ndarray) -> np.ndarray:
-    return (np.repeat(hashes, lengths) + node_hash) >> _SHIFT
+def _slots(hashes: np.ndarray, of: np.ndarray, node_hash: np.ndarray) -> np.ndarray:
+    slots = hashes[of]
+    slots += node_hash
+    slots >>= _SHIFT
+    return slots
 
 
 def lowered(text: str | None) -> bytes:
@@ -178,34 +207,48 @@ class Scorer:
             starts = np.append(0, np.cumsum(sizes)[:-1])
             for j in range(BACK):
                 inside[starts + j] = False
-            keep = inside[BACK:]
-            lengths, node_hash, turn = _decisions(raw[BACK:][keep], self.code)
+            keep = np.flatnonzero(inside[BACK:])
+            lengths, of, node_hash, turn = _decisions(raw[BACK:][keep], self.code)
             per_lane = np.add.reduceat(lengths, starts - BACK * np.arange(live))
-            lane = np.repeat(np.arange(live), per_lane)
-            inputs = [self.tables[k][_slots(hashes[k][keep], lengths, node_hash)] for k in range(CONTEXTS)]
+            lane = np.arange(live).repeat(per_lane)
+            place = keep[of]
+            inputs = [self.tables[k][_slots(hashes[k], place, node_hash).astype(np.int64)] for k in range(CONTEXTS)]
             gate = lane * GATES  # by the longer contexts that were ever seen
             for k in range(1, CONTEXTS):
-                gate += (inputs[k] != 0) * k
+                gate += (inputs[k] != 0).view(np.int8) * np.int8(k)
             inputs = [x * unit for x in inputs]
-            mix = weights[0][gate] * inputs[0]
+            mix = weights[0].take(gate)
+            mix *= inputs[0]
             for k in range(1, CONTEXTS):
-                mix += weights[k][gate] * inputs[k]
+                part = weights[k].take(gate)
+                part *= inputs[k]
+                mix += part
             np.clip(mix, -7.9, 7.9, out=mix)
-            p = 1 / (1 + np.exp(-mix))
-            bucket = (mix * 2 + np.float32(BUCKETS / 2)).astype(np.int64)
-            bucket += lane * BUCKETS
-            refined = (hits[: live * BUCKETS] / seen[: live * BUCKETS])[bucket]
+            p = np.exp(-mix)
+            p += 1
+            np.divide(1, p, out=p)
+            mix *= 2
+            mix += np.float32(BUCKETS / 2)
+            bucket = lane * BUCKETS
+            bucket += mix.astype(np.int8)
+            refined = (hits[: live * BUCKETS] / seen[: live * BUCKETS]).take(bucket)
             refined += p
+            refined *= np.float32(0.5)
             turned = turn.astype(np.float32)
-            given = np.abs((1 - turned) - refined * np.float32(0.5))
-            logs[:live] += np.add.reduceat(np.log(given), np.append(0, np.cumsum(per_lane)[:-1]), dtype=np.float64)
             error = turned - p
+            np.subtract(1 - turned, refined, out=refined)
+            np.abs(refined, out=refined)
+            logs[:live] += np.add.reduceat(np.log(refined, out=refined), np.append(0, np.cumsum(per_lane)[:-1]), dtype=np.float64)
             count = np.bincount(gate, minlength=live * GATES) + 4.0
             for k in range(CONTEXTS):
-                step = np.bincount(gate, weights=error * inputs[k], minlength=live * GATES) / count
+                inputs[k] *= error
+                step = np.bincount(gate, weights=inputs[k], minlength=live * GATES) / count
                 weights[k][: live * GATES] += (WEIGHT_RATE * step).astype(np.float32)
-            seen[: live * BUCKETS] += np.bincount(bucket, minlength=live * BUCKETS).astype(np.float32)
-            hits[: live * BUCKETS] += np.bincount(bucket, weights=turned, minlength=live * BUCKETS).astype(np.float32)
+            bucket *= 2
+            bucket += turn
+            both = np.bincount(bucket, minlength=2 * live * BUCKETS).reshape(-1, 2).astype(np.float32)
+            seen[: live * BUCKETS] += both[:, 0] + both[:, 1]
+            hits[: live * BUCKETS] += both[:, 1]
         return logs / math.log(10)
 
 
@@ -265,11 +308,12 @@ def _slot_odds(texts: DataFrame, code: Code) -> DataFrame:
         total = np.zeros((CONTEXTS, 2 << TABLE_BITS), np.int32)
 
         def count(raw: np.ndarray, counted: np.ndarray) -> None:
-            hashes = [h[counted] for h in contexts(raw)]
-            lengths, node_hash, turn = _decisions(raw[BACK:][counted], code)
-            for k in range(CONTEXTS):
-                slots, n = np.unique(_slots(hashes[k], lengths, node_hash) * np.uint32(2) + turn, return_counts=True)
-                total[k][slots] += n.astype(np.int32)
+            symbols = raw[BACK:][counted]
+            for k, hashes in enumerate(contexts(raw)):  # a symbol that follows the same context again takes the same slots
+                pairs, n = np.unique(hashes[counted].astype(np.uint64) << np.uint64(8) | symbols, return_counts=True)
+                _, of, node_hash, turn = _decisions((pairs & np.uint64(0xFF)).astype(np.uint8), code)
+                slots = _slots((pairs >> np.uint64(8)).astype(np.uint32), of, node_hash)
+                np.add.at(total[k], slots * np.uint32(2) + turn, n.astype(np.int32)[of])
 
         def in_parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
             """Texts put together, and longer ones in parts that overlap by BACK bytes."""
