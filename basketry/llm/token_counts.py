@@ -104,7 +104,7 @@ def distinct_pretokens(texts: DataFrame, vocabulary: str, pattern: str) -> DataF
         for batch in batches:
             for text in batch.column(0):
                 seen.update(split(text.as_py())[0])
-                if len(seen) >= 1 << 20:
+                if len(seen) >= 1 << 19:
                     yield out()
                     seen = Counter()
         yield out()

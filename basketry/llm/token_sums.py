@@ -11,7 +11,9 @@ Keys are hashes that are checked to be unique among the table's tokens; if two t
 from __future__ import annotations
 
 import sys
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 HEAD = 1 << 20  # tokens that are broadcast, 16 bytes each
 BLOCK_BYTES = 16 << 20  # of text that is taken together
 BLOCK_ROWS = 1 << 15
-_REMEMBERED = 1 << 20  # tokens whose place a task remembers
+_REMEMBERED = 1 << 19  # tokens whose place a task remembers
+_LOOKED_UP = 1 << 18  # tokens whose places are looked up together
 _EXACT, _STEPS = 1024, 8  # frequencies up to the first are told apart, beyond it some steps per doubling
 
 
@@ -36,9 +39,11 @@ def _step(n: Column) -> Column:
     return F.when(n <= _EXACT, n).otherwise(F.lit(_EXACT) + beyond)
 
 
-def keyed(tokens: DataFrame) -> tuple[DataFrame, str]:
-    """(key, value, n) of (token, value, n) as a stored table, and the salt that makes the keys unique."""
-    tokens = stage(tokens.select(F.col("token").cast("binary").alias("token"), F.col("value").cast("long").alias("value"), F.col("n").cast("long").alias("n")))
+def keyed(tokens: DataFrame, stored: bool = False) -> tuple[DataFrame, str]:
+    """(key, value, n) of (token, value, n) from a stored table, and the salt that makes the keys unique. `stored`: it is one."""
+    tokens = tokens.select(F.col("token").cast("binary").alias("token"), F.col("value").cast("long").alias("value"), F.col("n").cast("long").alias("n"))
+    if not stored:
+        tokens = stage(tokens)
     salt = ""
     while True:
         found = tokens.select(F.xxhash64(F.concat(F.lit(salt).cast("binary"), F.col("token"))).alias("key"), "value", "n")
@@ -64,23 +69,33 @@ def split_head(tokens: DataFrame, head: int) -> tuple[np.ndarray, np.ndarray, Da
     return keys[order], values[order], tokens.filter(_step(F.col("n")) < least).select("key", "value")
 
 
-class Places(dict):
-    """Of a token: its place in the head, or -1 - its number among the others met."""
+class Places:
+    """Numbers tokens as they are met, and looks up the new ones together: their keys and their places in the head, or -1."""
 
-    def __init__(self, keys: np.ndarray, salt: str):
-        super().__init__()
-        self.keys, self.salt, self.others = keys, salt.encode(), []
+    def __init__(self, head_keys: np.ndarray, salt: str):
+        self.head_keys, self.salt = head_keys, salt.encode()
+        self.clear()
 
-    def __missing__(self, token) -> int:
-        raw = token if isinstance(token, bytes) else token.encode("utf-8", "surrogatepass")
-        key = xxhash.xxh64_intdigest(self.salt + raw, 42)
-        key -= key >> 63 << 64
-        at = int(np.searchsorted(self.keys, key))
-        if at == len(self.keys) or self.keys[at] != key:
-            self.others.append(key)
-            at = -len(self.others)
-        self[token] = at
-        return at
+    def clear(self) -> None:
+        self.numbers: defaultdict = defaultdict(count().__next__)
+        self.keys, self.places = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def numbered(self, tokens: list) -> np.ndarray:
+        return np.fromiter(map(self.numbers.__getitem__, tokens), np.int32, len(tokens))
+
+    def look_up(self) -> None:
+        new = len(self.numbers) - len(self.keys)
+        if not new:
+            return
+        digest, salt = xxhash.xxh64_intdigest, self.salt
+        raw = (token if isinstance(token, bytes) else token.encode("utf-8", "surrogatepass") for token in islice(reversed(self.numbers), new))
+        keys = np.fromiter((digest(salt + token, 42) for token in raw), np.uint64, new)[::-1].view(np.int64)
+        places = np.searchsorted(self.head_keys, keys)
+        if len(self.head_keys):
+            places[self.head_keys.take(places, mode="clip") != keys] = -1
+        else:
+            places[:] = -1
+        self.keys, self.places = np.append(self.keys, keys), np.append(self.places, places)
 
 
 def token_sums(
@@ -92,16 +107,17 @@ def token_sums(
     head: int = HEAD,
     block_bytes: int = BLOCK_BYTES,
     block_rows: int = BLOCK_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """(doc_id, numbers, s0, s1, ...) of every row of `rows` (doc_id, text; no NULL text).
 
     `of_texts` is called once per task and gives a function from a text to its tokens and some numbers. `of_block`, if
     given, makes one more number per text from a block of texts. `tokens` has token, value (a whole number) and n,
     by which tokens count as frequent. Each of `sums` is a function of a token's value, as NumPy and as column (of `value`); its
-    sum is over all tokens of a text that the table holds.
+    sum is over all tokens of a text that the table holds. `stored` says that `tokens` costs no more than reading a file.
     """
     kind = rows.schema["doc_id"].dataType.simpleString()
-    table, salt = keyed(tokens)
+    table, salt = keyed(tokens, stored)
     keys, values, rest = split_head(table, head)
     shared = rows.sparkSession.sparkContext.broadcast((keys, *[np.asarray(of(values), np.float64) for of, _ in sums]))
     names = ["row", "doc_id", "numbers", "known", "key", "n"]
@@ -109,47 +125,74 @@ def token_sums(
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_text, number = of_texts(), TaskContext.get().partitionId() << 33
         head_keys, *parts = shared.value
+        parts = [np.append(part, 0.0) for part in parts]  # also at -1, for tokens beyond the head
         places = Places(head_keys, salt)
-        lists = pa.list_(pa.float64())
-        ids, texts, numbers, known, at_row, others, often, held = [], [], [], [], [], [], [], 0
+        ids, texts, numbers, known, beyond = [], [], [], [], []  # of a block
+        met, pending, held = [], 0, 0  # numbers of the tokens of its last texts
+
+        def look_up() -> None:
+            nonlocal pending
+            if not met:
+                return
+            places.look_up()
+            lengths = np.fromiter(map(len, met), np.int64, len(met))
+            found = np.concatenate(met)
+            at = places.places.take(found)
+            sums = np.zeros((len(met), len(parts)))
+            full = np.flatnonzero(lengths)
+            starts = (np.cumsum(lengths) - lengths)[full]
+            for i, part in enumerate(parts):
+                if len(full):
+                    sums[full, i] = np.add.reduceat(part.take(at), starts)
+            known.append(sums)
+            other = np.flatnonzero(at < 0)
+            row = (number + len(texts) - len(met) + np.arange(len(met))).repeat(lengths)[other]
+            first = row[0] if len(other) else 0
+            pairs, n = np.unique((row - first) << 32 | found[other], return_counts=True)
+            beyond.append((first + (pairs >> 32), places.keys.take(pairs & 0xFFFFFFFF), n))
+            met.clear()
+            pending = 0
+            if len(places.numbers) > _REMEMBERED:
+                places.clear()
+
+        def lists(values: np.ndarray) -> pa.Array:
+            width = values.shape[1]
+            return pa.ListArray.from_arrays(pa.array(np.arange(0, (len(values) + 1) * width, width), pa.int32()), pa.array(values.ravel(), pa.float64()))
 
         def out() -> Iterator[pa.RecordBatch]:
-            nonlocal number, places
-            count = len(texts)
-            more = of_block(texts) if of_block else None
-            made = numbers if more is None else [[*own, float(x)] for own, x in zip(numbers, more)]
-            row = pa.array(np.arange(number, number + count))
+            nonlocal number, held
+            look_up()
+            rows = len(texts)
+            made = np.array(numbers, np.float64).reshape(rows, -1)
+            if of_block:
+                made = np.column_stack([made, of_block(texts)])
+            made, summed = lists(made), lists(np.concatenate(known))
             doc_ids = pa.chunked_array(ids).combine_chunks()
-            yield pa.RecordBatch.from_arrays([row, doc_ids, pa.array(made, lists), pa.array(known, lists), pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64())], names)
-            other = np.concatenate(others)
-            met = np.array(places.others, np.int64)
-            where = np.repeat(np.array(at_row, np.int64), [len(x) for x in others]) + number
-            none = [pa.nulls(len(other), doc_ids.type), pa.nulls(len(other), lists), pa.nulls(len(other), lists)]
-            yield pa.RecordBatch.from_arrays([pa.array(where), *none, pa.array(met[other]), pa.array(np.concatenate(often))], names)
-            number += count
-            if len(places) > _REMEMBERED:
-                places = Places(head_keys, salt)
-            for kept in (ids, texts, numbers, known, at_row, others, often):
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(number, number + rows)), doc_ids, made, summed, pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())], names)
+            row, key, n = map(np.concatenate, zip(*beyond))
+            none = [pa.nulls(len(row), x.type) for x in (doc_ids, made, summed)]
+            yield pa.RecordBatch.from_arrays([pa.array(row), *none, pa.array(key), pa.array(n)], names)
+            number, held = number + rows, 0
+            for kept in (ids, texts, numbers, known, beyond):
                 kept.clear()
 
         for batch in batches:
+            begun = 0
             for i in range(len(batch)):
                 text = batch.column(1)[i].as_py()
                 found, own = of_text(text)
-                at = np.fromiter(map(places.__getitem__, found), np.int64, len(found))
-                inside = at[at >= 0]
-                known.append([float(part[inside].sum()) for part in parts])
-                other, n = np.unique(-1 - at[at < 0], return_counts=True)
-                at_row.append(len(texts))
-                others.append(other)
-                often.append(n.astype(np.int64))
-                ids.append(batch.column(0).slice(i, 1))
+                met.append(places.numbered(found))
                 texts.append(text)
                 numbers.append(own)
+                pending += len(found)
                 held += len(text)
                 if held >= block_bytes or len(texts) >= block_rows:
+                    ids.append(batch.column(0).slice(begun, i + 1 - begun))
+                    begun = i + 1
                     yield from out()
-                    held = 0
+                elif pending >= _LOOKED_UP:
+                    look_up()
+            ids.append(batch.column(0).slice(begun))
         if texts:
             yield from out()
 
