@@ -28,18 +28,18 @@ import heapq
 import math
 import pickle
 import sys
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.staging import stage
-from .token_sums import token_sums
+from .token_sums import groups, token_sums
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
 
@@ -49,14 +49,16 @@ CONTEXTS = 3
 TABLE_BITS = 22
 SCALE = 16.0  # table bytes per unit of log odds
 PRIOR = 0.4  # added to both outcomes of a slot
-BLOCK, LANES = 256, 24  # what a block of all lanes needs stays in a core's cache
+_SCORED_BYTES = 4 << 20  # of text that is sorted by length and scored
+BLOCK, LANES = 256, 32  # what a block of all lanes needs stays in a core's cache
 GATES, BUCKETS = 4, 32
 WEIGHT, WEIGHT_RATE = 0.4, 0.6
 MAP_PRIOR = 40.0  # decisions that the map's start value weighs
-_TRAIN_BYTES = 1 << 19
+_HASH_BYTES, _TRAIN_BYTES = 1 << 14, 3 << 20  # hashed together; counted together
 _PART_BITS = 14  # slots of a table that are summed together
 _FAN_IN = 256  # tasks whose counts are summed at first
 _END_TOKEN = b" "  # words never hold a blank
+_GROUP_BYTES = 1 << 20  # of text split into words together
 
 
 @dataclass
@@ -130,28 +132,31 @@ def _word_so_far(raw: np.ndarray) -> np.ndarray:
     up, down = _powers(len(raw))
     sums = np.zeros(len(raw) + 1, np.uint32)
     np.cumsum((raw + np.uint32(1)) * down, dtype=np.uint32, out=sums[1:])
-    places = np.arange(len(raw))
-    begin = np.maximum.accumulate(np.where((raw > 32) & (raw != END), 0, places + 1))[BACK - 1 : -1]
-    np.maximum(begin, places[: len(begin)], out=begin)
-    return (sums[BACK:-1] - sums[begin]) * up[BACK - 1 : -1]
+    breaks = np.flatnonzero(raw - np.uint8(33) >= np.uint8(END - 33))  # not above 32, or END
+    breaks += 1
+    begins = np.concatenate(([0], breaks))
+    begin = begins.repeat(np.diff(begins, append=len(raw)))[BACK:]
+    np.maximum(begin, np.arange(len(begin)), out=begin)
+    return (sums[BACK:-1] - sums.take(begin)) * up[BACK - 1 : -1]
 
 
 def contexts(raw: np.ndarray) -> list[np.ndarray]:
     """Hash of every context before each place of `raw` from BACK on."""
     n = len(raw) - BACK
-    back = [raw[BACK - j : BACK - j + n].astype(np.uint32) for j in range(1, 6)]
-    three = back[0] | back[1] << np.uint32(8) | back[2] << np.uint32(16)
-    five = (three | back[3] << np.uint32(24)) * np.uint32(0x2545F491) ^ back[4]
-    return [_mixed(three, 1), _mixed(five, 2), _mixed(_word_so_far(raw), 3)]
+    four = np.ndarray((n,), ">u4", raw, BACK - 4, (1,)).astype(np.uint32)  # the last byte lowest
+    five = four * np.uint32(0x2545F491)
+    five ^= raw[BACK - 5 : BACK - 5 + n]
+    four &= np.uint32(0xFFFFFF)
+    return [_mixed(four, 1), _mixed(five, 2), _mixed(_word_so_far(raw), 3)]
 
 
-def _decisions(raw: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For the symbols of `raw`: their numbers of decisions, and of every decision its symbol's place, node hash and turn."""
+def _decisions(raw: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every decision of the symbols of `raw`: its symbol's place, node hash and turn."""
     lengths = code.length[raw]
     of = np.repeat(np.arange(len(raw)), lengths)
     flat = (code.first[raw] - (np.cumsum(lengths) - lengths))[of]
     flat += np.arange(len(flat))
-    return lengths, of, code.nodes[flat], code.turns[flat]
+    return of, code.nodes[flat], code.turns[flat]
 
 
 _SHIFT = np.uint32(32 - TABLE_BITS)
@@ -190,33 +195,55 @@ class Scorer:
         return result
 
     def _score_lanes(self, framed: list[np.ndarray]) -> np.ndarray:
-        """The texts come longest first, so those with a further block are always the first ones."""
+        """The texts come longest first, so those with a further block are always the first ones.
+
+        A block's decisions stand by depth in the tree: the first ones of all symbols, then the second ones of those
+        that have one, and so on. With the symbols in falling order of their path's length, all that belongs to a depth
+        is a run of the symbols. Symbols of equal length alternate between the lanes, so sums by lane do not wait for each other.
+        """
         n = len(framed)
+        code = self.code
+        longest = int(code.length.max())
         logs = np.zeros(n)
-        weights = np.full((CONTEXTS, n * GATES), WEIGHT, np.float32)
+        unit = 1 / SCALE  # a power of two: inputs stay in units of the tables, the weights take the factor without rounding
+        weights = np.full((CONTEXTS, n * GATES), WEIGHT, np.float32) * np.float32(unit)
         seen = np.zeros(n * BUCKETS, np.float32) + np.float32(MAP_PRIOR)
         hits = np.tile(self.start_map, n) * np.float32(MAP_PRIOR)
-        unit = np.float32(1 / SCALE)
+        across = np.arange(BLOCK)[:, None]
         for at in range(BACK, len(framed[0]), BLOCK):
             pieces = [f[at - BACK : at + BLOCK] for f in framed if len(f) > at]
             live = len(pieces)
             raw = np.concatenate(pieces)
             sizes = np.fromiter(map(len, pieces), np.int64, live)
-            hashes = contexts(raw)
-            inside = np.ones(len(raw), bool)  # places that are symbols of this block, not what precedes it
-            starts = np.append(0, np.cumsum(sizes)[:-1])
-            for j in range(BACK):
-                inside[starts + j] = False
-            keep = np.flatnonzero(inside[BACK:])
-            lengths, of, node_hash, turn = _decisions(raw[BACK:][keep], self.code)
-            per_lane = np.add.reduceat(lengths, starts - BACK * np.arange(live))
-            lane = np.arange(live).repeat(per_lane)
-            place = keep[of]
-            inputs = [self.tables[k][_slots(hashes[k], place, node_hash).astype(np.int64)] for k in range(CONTEXTS)]
-            gate = lane * GATES  # by the longer contexts that were ever seen
-            for k in range(1, CONTEXTS):
-                gate += (inputs[k] != 0).view(np.int8) * np.int8(k)
-            inputs = [x * unit for x in inputs]
+            grid = np.flatnonzero(across < sizes - BACK)  # place in the block times lanes that live, plus lane
+            lane = grid % live if live & live - 1 else grid & live - 1
+            place = (np.cumsum(sizes) - sizes).take(lane)
+            place += grid // live if live & live - 1 else grid >> live.bit_length() - 1
+            symbols = raw[BACK:].take(place)
+            lengths = code.length.take(symbols)
+            order = np.argsort((longest - lengths).astype(np.uint8), kind="stable")
+            lane, place, symbols = lane.take(order), place.take(order), symbols.take(order)
+            runs = np.cumsum(np.bincount(lengths)[:0:-1])[::-1].tolist()  # how many symbols have more than 0, 1, ... decisions
+
+            def by_depth(x: np.ndarray) -> np.ndarray:
+                return np.concatenate([x[:m] for m in runs])
+
+            flat = by_depth(code.first.take(symbols))
+            flat += np.arange(len(runs)).repeat(runs)
+            node_hash, turn = code.nodes.take(flat), code.turns.take(flat)
+            inputs = []
+            for k, hashes in enumerate(contexts(raw)):
+                slots = by_depth(hashes.take(place))
+                slots += node_hash
+                slots >>= _SHIFT
+                inputs.append(self.tables[k].take(slots))
+            ever = (inputs[1] != 0).view(np.int8)  # which of the longer contexts were ever seen
+            for k in range(2, CONTEXTS):
+                ever = ever + (inputs[k] != 0).view(np.int8) * np.int8(k)
+            gate = by_depth(lane * GATES)
+            bucket = gate * (BUCKETS // GATES)
+            gate += ever
+            inputs = [x.astype(np.float32) for x in inputs]
             mix = weights[0].take(gate)
             mix *= inputs[0]
             for k in range(1, CONTEXTS):
@@ -229,7 +256,6 @@ class Scorer:
             np.divide(1, p, out=p)
             mix *= 2
             mix += np.float32(BUCKETS / 2)
-            bucket = lane * BUCKETS
             bucket += mix.astype(np.int8)
             refined = (hits[: live * BUCKETS] / seen[: live * BUCKETS]).take(bucket)
             refined += p
@@ -238,12 +264,13 @@ class Scorer:
             error = turned - p
             np.subtract(1 - turned, refined, out=refined)
             np.abs(refined, out=refined)
-            logs[:live] += np.add.reduceat(np.log(refined, out=refined), np.append(0, np.cumsum(per_lane)[:-1]), dtype=np.float64)
+            by_gate = np.bincount(gate, weights=np.log(refined, out=refined), minlength=live * GATES)
+            logs[:live] += by_gate.reshape(live, GATES).sum(axis=1)
             count = np.bincount(gate, minlength=live * GATES) + 4.0
             for k in range(CONTEXTS):
                 inputs[k] *= error
                 step = np.bincount(gate, weights=inputs[k], minlength=live * GATES) / count
-                weights[k][: live * GATES] += (WEIGHT_RATE * step).astype(np.float32)
+                weights[k][: live * GATES] += (WEIGHT_RATE * unit * unit * step).astype(np.float32)
             bucket *= 2
             bucket += turn
             both = np.bincount(bucket, minlength=2 * live * BUCKETS).reshape(-1, 2).astype(np.float32)
@@ -256,42 +283,49 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def words_of(raw: bytes) -> list[bytes]:
-    return raw.split()  # ASCII white space only
+def words_of(texts: pa.Array) -> pa.ListArray:
+    """The words of lower-cased texts, NULL where there are none; white space is that of ASCII."""
+    inner = pc.ascii_trim_whitespace(texts)
+    return pc.ascii_split_whitespace(pc.if_else(pc.greater(pc.binary_length(inner), 0), inner, pa.scalar(None, inner.type)))
 
 
-def _word_counts(texts: DataFrame) -> DataFrame:
-    """(token, c) over all rows, with the end of every text as a token."""
+def _token_counts(texts: DataFrame) -> DataFrame:
+    """(token, c) over all rows: words, the end of every text as a token, and symbols (see `_symbol_counts`)."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["token", "c"])
+        def of_words() -> pa.RecordBatch:
+            found = pa.chunked_array(words, pa.string()).value_counts()
+            return pa.RecordBatch.from_arrays([found.field(0).cast(pa.binary()), found.field(1)], ["token", "c"])
 
-        counts: Counter = Counter()
+        words, held, ends, symbols = [], 0, 0, np.zeros(256, np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(words_of(lowered(text.as_py())))
-                counts[_END_TOKEN] += 1
-                if len(counts) >= 1 << 19:
-                    yield out()
-                    counts = Counter()
-        yield out()
+            for lo, hi in groups(batch.column(0), _GROUP_BYTES, len(batch)):
+                lower = pc.ascii_lower(batch.column(0).slice(lo, hi - lo))
+                words.append(words_of(lower).flatten())
+                symbols += np.bincount(np.frombuffer(b"".join(lower.cast(pa.binary()).to_pylist()), np.uint8), minlength=256)
+                ends += len(lower)
+                held += len(words[-1])
+                if held >= 1 << 22:
+                    yield of_words()
+                    words, held = [], 0
+        yield of_words()
+        symbols[END] = ends
+        counts = {_END_TOKEN: ends} | {_END_TOKEN + bytes([s]): int(n) for s, n in enumerate(symbols)}
+        yield pa.RecordBatch.from_arrays([pa.array([t for t in counts if counts[t]], pa.binary()), pa.array([n for n in counts.values() if n], pa.int64())], ["token", "c"])
 
     return texts.mapInArrow(of_batches, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def _byte_counts(texts: DataFrame) -> list[int]:
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(256, np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                total += np.bincount(_framed(lowered(text.as_py()))[BACK:], minlength=256)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(total)], ["symbol", "n"])
+def _is_symbol(token: Column) -> Column:
+    """A blank and one byte more."""
+    return (F.length(token) == 2) & (F.substring(token, 1, 1) == F.lit(_END_TOKEN))
 
-    counts = [0] * 256
-    for r in texts.mapInArrow(of_batches, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).collect():
-        counts[r["symbol"]] = r["n"]
-    return counts
+
+def _symbol_counts(counts: DataFrame) -> list[int]:
+    found = [0] * 256
+    for r in counts.filter(_is_symbol(F.col("token"))).collect():  # at most 256 rows
+        found[r["token"][1]] = r["c"]
+    return found
 
 
 _ENTRY = np.dtype([("at", "<u2"), ("turn", "<u4", 2)])
@@ -307,39 +341,62 @@ def _slot_odds(texts: DataFrame, code: Code) -> DataFrame:
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((CONTEXTS, 2 << TABLE_BITS), np.int32)
 
-        def count(raw: np.ndarray, counted: np.ndarray) -> None:
-            symbols = raw[BACK:][counted]
-            for k, hashes in enumerate(contexts(raw)):  # a symbol that follows the same context again takes the same slots
-                pairs, n = np.unique(hashes[counted].astype(np.uint64) << np.uint64(8) | symbols, return_counts=True)
-                _, of, node_hash, turn = _decisions((pairs & np.uint64(0xFF)).astype(np.uint8), code)
-                slots = _slots((pairs >> np.uint64(8)).astype(np.uint32), of, node_hash)
-                np.add.at(total[k], slots * np.uint32(2) + turn, n.astype(np.int32)[of])
-
-        def in_parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        def in_parts() -> Iterator[list[np.ndarray]]:
             """Texts put together, and longer ones in parts that overlap by BACK bytes."""
             parts, held = [], 0
             for batch in batches:
                 for text in batch.column(0):
                     framed = _framed(lowered(text.as_py()))
-                    for at in range(BACK, len(framed), _TRAIN_BYTES):
-                        parts.append(framed[at - BACK : at + _TRAIN_BYTES])
+                    for at in range(BACK, len(framed), _HASH_BYTES):
+                        parts.append(framed[at - BACK : at + _HASH_BYTES])
                         held += len(parts[-1])
-                        if held >= _TRAIN_BYTES:
+                        if held >= _HASH_BYTES:
                             yield parts
                             parts, held = [], 0
             if parts:
                 yield parts
 
+        def count_all() -> None:
+            symbol = np.concatenate(symbols)
+            for k, waiting in enumerate(hashes):
+                pairs = np.concatenate(waiting).astype(np.uint64)
+                waiting.clear()
+                pairs <<= np.uint64(8)
+                pairs |= symbol
+                pairs.sort()  # a symbol that follows the same context again takes the same slots
+                first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+                n = np.diff(first, append=len(pairs)).astype(np.int32)
+                pairs = pairs.take(first)
+                of, node_hash, turn = _decisions(pairs.astype(np.uint8), code)
+                pairs >>= np.uint64(8)
+                slots = _slots(pairs.astype(np.uint32), of, node_hash).astype(np.int64)
+                slots *= 2
+                slots += turn
+                np.add.at(total[k], slots, n.take(of))
+            symbols.clear()
+
+        hashes: list[list[np.ndarray]] = [[] for _ in range(CONTEXTS)]
+        symbols: list[np.ndarray] = []
+        held = 0
         for parts in in_parts():
             raw = np.concatenate(parts)
             inside = np.ones(len(raw), bool)
             starts = np.append(0, np.cumsum([len(p) for p in parts])[:-1])
             for j in range(BACK):
                 inside[starts + j] = False
-            count(raw, inside[BACK:])
+            counted = np.flatnonzero(inside[BACK:])
+            symbols.append(raw[BACK:].take(counted))
+            for waiting, found in zip(hashes, contexts(raw)):
+                waiting.append(found.take(counted))
+            held += len(counted)
+            if held >= _TRAIN_BYTES:
+                count_all()
+                held = 0
+        if held:
+            count_all()
         some = TaskContext.get().partitionId() // _FAN_IN
         for part, pairs in enumerate(total.reshape(-1, 1 << _PART_BITS, 2)):
-            used = np.flatnonzero(pairs.any(axis=1))
+            used = np.flatnonzero(pairs.view(np.int64))  # both outcomes as one number
             entries = np.empty(len(used), _ENTRY)
             entries["at"], entries["turn"] = used, pairs[used]
             columns = [pa.array([some], pa.int64()), pa.array([part], pa.int64()), pa.array([entries.tobytes()], pa.binary())]
@@ -362,9 +419,9 @@ def _slot_odds(texts: DataFrame, code: Code) -> DataFrame:
     return sums.groupBy("part").applyInPandas(of_sums, "part long, odds binary")
 
 
-def train(texts: DataFrame) -> Scorer:
+def train(texts: DataFrame, symbols: list[int]) -> Scorer:
     """Count all rows of the one column of `texts`; the driver gets one byte per used slot, of a fixed number of slots."""
-    code = huffman(_byte_counts(texts))
+    code = huffman(symbols)
     tables = np.zeros((CONTEXTS << (TABLE_BITS - _PART_BITS), 1 << _PART_BITS), np.int8)
     for r in _slot_odds(texts, code).collect():  # all parts together: CONTEXTS tables of 2^TABLE_BITS bytes
         tables[r["part"]] = np.frombuffer(r["odds"], np.int8)
@@ -376,35 +433,37 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     training = rows.filter(~held_out(F.col("doc_id"))).select("text")
-    counts = stage(_word_counts(training))
-    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    shared = spark.sparkContext.broadcast(cloudpickle.dumps(train(training)))
+    all_counts = stage(_token_counts(training))
+    counts = all_counts.filter(~_is_symbol(F.col("token")))
+    ends = F.coalesce(F.max(F.when(F.col("token") == F.lit(_END_TOKEN), F.col("c"))), F.lit(0))
+    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), ends.alias("ends")).first()
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(train(training, _symbol_counts(all_counts))))
 
     def of_texts():
-        def of_text(text: str) -> tuple[list[bytes], list[float]]:
-            raw = lowered(text)
-            tokens = [*words_of(raw), _END_TOKEN]
-            return tokens, [len(tokens), len(raw)]
+        def of_group(texts: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
+            words = words_of(pc.ascii_lower(texts))
+            return words, np.column_stack([pc.list_value_length(words).fill_null(0).to_numpy() + 1, pc.binary_length(texts).to_numpy()])
 
-        return of_text
+        return of_group
 
     scorers: list[Scorer] = []  # one in each task
 
     def of_block(texts: list[str]) -> np.ndarray:
         if not scorers:
-            scorers.append(pickle.loads(shared.value))
+            scorer = pickle.loads(shared.value)
+            scorers.append(Scorer(scorer.tables.copy(), scorer.code))  # a copy lies on large pages, which look-ups all over it need
         return scorers[0].score(texts)
 
-    n, v = totals["n"], totals["v"]
+    n, v, end = totals["n"], totals["v"], totals["ends"]  # the end, one in every text, is added below
     known = counts.select("token", F.col("c").alias("value"), F.col("c").alias("n"))
     sums = [(lambda c: np.ones(len(c)), F.lit(1)), (lambda c: np.log10(c + 1.0), F.log10(F.col("value") + 1.0))]
-    found = token_sums(rows, of_texts, known, sums, of_block)
+    found = token_sums(rows, of_texts, known, sums, of_block, block_bytes=_SCORED_BYTES, group_bytes=_SCORED_BYTES, stored=True)
     n_tokens, n_bytes, score = (F.col("numbers")[i] for i in range(3))
     made = found.select(
         "doc_id",
         n_tokens.cast("long").alias("n_tokens"),
-        F.col("s0").cast("long").alias("n_known"),
-        (F.col("s1") - n_tokens * math.log10(n + v + 1)).alias("base_score"),
+        (F.col("s0") + F.lit(min(end, 1))).cast("long").alias("n_known"),
+        (F.col("s1") + math.log10(end + 1) - n_tokens * math.log10(n + v + 1)).alias("base_score"),
         score.alias("score"),
         (-score * math.log2(10) / F.greatest(n_bytes, F.lit(1.0))).alias("bits_per_byte"),
     )

@@ -19,7 +19,9 @@ import sys
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark import cloudpickle
@@ -144,14 +146,14 @@ def count_tokens(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     pieces = count_pieces(distinct_pretokens(rows.select("text"), vocabulary, pattern), vocabulary)
 
-    def of_texts() -> Callable[[str], tuple[list[str], list[float]]]:
+    def of_texts() -> Callable[[pa.Array], tuple[list[list[str]], np.ndarray]]:
         split = _Splitter(vocabulary, pattern)
 
-        def of_text(text: str) -> tuple[list[str], list[float]]:
-            found, specials = split(text)
-            return found, [len(text.encode("utf-8", "surrogatepass")), len(found) + specials]
+        def of_group(texts: pa.Array) -> tuple[list[list[str]], np.ndarray]:
+            found, specials = zip(*[split(text.as_py()) for text in texts])
+            return [*found], np.column_stack([pc.binary_length(texts).to_numpy(), np.add([*map(len, found)], specials)])
 
-        return of_text
+        return of_group
 
     found = token_sums(rows, of_texts, pieces, [(lambda more: more, F.col("value"))], None, head, block_bytes, block_rows)
     n_tokens = (F.col("numbers")[1] + F.col("s0")).cast("long")

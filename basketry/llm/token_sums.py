@@ -13,10 +13,11 @@ from __future__ import annotations
 import sys
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import count, islice
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
@@ -29,7 +30,7 @@ HEAD = 1 << 20  # tokens that are broadcast, 16 bytes each
 BLOCK_BYTES = 16 << 20  # of text that is taken together
 BLOCK_ROWS = 1 << 15
 _REMEMBERED = 1 << 19  # tokens whose place a task remembers
-_LOOKED_UP = 1 << 18  # tokens whose places are looked up together
+GROUP_BYTES = 1 << 20  # of text whose tokens are looked up together
 _EXACT, _STEPS = 1024, 8  # frequencies up to the first are told apart, beyond it some steps per doubling
 
 
@@ -69,49 +70,73 @@ def split_head(tokens: DataFrame, head: int) -> tuple[np.ndarray, np.ndarray, Da
     return keys[order], values[order], tokens.filter(_step(F.col("n")) < least).select("key", "value")
 
 
+def groups(texts: pa.Array, most_bytes: int, most_rows: int) -> Iterator[tuple[int, int]]:
+    """Bounds of groups of rows, each ended by the row that makes it reach one of the two numbers."""
+    begun, held = 0, 0
+    for i, size in enumerate(pc.binary_length(texts).to_pylist(), 1):
+        held += size
+        if held >= most_bytes or i - begun >= most_rows:
+            yield begun, i
+            begun, held = i, 0
+    if begun < len(texts):
+        yield begun, len(texts)
+
+
 class Places:
-    """Numbers tokens as they are met, and looks up the new ones together: their keys and their places in the head, or -1."""
+    """Numbers the tokens of a group of texts, and looks up all new ones together: their keys and their places in the head, or -1."""
 
     def __init__(self, head_keys: np.ndarray, salt: str):
         self.head_keys, self.salt = head_keys, salt.encode()
-        self.clear()
+        self.forget()
 
-    def clear(self) -> None:
+    def forget(self) -> None:
         self.numbers: defaultdict = defaultdict(count().__next__)
         self.keys, self.places = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def numbered(self, tokens: list) -> np.ndarray:
-        return np.fromiter(map(self.numbers.__getitem__, tokens), np.int32, len(tokens))
-
-    def look_up(self) -> None:
-        new = len(self.numbers) - len(self.keys)
-        if not new:
-            return
+    def look_up(self, tokens: list) -> tuple[np.ndarray, np.ndarray]:
         digest, salt = xxhash.xxh64_intdigest, self.salt
-        raw = (token if isinstance(token, bytes) else token.encode("utf-8", "surrogatepass") for token in islice(reversed(self.numbers), new))
-        keys = np.fromiter((digest(salt + token, 42) for token in raw), np.uint64, new)[::-1].view(np.int64)
+        raw = (token if isinstance(token, bytes) else token.encode("utf-8", "surrogatepass") for token in tokens)
+        keys = np.fromiter((digest(salt + token, 42) for token in raw), np.uint64, len(tokens)).view(np.int64)
         places = np.searchsorted(self.head_keys, keys)
         if len(self.head_keys):
             places[self.head_keys.take(places, mode="clip") != keys] = -1
         else:
             places[:] = -1
+        return keys, places
+
+    def of_arrow(self, tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """How many tokens each text has, their numbers, and by number their keys and places."""
+        found = tokens.flatten().dictionary_encode()
+        lengths = pc.list_value_length(tokens).fill_null(0).to_numpy().astype(np.int64)
+        return lengths, found.indices.to_numpy(), *self.look_up(found.dictionary.cast(pa.binary()).to_pylist())
+
+    def of_lists(self, tokens: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same; tokens met before are remembered, a bounded number of them."""
+        if len(self.numbers) > _REMEMBERED:
+            self.forget()
+        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        found = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(tokens)), np.int32, int(lengths.sum()))
+        new = [*islice(reversed(self.numbers), len(self.numbers) - len(self.keys))]
+        keys, places = self.look_up(new[::-1])
         self.keys, self.places = np.append(self.keys, keys), np.append(self.places, places)
+        return lengths, found, self.keys, self.places
 
 
 def token_sums(
     rows: DataFrame,
-    of_texts: Callable[[], Callable[[str], tuple[list, list[float]]]],
+    of_texts: Callable[[], Callable[[pa.Array], tuple[pa.ListArray | list[list], np.ndarray]]],
     tokens: DataFrame,
     sums: list[tuple[Callable[[np.ndarray], np.ndarray], Column]],
     of_block: Callable[[list[str]], np.ndarray] | None = None,
     head: int = HEAD,
     block_bytes: int = BLOCK_BYTES,
     block_rows: int = BLOCK_ROWS,
+    group_bytes: int = GROUP_BYTES,
     stored: bool = False,
 ) -> DataFrame:
     """(doc_id, numbers, s0, s1, ...) of every row of `rows` (doc_id, text; no NULL text).
 
-    `of_texts` is called once per task and gives a function from a text to its tokens and some numbers. `of_block`, if
+    `of_texts` is called once per task and gives a function from texts to the tokens and some numbers of each. `of_block`, if
     given, makes one more number per text from a block of texts. `tokens` has token, value (a whole number) and n,
     by which tokens count as frequent. Each of `sums` is a function of a token's value, as NumPy and as column (of `value`); its
     sum is over all tokens of a text that the table holds. `stored` says that `tokens` costs no more than reading a file.
@@ -123,77 +148,60 @@ def token_sums(
     names = ["row", "doc_id", "numbers", "known", "key", "n"]
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_text, number = of_texts(), TaskContext.get().partitionId() << 33
+        of_group, number = of_texts(), TaskContext.get().partitionId() << 33
         head_keys, *parts = shared.value
         parts = [np.append(part, 0.0) for part in parts]  # also at -1, for tokens beyond the head
         places = Places(head_keys, salt)
         ids, texts, numbers, known, beyond = [], [], [], [], []  # of a block
-        met, pending, held = [], 0, 0  # numbers of the tokens of its last texts
-
-        def look_up() -> None:
-            nonlocal pending
-            if not met:
-                return
-            places.look_up()
-            lengths = np.fromiter(map(len, met), np.int64, len(met))
-            found = np.concatenate(met)
-            at = places.places.take(found)
-            sums = np.zeros((len(met), len(parts)))
+        held, count = 0, 0
+
+        def take(group: pa.Array) -> None:
+            tokens, own = of_group(group)
+            lengths, found, keys, place = (places.of_lists if isinstance(tokens, list) else places.of_arrow)(tokens)
+            at = place.take(found)
+            summed = np.zeros((len(group), len(parts)))
             full = np.flatnonzero(lengths)
             starts = (np.cumsum(lengths) - lengths)[full]
             for i, part in enumerate(parts):
                 if len(full):
-                    sums[full, i] = np.add.reduceat(part.take(at), starts)
-            known.append(sums)
+                    summed[full, i] = np.add.reduceat(part.take(at), starts)
             other = np.flatnonzero(at < 0)
-            row = (number + len(texts) - len(met) + np.arange(len(met))).repeat(lengths)[other]
-            first = row[0] if len(other) else 0
-            pairs, n = np.unique((row - first) << 32 | found[other], return_counts=True)
-            beyond.append((first + (pairs >> 32), places.keys.take(pairs & 0xFFFFFFFF), n))
-            met.clear()
-            pending = 0
-            if len(places.numbers) > _REMEMBERED:
-                places.clear()
+            row = np.arange(len(group)).repeat(lengths)[other]
+            pairs, n = np.unique(row << 32 | found[other], return_counts=True)
+            numbers.append(own)
+            known.append(summed)
+            beyond.append((number + count + (pairs >> 32), keys.take(pairs & 0xFFFFFFFF), n))
 
         def lists(values: np.ndarray) -> pa.Array:
             width = values.shape[1]
             return pa.ListArray.from_arrays(pa.array(np.arange(0, (len(values) + 1) * width, width), pa.int32()), pa.array(values.ravel(), pa.float64()))
 
         def out() -> Iterator[pa.RecordBatch]:
-            nonlocal number, held
-            look_up()
-            rows = len(texts)
-            made = np.array(numbers, np.float64).reshape(rows, -1)
+            made = np.concatenate(numbers)
             if of_block:
                 made = np.column_stack([made, of_block(texts)])
             made, summed = lists(made), lists(np.concatenate(known))
             doc_ids = pa.chunked_array(ids).combine_chunks()
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(number, number + rows)), doc_ids, made, summed, pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64())], names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(number, number + count)), doc_ids, made, summed, pa.nulls(count, pa.int64()), pa.nulls(count, pa.int64())], names)
             row, key, n = map(np.concatenate, zip(*beyond))
             none = [pa.nulls(len(row), x.type) for x in (doc_ids, made, summed)]
             yield pa.RecordBatch.from_arrays([pa.array(row), *none, pa.array(key), pa.array(n)], names)
-            number, held = number + rows, 0
             for kept in (ids, texts, numbers, known, beyond):
                 kept.clear()
 
         for batch in batches:
-            begun = 0
-            for i in range(len(batch)):
-                text = batch.column(1)[i].as_py()
-                found, own = of_text(text)
-                met.append(places.numbered(found))
-                texts.append(text)
-                numbers.append(own)
-                pending += len(found)
-                held += len(text)
-                if held >= block_bytes or len(texts) >= block_rows:
-                    ids.append(batch.column(0).slice(begun, i + 1 - begun))
-                    begun = i + 1
+            for lo, hi in groups(batch.column(1), min(block_bytes, group_bytes), block_rows):
+                group = batch.column(1).slice(lo, hi - lo)
+                take(group)
+                ids.append(batch.column(0).slice(lo, hi - lo))
+                if of_block:
+                    texts += group.to_pylist()
+                held += pc.sum(pc.binary_length(group)).as_py()
+                count += len(group)
+                if held >= block_bytes or count >= block_rows:
                     yield from out()
-                elif pending >= _LOOKED_UP:
-                    look_up()
-            ids.append(batch.column(0).slice(begun))
-        if texts:
+                    number, held, count = number + count, 0, 0
+        if count:
             yield from out()
 
     made = stage(rows.select("doc_id", "text").mapInArrow(of_batches, f"row long, doc_id {kind}, numbers array<double>, known array<double>, key long, n long"))
