@@ -328,7 +328,7 @@ def _symbol_counts(counts: DataFrame) -> list[int]:
     return found
 
 
-_ENTRY = np.dtype([("at", "<u2"), ("turn", "<u4", 2)])
+_ENTRIES = {n: np.dtype([("at", "<u2"), ("turn", f"<u{n}", 2)]) for n in (2, 4)}  # by bytes of a count
 
 
 def _slot_odds(texts: DataFrame, code: Code) -> DataFrame:
@@ -397,15 +397,17 @@ def _slot_odds(texts: DataFrame, code: Code) -> DataFrame:
         some = TaskContext.get().partitionId() // _FAN_IN
         for part, pairs in enumerate(total.reshape(-1, 1 << _PART_BITS, 2)):
             used = np.flatnonzero(pairs.view(np.int64))  # both outcomes as one number
-            entries = np.empty(len(used), _ENTRY)
-            entries["at"], entries["turn"] = used, pairs[used]
-            columns = [pa.array([some], pa.int64()), pa.array([part], pa.int64()), pa.array([entries.tobytes()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["some", "part", "entries"])
+            found = pairs.take(used, axis=0)
+            size = 2 if found.max(initial=0) < 1 << 16 else 4
+            entries = np.empty(len(used), _ENTRIES[size])
+            entries["at"], entries["turn"] = used, found
+            columns = [pa.array([some], pa.int64()), pa.array([part], pa.int64()), pa.array([size], pa.int64()), pa.array([entries.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["some", "part", "size", "entries"])
 
     def of_tasks(rows: pd.DataFrame) -> pd.DataFrame:
         sums = np.zeros((1 << _PART_BITS, 2), np.int64)
-        for packed in rows["entries"]:
-            entries = np.frombuffer(packed, _ENTRY)
+        for size, packed in zip(rows["size"], rows["entries"]):
+            entries = np.frombuffer(packed, _ENTRIES[size])
             sums[entries["at"]] += entries["turn"]
         return pd.DataFrame({"part": rows["part"].iloc[:1], "sums": [sums.tobytes()]})
 
@@ -414,7 +416,7 @@ def _slot_odds(texts: DataFrame, code: Code) -> DataFrame:
         odds = np.rint(np.log((sums[:, 1] + PRIOR) / (sums[:, 0] + PRIOR)) * SCALE)
         return pd.DataFrame({"part": rows["part"].iloc[:1], "odds": [np.clip(odds, -127, 127).astype(np.int8).tobytes()]})
 
-    rows = texts.mapInArrow(of_batches, "some long, part long, entries binary")
+    rows = texts.mapInArrow(of_batches, "some long, part long, size long, entries binary")
     sums = rows.groupBy("some", "part").applyInPandas(of_tasks, "part long, sums binary")
     return sums.groupBy("part").applyInPandas(of_sums, "part long, odds binary")
 

@@ -93,22 +93,26 @@ class Places:
         self.numbers: defaultdict = defaultdict(count().__next__)
         self.keys, self.places = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def look_up(self, tokens: list) -> tuple[np.ndarray, np.ndarray]:
+    def look_up(self, tokens: list | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         digest, salt = xxhash.xxh64_intdigest, self.salt
         raw = (token if isinstance(token, bytes) else token.encode("utf-8", "surrogatepass") for token in tokens)
         keys = np.fromiter((digest(salt + token, 42) for token in raw), np.uint64, len(tokens)).view(np.int64)
-        places = np.searchsorted(self.head_keys, keys)
+        order = np.argsort(keys)  # keys in order meet the head in order
+        inside = keys.take(order)
+        found = np.searchsorted(self.head_keys, inside)
         if len(self.head_keys):
-            places[self.head_keys.take(places, mode="clip") != keys] = -1
+            found[self.head_keys.take(found, mode="clip") != inside] = -1
         else:
-            places[:] = -1
+            found[:] = -1
+        places = np.empty_like(found)
+        places[order] = found
         return keys, places
 
     def of_arrow(self, tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """How many tokens each text has, their numbers, and by number their keys and places."""
         found = tokens.flatten().dictionary_encode()
         lengths = pc.list_value_length(tokens).fill_null(0).to_numpy().astype(np.int64)
-        return lengths, found.indices.to_numpy(), *self.look_up(found.dictionary.cast(pa.binary()).to_pylist())
+        return lengths, found.indices.to_numpy(), *self.look_up(found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False))
 
     def of_lists(self, tokens: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The same; tokens met before are remembered, a bounded number of them."""
