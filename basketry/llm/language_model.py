@@ -30,6 +30,7 @@ import pickle
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -50,7 +51,7 @@ TABLE_BITS = 22
 SCALE = 16.0  # table bytes per unit of log odds
 PRIOR = 0.4  # added to both outcomes of a slot
 _SCORED_BYTES = 4 << 20  # of text that is sorted by length and scored
-BLOCK, LANES = 256, 32  # what a block of all lanes needs stays in a core's cache
+BLOCK, LANES = 256, 64  # what a block of all lanes needs stays near a core
 GATES, BUCKETS = 4, 32
 WEIGHT, WEIGHT_RATE = 0.4, 0.6
 MAP_PRIOR = 40.0  # decisions that the map's start value weighs
@@ -173,8 +174,11 @@ def lowered(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
+_PAD = bytes([END])
+
+
 def _framed(raw: bytes) -> np.ndarray:
-    return np.frombuffer(bytes([END]) * BACK + raw + bytes([END]), np.uint8)
+    return np.frombuffer(_PAD * BACK + raw + _PAD, np.uint8)
 
 
 class Scorer:
@@ -182,82 +186,101 @@ class Scorer:
 
     def __init__(self, tables: np.ndarray, code: Code):
         self.tables, self.code = tables, code
+        self.by_length = np.argsort(-code.length, kind="stable")  # symbols, those of the longest paths first
+        self.rank = np.empty(256, np.uint8)
+        self.rank[self.by_length] = np.arange(256)
+        lengths = code.length[self.by_length]
+        self.deeper = [int((lengths > depth).sum()) for depth in range(lengths[0])]  # how many symbols have more decisions
+        at = np.concatenate([code.first[self.by_length[:m]] + depth for depth, m in enumerate(self.deeper)])
+        self.nodes, self.turns = code.nodes[at], code.turns[at]  # of all symbols by depth
         self.start_map = 1 / (1 + np.exp(-((np.arange(BUCKETS) + 0.5) / 2 - BUCKETS / 4))).astype(np.float32)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        """log10 probabilities. Texts of like length are scored side by side."""
-        framed = [_framed(lowered(t)) for t in texts]
+        """log10 probabilities. Texts are scored side by side, the longest first; where one ends, the next takes its lane."""
+        framed = [_PAD * BACK + lowered(t) + _PAD for t in texts]
         result = np.zeros(len(texts))
         order = sorted(range(len(texts)), key=lambda i: (-len(framed[i]), i))
-        for lo in range(0, len(order), LANES):
-            lanes = order[lo : lo + LANES]
-            result[lanes] = self._score_lanes([framed[i] for i in lanes])
+        result[order] = self._score_lanes([framed[i] for i in order])
         return result
 
-    def _score_lanes(self, framed: list[np.ndarray]) -> np.ndarray:
-        """The texts come longest first, so those with a further block are always the first ones.
+    def _score_lanes(self, framed: list[bytes]) -> np.ndarray:
+        """Of every text, in the order in which they get a lane.
 
         A block's decisions stand by depth in the tree: the first ones of all symbols, then the second ones of those
         that have one, and so on. With the symbols in falling order of their path's length, all that belongs to a depth
-        is a run of the symbols. Symbols of equal length alternate between the lanes, so sums by lane do not wait for each other.
+        is a run of the symbols. Equal symbols stand together, so nodes and turns are repeated, not looked up; they alternate
+        between the lanes, so sums by lane do not wait for each other.
+        Indices are known to be inside, and taken with "clip", which looks up faster.
         """
-        n = len(framed)
-        code = self.code
-        longest = int(code.length.max())
-        logs = np.zeros(n)
+        result = np.zeros(len(framed))
         unit = 1 / SCALE  # a power of two: inputs stay in units of the tables, the weights take the factor without rounding
-        weights = np.full((CONTEXTS, n * GATES), WEIGHT, np.float32) * np.float32(unit)
-        seen = np.zeros(n * BUCKETS, np.float32) + np.float32(MAP_PRIOR)
-        hits = np.tile(self.start_map, n) * np.float32(MAP_PRIOR)
-        across = np.arange(BLOCK)[:, None]
-        for at in range(BACK, len(framed[0]), BLOCK):
-            pieces = [f[at - BACK : at + BLOCK] for f in framed if len(f) > at]
-            live = len(pieces)
-            raw = np.concatenate(pieces)
-            sizes = np.fromiter(map(len, pieces), np.int64, live)
-            grid = np.flatnonzero(across < sizes - BACK)  # place in the block times lanes that live, plus lane
-            lane = grid % live if live & live - 1 else grid & live - 1
-            place = (np.cumsum(sizes) - sizes).take(lane)
-            place += grid // live if live & live - 1 else grid >> live.bit_length() - 1
-            symbols = raw[BACK:].take(place)
-            lengths = code.length.take(symbols)
-            order = np.argsort((longest - lengths).astype(np.uint8), kind="stable")
-            lane, place, symbols = lane.take(order), place.take(order), symbols.take(order)
-            runs = np.cumsum(np.bincount(lengths)[:0:-1])[::-1].tolist()  # how many symbols have more than 0, 1, ... decisions
+        new_weights, new_seen, new_hits = np.float32(WEIGHT) * np.float32(unit), np.float32(MAP_PRIOR), self.start_map * np.float32(MAP_PRIOR)
+        live, begun, width = min(LANES, len(framed)), min(LANES, len(framed)), BACK + BLOCK
+        text, at = list(range(live)), [BACK] * live  # of every lane: its text, and the place its next block begins
+        weights = np.full((CONTEXTS, live, GATES), new_weights, np.float32)
+        seen = np.full((live, BUCKETS), new_seen, np.float32)
+        hits = np.tile(new_hits, (live, 1))
+        logs = np.zeros(live)
+        lane_of = None
+        while live:
+            if lane_of is None:  # by place in the block times lanes, plus lane
+                lane_of = np.tile(np.arange(live, dtype=np.uint16), BLOCK)
+                place_of = (np.arange(BLOCK)[:, None] + np.arange(live) * width).ravel()
+            pieces = [framed[t][a - BACK : a + BLOCK] for t, a in zip(text, at)]
+            at = [a + BLOCK for a in at]
+            ended = [(i, len(pieces[i]) - BACK) for i in range(live) if at[i] >= len(framed[text[i]])]
+            for i, _ in ended:
+                pieces[i] = pieces[i].ljust(width, _PAD)
+            rows = np.frombuffer(b"".join(pieces), np.uint8).reshape(live, width)
+            ranks = self.rank.take(rows[:, BACK:].T)  # by place in the block, then lane
+            order = np.argsort(ranks, axis=None, kind="stable")
+            if any(size < BLOCK for _, size in ended):
+                inside = np.ones((BLOCK, live), bool)
+                for i, size in ended:
+                    inside[size:, i] = False
+                order = order[inside.ravel().take(order)]
+                ranks = ranks[inside]
+            n = np.bincount(ranks.ravel(), minlength=256)  # of every symbol
+            so_far = np.cumsum(n)
+            runs = [int(so_far[m - 1]) for m in self.deeper]  # how many symbols have more than 0, 1, ... decisions
+            place = place_of.take(order, mode="clip")
 
             def by_depth(x: np.ndarray) -> np.ndarray:
-                return np.concatenate([x[:m] for m in runs])
+                return np.concatenate([x[:m] for m in runs if m])
 
-            flat = by_depth(code.first.take(symbols))
-            flat += np.arange(len(runs)).repeat(runs)
-            node_hash, turn = code.nodes.take(flat), code.turns.take(flat)
+            times = np.concatenate([n[:m] for m in self.deeper])
+            node_hash, turn = self.nodes.repeat(times), self.turns.repeat(times)
             inputs = []
-            for k, hashes in enumerate(contexts(raw)):
-                slots = by_depth(hashes.take(place))
+            for k, hashes in enumerate(contexts(rows.ravel())):
+                slots = by_depth(hashes.take(place, mode="clip"))
                 slots += node_hash
                 slots >>= _SHIFT
-                inputs.append(self.tables[k].take(slots))
-            ever = (inputs[1] != 0).view(np.int8)  # which of the longer contexts were ever seen
+                inputs.append(self.tables[k].take(slots, mode="clip"))
+            ever = (inputs[1] != 0).view(np.uint8)  # which of the longer contexts were ever seen
             for k in range(2, CONTEXTS):
-                ever = ever + (inputs[k] != 0).view(np.int8) * np.int8(k)
-            gate = by_depth(lane * GATES)
-            bucket = gate * (BUCKETS // GATES)
-            gate += ever
+                ever = ever + (inputs[k] != 0).view(np.uint8) * np.uint8(k)
+            lane = by_depth(lane_of.take(order, mode="clip"))
+            cell = lane * np.uint16(GATES)
+            cell += ever
+            gate = cell.astype(np.intp)
             inputs = [x.astype(np.float32) for x in inputs]
-            mix = weights[0].take(gate)
+            mix = weights[0].take(gate, mode="clip")
             mix *= inputs[0]
             for k in range(1, CONTEXTS):
-                part = weights[k].take(gate)
+                part = weights[k].take(gate, mode="clip")
                 part *= inputs[k]
                 mix += part
-            np.clip(mix, -7.9, 7.9, out=mix)
+            np.minimum(mix, np.float32(7.9), out=mix)
+            np.maximum(mix, np.float32(-7.9), out=mix)
             p = np.exp(-mix)
             p += 1
             np.divide(1, p, out=p)
             mix *= 2
             mix += np.float32(BUCKETS / 2)
-            bucket += mix.astype(np.int8)
-            refined = (hits[: live * BUCKETS] / seen[: live * BUCKETS]).take(bucket)
+            bucket = mix.astype(np.uint8)
+            lane *= np.uint16(BUCKETS)
+            lane += bucket
+            refined = (hits / seen).take(lane, mode="clip")
             refined += p
             refined *= np.float32(0.5)
             turned = turn.astype(np.float32)
@@ -265,18 +288,35 @@ class Scorer:
             np.subtract(1 - turned, refined, out=refined)
             np.abs(refined, out=refined)
             by_gate = np.bincount(gate, weights=np.log(refined, out=refined), minlength=live * GATES)
-            logs[:live] += by_gate.reshape(live, GATES).sum(axis=1)
-            count = np.bincount(gate, minlength=live * GATES) + 4.0
+            logs += by_gate.reshape(live, GATES).sum(axis=1)
+            cell *= np.uint16(2 * BUCKETS)
+            bucket *= np.uint8(2)
+            bucket += turn
+            cell += bucket
+            cells = np.bincount(cell, minlength=live * GATES * 2 * BUCKETS).reshape(live, GATES, 2 * BUCKETS)
+            count = cells.sum(axis=2) + 4.0
             for k in range(CONTEXTS):
                 inputs[k] *= error
-                step = np.bincount(gate, weights=inputs[k], minlength=live * GATES) / count
-                weights[k][: live * GATES] += (WEIGHT_RATE * unit * unit * step).astype(np.float32)
-            bucket *= 2
-            bucket += turn
-            both = np.bincount(bucket, minlength=2 * live * BUCKETS).reshape(-1, 2).astype(np.float32)
-            seen[: live * BUCKETS] += both[:, 0] + both[:, 1]
-            hits[: live * BUCKETS] += both[:, 1]
-        return logs / math.log(10)
+                step = np.bincount(gate, weights=inputs[k], minlength=live * GATES).reshape(live, GATES) / count
+                weights[k] += (WEIGHT_RATE * unit * unit * step).astype(np.float32)
+            both = cells.sum(axis=1).reshape(live, BUCKETS, 2).astype(np.float32)
+            seen += both[:, :, 0] + both[:, :, 1]
+            hits += both[:, :, 1]
+            gone = []
+            for i, _ in ended:
+                result[text[i]] = logs[i]
+                if begun < len(framed):
+                    text[i], at[i], logs[i] = begun, BACK, 0
+                    weights[:, i], seen[i], hits[i] = new_weights, new_seen, new_hits
+                    begun += 1
+                else:
+                    gone.append(i)
+            if gone:
+                left = [i for i in range(live) if i not in gone]
+                live, lane_of = len(left), None
+                text, at = [text[i] for i in left], [at[i] for i in left]
+                weights, seen, hits, logs = weights[:, left], seen[left], hits[left], logs[left]
+        return result / math.log(10)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -358,22 +398,23 @@ def _slot_odds(texts: DataFrame, code: Code) -> DataFrame:
 
         def count_all() -> None:
             symbol = np.concatenate(symbols)
+            symbols.clear()
+            order = np.argsort(symbol, kind="stable")
+            symbol = symbol.take(order, mode="clip")
+            begins = np.append(True, symbol[1:] != symbol[:-1])
+            bounds = [*np.flatnonzero(begins).tolist(), len(symbol)]
             for k, waiting in enumerate(hashes):
-                pairs = np.concatenate(waiting).astype(np.uint64)
+                found = np.concatenate(waiting).take(order, mode="clip")
                 waiting.clear()
-                pairs <<= np.uint64(8)
-                pairs |= symbol
-                pairs.sort()  # a symbol that follows the same context again takes the same slots
-                first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
-                n = np.diff(first, append=len(pairs)).astype(np.int32)
-                pairs = pairs.take(first)
-                of, node_hash, turn = _decisions(pairs.astype(np.uint8), code)
-                pairs >>= np.uint64(8)
-                slots = _slots(pairs.astype(np.uint32), of, node_hash).astype(np.int64)
+                for lo, hi in pairwise(bounds):
+                    found[lo:hi].sort()  # a symbol that follows the same context again takes the same slots
+                first = np.flatnonzero(np.append(True, found[1:] != found[:-1]) | begins)
+                n = np.diff(first, append=len(found)).astype(np.int32)
+                of, node_hash, turn = _decisions(symbol.take(first), code)
+                slots = _slots(found.take(first), of, node_hash).astype(np.int64)
                 slots *= 2
                 slots += turn
                 np.add.at(total[k], slots, n.take(of))
-            symbols.clear()
 
         hashes: list[list[np.ndarray]] = [[] for _ in range(CONTEXTS)]
         symbols: list[np.ndarray] = []

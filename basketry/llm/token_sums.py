@@ -13,7 +13,7 @@ from __future__ import annotations
 import sys
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import chain, count, islice
+from itertools import chain, count, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -95,8 +95,10 @@ class Places:
 
     def look_up(self, tokens: list | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         digest, salt = xxhash.xxh64_intdigest, self.salt
-        raw = (token if isinstance(token, bytes) else token.encode("utf-8", "surrogatepass") for token in tokens)
-        keys = np.fromiter((digest(salt + token, 42) for token in raw), np.uint64, len(tokens)).view(np.int64)
+        raw = tokens if isinstance(tokens, np.ndarray) else [token if isinstance(token, bytes) else token.encode("utf-8", "surrogatepass") for token in tokens]
+        if salt:
+            raw = [salt + token for token in raw]
+        keys = np.fromiter(map(digest, raw, repeat(42)), np.uint64, len(raw)).view(np.int64)
         order = np.argsort(keys)  # keys in order meet the head in order
         inside = keys.take(order)
         found = np.searchsorted(self.head_keys, inside)
